@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The warehouse is batch-only: every job reads a complete snapshot and
+replaces its outputs.  "Late delivery" is a business flag on order rows, not
+late-arriving data, so there are no watermarks, windows or stream state to
+model here.
+"""
