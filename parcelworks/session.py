@@ -66,6 +66,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("PARCELWORKS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or n))
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
