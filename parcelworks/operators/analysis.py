@@ -173,6 +173,14 @@ class AnalysisFrames:
     states: DataFrame
     seller_summary: DataFrame
     seller_watchlist: DataFrame
+    seller_base: DataFrame
+
+    def frames(self) -> dict[str, DataFrame]:
+        """The six published frames (the seller base is their shared input)."""
+        return {k: v for k, v in self.__dict__.items() if k != "seller_base"}
+
+    def release(self) -> None:
+        self.seller_base.unpersist()
 
 
 def collect_analysis(
@@ -191,4 +199,5 @@ def collect_analysis(
         states=states(fct, stg_customers),
         seller_summary=seller_summary(base),
         seller_watchlist=seller_watchlist(base),
+        seller_base=base,
     )
