@@ -71,6 +71,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or n))
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
     )
+    event_dir = os.environ.get("PARCELWORKS_EVENT_LOG_DIR")
+    if event_dir:  # stage/task timings for offline inspection
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     for key, value in {**SEMANTIC_CONF, **PLANNING_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

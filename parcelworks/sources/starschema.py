@@ -2,8 +2,10 @@
 
 The test tables (orders, lineitem, customer, supplier, part, nation, events)
 carry no delivery or review columns, so those are derived by fixed rules.
-Every output column is text, exactly like a raw CSV table, so the staging
-casts run on this input the same way they run on real files.
+By default the derived columns keep their Parquet types (staging casts
+typed columns directly); ``as_text=True`` renders every column as text,
+exactly like a raw CSV table, so the staging text parsers run on it.  Both
+give the same staging tables.
 
 Rules (the DuckDB oracle in ``parcelworks.oracle`` spells the same ones):
 
@@ -47,15 +49,14 @@ def _case(column: Column, mapping: dict, default: Column | None = None) -> Colum
     return expr if default is None else expr.otherwise(default)
 
 
-def _as_raw(df: DataFrame, table: str, columns: dict[str, Column]) -> DataFrame:
-    """Project to the raw header order, every column as text; columns the
-    rules do not produce are NULL (staging drops them anyway)."""
-    return df.select(
-        *[
-            (columns[name] if name in columns else F.lit(None)).cast("string").alias(name)
-            for name in RAW_COLUMNS[table]
-        ]
-    )
+def _as_raw(df: DataFrame, table: str, columns: dict[str, Column], as_text: bool) -> DataFrame:
+    """Project to the raw header order; columns the rules do not produce are
+    NULL text (staging drops them anyway)."""
+    out = []
+    for name in RAW_COLUMNS[table]:
+        c = columns[name] if name in columns else F.lit(None).cast("string")
+        out.append((c.cast("string") if as_text else c).alias(name))
+    return df.select(*out)
 
 
 def read_star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -63,12 +64,14 @@ def read_star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{root}/{name}.parquet") for name in STAR_TABLES}
 
 
-def raw_tables_from_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_tables_from_star(
+    spark: SparkSession, sf_dir: str, as_text: bool = False
+) -> dict[str, DataFrame]:
     star = read_star_tables(spark, sf_dir)
-    return raw_tables_from_frames(star)
+    return raw_tables_from_frames(star, as_text)
 
 
-def raw_tables_from_frames(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def raw_tables_from_frames(star: dict[str, DataFrame], as_text: bool = False) -> dict[str, DataFrame]:
     orders, lineitem = star["orders"], star["lineitem"]
     nation = star["nation"].select("n_nationkey", "n_name")
 
@@ -90,7 +93,7 @@ def raw_tables_from_frames(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "order_delivered_carrier_date": F.when(delivered, o.first_ship),
         "order_delivered_customer_date": F.when(delivered, o.last_ship),
         "order_estimated_delivery_date": o.o_orderdate + F.make_dt_interval(days=estimate_days),
-    })
+    }, as_text)
 
     li = lineitem
     raw_items = _as_raw(li, "order_items", {
@@ -101,7 +104,7 @@ def raw_tables_from_frames(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "shipping_limit_date": li.l_shipdate,
         "price": li.l_extendedprice,
         "freight_value": F.nullif(li.l_extendedprice * li.l_tax, F.lit(0.0)),
-    })
+    }, as_text)
 
     raw_payments = _as_raw(orders, "payments", {
         "order_id": orders.o_orderkey,
@@ -109,7 +112,7 @@ def raw_tables_from_frames(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "payment_type": orders.o_orderpriority,
         "payment_installments": F.lit(1) + orders.o_orderkey % 12,
         "payment_value": orders.o_totalprice,
-    })
+    }, as_text)
 
     ev = star["events"]
     raw_reviews = _as_raw(ev, "reviews", {
@@ -118,7 +121,7 @@ def raw_tables_from_frames(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "review_score": _case(ev.event_type, SCORE_BY_EVENT),
         "review_creation_date": ev.ts,
         "review_answer_timestamp": ev.ts + F.expr("INTERVAL 1 DAY"),
-    })
+    }, as_text)
 
     c = star["customer"].join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     raw_customers = _as_raw(c, "customers", {
@@ -127,7 +130,7 @@ def raw_tables_from_frames(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "customer_zip_code_prefix": F.col("c_nationkey"),
         "customer_city": F.col("c_mktsegment"),
         "customer_state": F.col("n_name"),
-    })
+    }, as_text)
 
     p = star["part"]
     raw_products = _as_raw(p, "products", {
@@ -137,7 +140,7 @@ def raw_tables_from_frames(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "product_length_cm": p.p_size,
         "product_height_cm": p.p_size,
         "product_width_cm": p.p_size,
-    })
+    }, as_text)
 
     s = star["supplier"].join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
     raw_sellers = _as_raw(s, "sellers", {
@@ -145,7 +148,7 @@ def raw_tables_from_frames(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "seller_zip_code_prefix": F.col("s_nationkey"),
         "seller_city": F.col("s_name"),
         "seller_state": F.col("n_name"),
-    })
+    }, as_text)
 
     return {
         "orders": raw_orders,
