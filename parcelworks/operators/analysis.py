@@ -1,7 +1,8 @@
 """Delivery-reliability analyses over the order facts.
 
 All are grouped aggregations that combine map-side, so each shuffles at
-most one row per group per task.  The state analysis pre-aggregates the
+most one row per group per task.  Metrics, monthly and delivery-review
+frames come from one small "order cube" (one scan of the facts).  The state analysis pre-aggregates the
 facts per customer before joining customers, so a customer with a huge
 number of orders never skews the join.  Seller analyses read the
 pre-joined ``order_seller_facts``.
@@ -29,51 +30,96 @@ def _eligible() -> Column:
     return F.col("late_delivery").isNotNull()
 
 
-def metrics(fct: DataFrame) -> DataFrame:
-    """A1: one row, also on empty input."""
-    return fct.agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.count_if(_eligible()).alias("late_delivery_eligible_orders"),
-        F.coalesce(F.sum("order_value"), F.lit(0.0)).alias("gross_item_freight_value"),
-        F.avg("late_delivery").alias("late_delivery_rate"),
-        F.avg("avg_review_score").alias("average_review_score"),
-        F.avg("delivery_days").alias("average_delivery_days"),
-        F.min("order_purchase_timestamp").alias("purchase_start"),
-        F.max("order_purchase_timestamp").alias("purchase_end"),
+def order_cube(fct: DataFrame) -> DataFrame:
+    """One scan of the order facts -> a small additive summary keyed by
+    (purchase month, late flag, reviewed?).  Metrics, monthly and
+    delivery-review frames all derive from it exactly (sums, counts, min and
+    max recombine), so the fact table is read once for the three of them.
+    Size: months x 3 x 2 rows, whatever the number of orders."""
+    review = F.col("avg_review_score")
+    return fct.groupBy(
+        month_start("order_purchase_timestamp").alias("month"),
+        F.col("late_delivery"),
+        review.isNotNull().alias("reviewed"),
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("order_value").alias("value_sum"),
+        F.sum("late_delivery").alias("late_sum"),
+        F.sum(review).alias("review_sum"),
+        F.count(review).alias("review_n"),
+        F.count_if(review <= 2).alias("low_n"),
+        F.sum("delivery_days").alias("days_sum"),
+        F.count("delivery_days").alias("days_n"),
+        F.min("order_purchase_timestamp").alias("first_purchase"),
+        F.max("order_purchase_timestamp").alias("last_purchase"),
     )
 
 
-def monthly(fct: DataFrame) -> DataFrame:
-    """A2: eligible orders with a purchase time, by purchase month."""
+def _ratio(num: str, den: str) -> Column:
+    """sum(num) / sum(den) as DOUBLE; NULL when the denominator is 0/NULL."""
+    return F.try_divide(F.sum(num).cast("double"), F.sum(den))
+
+
+def metrics_from_cube(cube: DataFrame) -> DataFrame:
+    eligible_n = F.when(_eligible(), F.col("n"))
+    return cube.agg(
+        F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("orders"),
+        F.coalesce(F.sum(eligible_n), F.lit(0).cast("long")).alias("late_delivery_eligible_orders"),
+        F.coalesce(F.sum("value_sum"), F.lit(0.0)).alias("gross_item_freight_value"),
+        F.try_divide(F.sum("late_sum").cast("double"), F.sum(eligible_n)).alias("late_delivery_rate"),
+        _ratio("review_sum", "review_n").alias("average_review_score"),
+        _ratio("days_sum", "days_n").alias("average_delivery_days"),
+        F.min("first_purchase").alias("purchase_start"),
+        F.max("last_purchase").alias("purchase_end"),
+    )
+
+
+def monthly_from_cube(cube: DataFrame) -> DataFrame:
     return (
-        fct.where(_eligible() & F.col("order_purchase_timestamp").isNotNull())
-        .groupBy(month_start("order_purchase_timestamp").alias("month"))
+        cube.where(_eligible() & F.col("month").isNotNull())
+        .groupBy("month")
         .agg(
-            F.count(F.lit(1)).alias("eligible_orders"),
-            F.avg("late_delivery").alias("late_delivery_rate"),
-            F.avg("avg_review_score").alias("average_review_score"),
+            F.sum("n").alias("eligible_orders"),
+            _ratio("late_sum", "n").alias("late_delivery_rate"),
+            _ratio("review_sum", "review_n").alias("average_review_score"),
         )
         .orderBy(F.asc_nulls_last("month"))
     )
 
 
-def delivery_review(fct: DataFrame) -> DataFrame:
-    """A3: reviewed eligible orders, late vs on time (at most two rows)."""
-    low = F.when(F.col("avg_review_score") <= 2, F.lit(1.0)).otherwise(F.lit(0.0))
+def delivery_review_from_cube(cube: DataFrame) -> DataFrame:
     return (
-        fct.where(_eligible() & F.col("avg_review_score").isNotNull())
+        cube.where(_eligible() & F.col("reviewed"))
         .groupBy("late_delivery")
         .agg(
-            F.count(F.lit(1)).alias("reviewed_orders"),
-            F.avg("avg_review_score").alias("average_review_score"),
-            F.avg(low).alias("low_review_rate"),
-            F.avg("delivery_days").alias("average_delivery_days"),
-            F.avg("order_value").alias("average_order_value"),
+            F.sum("n").alias("reviewed_orders"),
+            _ratio("review_sum", "n").alias("average_review_score"),
+            _ratio("low_n", "n").alias("low_review_rate"),
+            _ratio("days_sum", "days_n").alias("average_delivery_days"),
+            _ratio("value_sum", "n").alias("average_order_value"),
         )
         .orderBy(F.asc_nulls_last("late_delivery"))
     )
 
 
+def metrics(fct: DataFrame) -> DataFrame:
+    """A1: one row, also on empty input: orders, eligible orders, gross
+    item + freight value (0 when empty), late rate over eligible orders,
+    average review and delivery days, purchase window."""
+    return metrics_from_cube(order_cube(fct))
+
+
+def monthly(fct: DataFrame) -> DataFrame:
+    """A2: eligible orders with a purchase time, by purchase month."""
+    return monthly_from_cube(order_cube(fct))
+
+
+def delivery_review(fct: DataFrame) -> DataFrame:
+    """A3: reviewed eligible orders, late vs on time (at most two rows);
+    low review = order average <= 2."""
+    return delivery_review_from_cube(order_cube(fct))
+
+
 def states(fct: DataFrame, stg_customers: DataFrame) -> DataFrame:
     """A4: eligible orders by customer state (inner join drops unknown
     customers).  Averages are carried as (sum, count) through a
@@ -174,13 +220,15 @@ class AnalysisFrames:
     seller_summary: DataFrame
     seller_watchlist: DataFrame
     seller_base: DataFrame
+    cube: DataFrame
 
     def frames(self) -> dict[str, DataFrame]:
-        """The six published frames (the seller base is their shared input)."""
-        return {k: v for k, v in self.__dict__.items() if k != "seller_base"}
+        """The six published frames (base and cube are shared inputs)."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("seller_base", "cube")}
 
     def release(self) -> None:
-        self.seller_base.unpersist()
+        for df in (self.cube, self.states, self.seller_base):
+            df.unpersist()
 
 
 def collect_analysis(
@@ -189,15 +237,20 @@ def collect_analysis(
     order_seller_facts: DataFrame,
     seller_min_orders: int = SELLER_MIN_ORDERS,
 ) -> AnalysisFrames:
-    """All six frames, lazily.  The seller base feeds two frames, so it is
-    persisted (recomputable from its lineage if an executor is lost)."""
+    """All six frames, lazily, from three scans: the order facts once (the
+    cube), the facts again for states, the order-seller facts once.  The
+    small shared inputs (cube, states, seller base) are persisted; they are
+    recomputable from lineage if an executor is lost."""
+    cube = order_cube(fct).persist()
+    state_frame = states(fct, stg_customers).persist()
     base = seller_base(order_seller_facts, seller_min_orders).persist()
     return AnalysisFrames(
-        metrics=metrics(fct),
-        monthly=monthly(fct),
-        delivery_review=delivery_review(fct),
-        states=states(fct, stg_customers),
+        metrics=metrics_from_cube(cube),
+        monthly=monthly_from_cube(cube),
+        delivery_review=delivery_review_from_cube(cube),
+        states=state_frame,
         seller_summary=seller_summary(base),
         seller_watchlist=seller_watchlist(base),
         seller_base=base,
+        cube=cube,
     )

@@ -115,8 +115,9 @@ def test_low_review_rate_is_double(spark):
     from parcelworks.operators.analysis import delivery_review
 
     df = spark.createDataFrame(
-        [(1, 1.5, 2, 10.0), (1, 4.0, 3, 20.0)],
-        "late_delivery int, avg_review_score double, delivery_days long, order_value double",
+        [(dt.datetime(2018, 1, 1), 1, 1.5, 2, 10.0), (dt.datetime(2018, 1, 2), 1, 4.0, 3, 20.0)],
+        "order_purchase_timestamp timestamp_ntz, late_delivery int, avg_review_score double, "
+        "delivery_days long, order_value double",
     )
     out = delivery_review(df)
     assert dict(out.dtypes)["low_review_rate"] == "double"
@@ -127,8 +128,9 @@ def test_nulls_sort_last(spark):
     from parcelworks.operators.analysis import monthly
 
     df = spark.createDataFrame(
-        [(dt.datetime(2018, 2, 1), 1, 5.0), (dt.datetime(2018, 1, 1), 0, None)],
-        "order_purchase_timestamp timestamp_ntz, late_delivery int, avg_review_score double",
+        [(dt.datetime(2018, 2, 1), 1, 5.0, 1, 1.0), (dt.datetime(2018, 1, 1), 0, None, 1, 1.0)],
+        "order_purchase_timestamp timestamp_ntz, late_delivery int, avg_review_score double, "
+        "delivery_days long, order_value double",
     )
     assert [r.month.month for r in monthly(df).collect()] == [1, 2]
 
