@@ -226,6 +226,14 @@ class AnalysisFrames:
         """The six published frames (base and cube are shared inputs)."""
         return {k: v for k, v in self.__dict__.items() if k not in ("seller_base", "cube")}
 
+    def materialize(self) -> None:
+        """Compute the persisted shared inputs (three independent jobs)."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            for f in [pool.submit(df.count) for df in (self.cube, self.states, self.seller_base)]:
+                f.result()
+
     def release(self) -> None:
         for df in (self.cube, self.states, self.seller_base):
             df.unpersist()

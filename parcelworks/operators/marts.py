@@ -112,22 +112,17 @@ def fct_orders(stg_orders: DataFrame, items: DataFrame, reviews: DataFrame) -> D
 
 def order_seller_facts(pairs: DataFrame, fct: DataFrame) -> DataFrame:
     """Bridge joined once to the order facts: one row per (order, seller)
-    pair and matching fact row, with the columns seller analyses need.
-    ``allocated_value`` splits an order's value evenly over its sellers
-    (NULL when the order has no non-NULL seller)."""
+    pair and matching fact row, with the columns seller analyses need."""
     f = fct.select(
         "order_id", "order_value", "seller_count", "late_delivery", "avg_review_score"
     )
-    joined = pairs.select("order_id", "seller_id").join(f, "order_id", "inner")
-    return joined.select(
-        "order_id",
-        "seller_id",
-        (F.col("order_value") / F.nullif(F.col("seller_count"), F.lit(0))).alias(
-            "allocated_value"
-        ),
-        "late_delivery",
-        "avg_review_score",
-    )
+    return pairs.select("order_id", "seller_id").join(f, "order_id", "inner")
+
+
+def allocated_value() -> Column:
+    """An order's value split evenly over its sellers; NULL when the order
+    has no non-NULL seller."""
+    return F.col("order_value") / F.nullif(F.col("seller_count"), F.lit(0))
 
 
 def fct_seller_performance(facts: DataFrame) -> DataFrame:
@@ -135,7 +130,7 @@ def fct_seller_performance(facts: DataFrame) -> DataFrame:
     late rate over eligible orders, average review."""
     return facts.groupBy("seller_id").agg(
         F.count(F.lit(1)).alias("order_count"),
-        F.sum("allocated_value").alias("allocated_gross_item_freight_value"),
+        F.sum(allocated_value()).alias("allocated_gross_item_freight_value"),
         F.avg("late_delivery").alias("late_delivery_rate"),
         F.avg("avg_review_score").alias("average_review_score"),
     )

@@ -49,14 +49,6 @@ def write_table(df: DataFrame, root: str, name: str) -> str:
     return path
 
 
-def write_tables(tables: Mapping[str, DataFrame], root: str, parallelism: int = 8) -> None:
-    """Write independent tables as concurrent Spark jobs."""
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tables)))) as pool:
-        futures = [pool.submit(write_table, df, root, name) for name, df in tables.items()]
-        for f in futures:
-            f.result()
-
-
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(_path(root, name))
 
@@ -86,6 +78,14 @@ def open_warehouse(spark: SparkSession, out_dir: str) -> Warehouse:
     )
 
 
+def run_concurrently(*steps: Callable[[], object]) -> list[object]:
+    """Run independent driver-side steps (each submitting Spark jobs) at the
+    same time; re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
+        futures = [pool.submit(step) for step in steps]
+        return [f.result() for f in futures]
+
+
 def build_warehouse(
     spark: SparkSession,
     out_dir: str,
@@ -96,17 +96,34 @@ def build_warehouse(
 
     ``raw`` lets a caller supply the seven raw tables from another source
     (for example the star-schema adapter); otherwise CSVs under ``data_dir``
-    are read."""
+    are read.  Order of jobs (independent ones run concurrently):
+
+    1. the seven staging tables; as soon as items are staged, the
+       (order, seller) rollup is built from them;
+    2. fct_orders from staged orders, reviews and that rollup;
+    3. order_seller_facts (rollup joined to the facts), then the seller mart.
+    """
     configure(spark)
     if raw is None:
         if data_dir is None:
             raise ValueError("build_warehouse needs data_dir or raw tables")
         raw = read_raw_tables(spark, data_dir)
     register_raw_views(raw)
-    write_tables({STAGING[n]: df for n, df in stage_all(raw).items()}, out_dir)
-    stg = {name: read_table(spark, out_dir, table) for name, table in STAGING.items()}
+    staged = stage_all(raw)
+
+    def stage(name: str) -> None:
+        write_table(staged[name], out_dir, STAGING[name])
+
+    def items_then_pairs() -> None:
+        stage("order_items")
+        items = read_table(spark, out_dir, STAGING["order_items"])
+        write_table(M.order_seller_items(items), out_dir, "order_seller_items")
 
-    write_table(M.order_seller_items(stg["order_items"]), out_dir, "order_seller_items")
+    run_concurrently(
+        items_then_pairs,
+        *[(lambda n=name: stage(n)) for name in LOGICAL_TABLES if name != "order_items"],
+    )
+    stg = {name: read_table(spark, out_dir, table) for name, table in STAGING.items()}
     pairs = read_table(spark, out_dir, "order_seller_items")
 
     fct = M.fct_orders(stg["orders"], M.item_rollup(pairs), M.review_rollup(stg["reviews"]))
@@ -171,9 +188,7 @@ def write_report_data(
         df.coalesce(1).write.mode("overwrite").json(path)
         out[name] = path
 
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        for f in [pool.submit(sink, n, df) for n, df in frames.items()]:
-            f.result()
+    run_concurrently(*[(lambda n=n, df=df: sink(n, df)) for n, df in frames.items()])
     return out
 
 
@@ -194,6 +209,7 @@ def run_report(
     analysis = analysis_of(wh, seller_min_orders)
     report = R.build_report_frames(analysis, month_min_orders, state_min_orders, seller_min_orders)
     try:
+        analysis.materialize()
         return write_report_data(analysis, report, output_dir)
     finally:
         analysis.release()

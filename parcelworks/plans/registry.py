@@ -22,7 +22,8 @@ from parcelworks.operators import quality as Q
 from parcelworks.operators import report as R
 from parcelworks.operators.marts import build_marts
 from parcelworks.operators.staging import stage_all
-from parcelworks.sources.starschema import raw_tables_from_star
+from parcelworks.sources.manifest import file_fingerprints
+from parcelworks.sources.starschema import STAR_TABLES, raw_tables_from_star
 
 
 @dataclass
@@ -102,6 +103,9 @@ def _build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["review_rollup"] = _q(lambda w: w.marts["review_rollup"], {"avg_review_score": RATE})
     q["fct_orders"] = _q(lambda w: w.fct, {"order_value": 4, "avg_review_score": RATE})
     q["order_seller_bridge"] = _q(lambda w: w.marts["order_seller_bridge"])
+    q["order_seller_facts"] = _q(
+        lambda w: w.marts["order_seller_facts"], {"order_value": 4, "avg_review_score": RATE}
+    )
     q["fct_seller_performance"] = _q(
         lambda w: w.marts["fct_seller_performance"],
         {"allocated_gross_item_freight_value": 2, **_rates(["late_delivery_rate", "average_review_score"])},
@@ -194,9 +198,17 @@ def _build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ("eligible_sellers", "median_late_delivery_rate", "p90_late_delivery_rate",
          "late_review_correlation", "has_distribution"),
     )
+    q["snapshot_fingerprints"] = snapshot_fingerprints
     return q
 
 
+def snapshot_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC3 on the given input files: table, file name, bytes, SHA-256.
+    (No SQL oracle: the digest is checked against hashlib in the tests.)"""
+    files = {name: f"{sf_dir.rstrip('/')}/{name}.parquet" for name in STAR_TABLES}
+    return file_fingerprints(spark, files).drop("position")
+
+
 QUERIES = _build_queries()
 
 

@@ -136,11 +136,13 @@ def test_nulls_sort_last(spark):
 
 
 def test_divide_by_zero_seller_count_is_null(spark):
-    from parcelworks.operators.marts import order_seller_facts
+    from parcelworks.operators.marts import fct_seller_performance, order_seller_facts
 
     pairs = spark.createDataFrame([("o1", None)], "order_id string, seller_id string")
     fct = spark.createDataFrame(
         [("o1", 10.0, 0, None, None)],
         "order_id string, order_value double, seller_count long, late_delivery int, avg_review_score double",
     )
-    assert order_seller_facts(pairs, fct).first().allocated_value is None
+    row = fct_seller_performance(order_seller_facts(pairs, fct)).first()
+    assert row.seller_id is None and row.order_count == 1
+    assert row.allocated_gross_item_freight_value is None
