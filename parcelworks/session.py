@@ -29,13 +29,32 @@ PLANNING_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the semantic and planning options to a running session."""
-    for key, value in {**SEMANTIC_CONF, **PLANNING_CONF}.items():
+def configure(spark: SparkSession, extra: dict[str, str] | None = None) -> SparkSession:
+    """Apply the semantic and planning options (plus ``extra``, e.g. from
+    ``scale_conf``) to a running session."""
+    for key, value in {**SEMANTIC_CONF, **PLANNING_CONF, **(extra or {})}.items():
         spark.conf.set(key, value)
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle/scan sizing for a given raw input volume and cluster size.
+
+    Start shuffles with enough partitions that none exceeds ~256 MB even
+    before map-side combining (AQE then coalesces small ones), never fewer
+    than 3 waves of tasks; split scans at 256 MB.  For 100 TB on 1000
+    executors x 8 cores this gives ~400k initial shuffle partitions,
+    coalesced at runtime to the advisory size."""
+    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     value = spark.sparkContext.getCheckpointDir()

@@ -23,3 +23,38 @@ def test_text_and_typed_raw_give_same_staging(spark):
         assert a[name].dtypes == b[name].dtypes, name
         assert a[name].exceptAll(b[name]).count() == 0, name
         assert b[name].exceptAll(a[name]).count() == 0, name
+
+
+def test_folder_of_part_files_reads_like_one_file(spark, clean_dir, tmp_path):
+    """At scale a logical table is a folder of CSV part files."""
+    import shutil
+    from pathlib import Path
+
+    from parcelworks.sources.csv import read_raw_tables
+    from parcelworks.sources.manifest import build_snapshot_manifest
+    from parcelworks.sources.schemas import DATASET_FILES
+
+    for table, name in DATASET_FILES.items():
+        src = Path(clean_dir) / name
+        if table == "order_items":
+            folder = tmp_path / name
+            folder.mkdir()
+            header, *lines = src.read_text().splitlines()
+            (folder / "part-0.csv").write_text("\n".join([header, *lines[:2]]) + "\n")
+            (folder / "part-1.csv").write_text("\n".join([header, *lines[2:]]) + "\n")
+        else:
+            shutil.copy(src, tmp_path / name)
+    split = read_raw_tables(spark, str(tmp_path))
+    whole = read_raw_tables(spark, clean_dir)
+    assert split["order_items"].exceptAll(whole["order_items"]).count() == 0
+    assert split["order_items"].count() == whole["order_items"].count() == 5
+    files = build_snapshot_manifest(spark, str(tmp_path)).first().files
+    assert [f.filename for f in files if f.logical_table == "order_items"] == ["part-0.csv", "part-1.csv"]
+
+
+def test_scale_conf_sizes_partitions():
+    from parcelworks.session import scale_conf
+
+    conf = scale_conf(100 * 2**40, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_conf(10, 8)["spark.sql.shuffle.partitions"]) == 24
