@@ -36,12 +36,12 @@ MONTH_MIN, STATE_MIN, SELLER_MIN = 50, 160, 150
 
 
 def _scratch(spark) -> str:
-    explicit = os.environ.get("BENCH_OUT_DIR")
-    if explicit:
-        return explicit.rstrip("/") + f"/bench-{uuid.uuid4().hex[:8]}"
-    shared = checkpoint_dir(spark)
-    if shared and not shared.startswith("file:") and not shared.startswith("/"):
-        return shared.rstrip("/") + f"/bench-{uuid.uuid4().hex[:8]}"
+    """BENCH_OUT_DIR, else a fresh folder under the session's checkpoint
+    folder (the cluster's shared one, or the private one a local session
+    creates), else a new temp folder."""
+    root = os.environ.get("BENCH_OUT_DIR") or checkpoint_dir(spark)
+    if root:
+        return root.rstrip("/") + f"/bench-{uuid.uuid4().hex[:8]}"
     return tempfile.mkdtemp(prefix="parcelworks-bench-")
 
 
