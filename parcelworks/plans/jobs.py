@@ -43,9 +43,10 @@ def _path(root: str, name: str) -> str:
 
 
 def write_table(df: DataFrame, root: str, name: str) -> str:
-    """SNK2 / SNK3: replace one table."""
+    """SNK2 / SNK3: replace one table (zstd Parquet: smaller files, less I/O
+    for every later scan)."""
     path = _path(root, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return path
 
 
@@ -203,13 +204,17 @@ def run_report(
     seller_min_orders: int = A.SELLER_MIN_ORDERS,
 ) -> dict[str, str]:
     """Build, check, raise before any output on failure; then write the
-    report datasets.  Writes no quality file."""
+    report datasets.  Writes no quality file.
+
+    The quality checks and the analyses' shared inputs (order cube, states,
+    seller base - held in memory only) are computed concurrently; nothing is
+    written until the gate has passed."""
     wh = build_warehouse(spark, out_dir, data_dir, raw)
-    Q.assert_quality(quality_of(wh))
     analysis = analysis_of(wh, seller_min_orders)
-    report = R.build_report_frames(analysis, month_min_orders, state_min_orders, seller_min_orders)
     try:
-        analysis.materialize()
+        results, _ = run_concurrently(lambda: quality_of(wh), analysis.materialize)
+        Q.assert_quality(results)
+        report = R.build_report_frames(analysis, month_min_orders, state_min_orders, seller_min_orders)
         return write_report_data(analysis, report, output_dir)
     finally:
         analysis.release()
