@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelworks.functions.compat import guarded_corr, month_start
+from parcelworks.operators.quantiles import exact_quantiles
 
 # Reporting thresholds (defaults of the public report).
 SELLER_MIN_ORDERS = 100
@@ -180,26 +181,38 @@ def seller_base(order_seller_facts: DataFrame, min_orders: int = SELLER_MIN_ORDE
 def seller_summary(base: DataFrame, approximate: bool = False, accuracy: int = 100000) -> DataFrame:
     """A5: distribution of seller late rates (one row, also when empty).
 
-    The input has one row per qualifying seller.  Exact quantiles
-    (``percentile``, linear interpolation) keep a value->count map that is
-    combined per task and merged once, so their state is bounded by the
-    number of distinct rates; ``approximate=True`` switches to the bounded
-    ``percentile_approx`` sketch for very large seller populations."""
+    Count, min, max and correlation are constant-size aggregates.  Median
+    and 90th percentile are exact ``quantile_cont`` values computed by
+    ``exact_quantiles`` (distributed: no task holds all sellers' rates);
+    ``approximate=True`` uses the bounded ``percentile_approx`` sketch
+    instead.  The two one-row frames are combined by union + aggregate."""
     rate = F.col("late_delivery_rate")
-    if approximate:
-        median = F.percentile_approx(rate, 0.5, accuracy)
-        p90 = F.percentile_approx(rate, 0.9, accuracy)
-    else:
-        median = F.median(rate)
-        p90 = F.percentile(rate, F.lit(0.9))
-    return base.agg(
+    stats = base.agg(
         F.count(F.lit(1)).alias("eligible_sellers"),
         F.min(rate).alias("min_late_delivery_rate"),
-        median.cast("double").alias("median_late_delivery_rate"),
-        p90.cast("double").alias("p90_late_delivery_rate"),
         F.max(rate).alias("max_late_delivery_rate"),
         guarded_corr(rate, F.col("average_review_score")).alias("late_review_correlation"),
     )
+    if approximate:
+        quantiles = base.agg(
+            F.percentile_approx(rate, 0.5, accuracy).cast("double").alias("median_late_delivery_rate"),
+            F.percentile_approx(rate, 0.9, accuracy).cast("double").alias("p90_late_delivery_rate"),
+        )
+    else:
+        quantiles = exact_quantiles(
+            base,
+            "late_delivery_rate",
+            {"median_late_delivery_rate": 0.5, "p90_late_delivery_rate": 0.9},
+        )
+    both = stats.unionByName(quantiles, allowMissingColumns=True)
+    return both.agg(
+        F.max("eligible_sellers").alias("eligible_sellers"),
+        F.max("min_late_delivery_rate").alias("min_late_delivery_rate"),
+        F.max("median_late_delivery_rate").alias("median_late_delivery_rate"),
+        F.max("p90_late_delivery_rate").alias("p90_late_delivery_rate"),
+        F.max("max_late_delivery_rate").alias("max_late_delivery_rate"),
+        F.max("late_review_correlation").alias("late_review_correlation"),
+    )
 
 
 def seller_watchlist(base: DataFrame, top: int = 5) -> DataFrame:
