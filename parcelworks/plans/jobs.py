@@ -31,7 +31,7 @@ from parcelworks.operators import report as R
 from parcelworks.operators.staging import stage_all
 from parcelworks.session import configure
 from parcelworks.sources.csv import read_raw_tables, register_raw_views
-from parcelworks.sources.manifest import build_snapshot_manifest, write_snapshot_manifest
+from parcelworks.sources.manifest import snapshot_entries, write_snapshot_manifest
 from parcelworks.sources.schemas import LOGICAL_TABLES
 
 STAGING = {name: f"stg_{name}" for name in LOGICAL_TABLES}
@@ -221,5 +221,6 @@ def run_report(
 
 
 def run_snapshot(spark: SparkSession, data_dir: str, output: str) -> str:
-    """Manifest only, no build."""
-    return write_snapshot_manifest(build_snapshot_manifest(spark, data_dir), output)
+    """Manifest only, no build: one JSON line per input file (header
+    fields, logical table, file name, bytes, SHA-256), written in parallel."""
+    return write_snapshot_manifest(snapshot_entries(spark, data_dir), output)

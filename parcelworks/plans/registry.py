@@ -35,14 +35,6 @@ class LazyWarehouse:
     def fct(self) -> DataFrame:
         return self.marts["fct_orders"]
 
-    def analysis(self) -> A.AnalysisFrames:
-        return A.collect_analysis(
-            self.fct, self.stg["customers"], self.marts["order_seller_facts"], SELLER_MIN
-        )
-
-    def report(self) -> R.ReportFrames:
-        return R.build_report_frames(self.analysis(), MONTH_MIN, STATE_MIN, SELLER_MIN)
-
     def seller_base(self) -> DataFrame:
         return A.seller_base(self.marts["order_seller_facts"], SELLER_MIN)
 

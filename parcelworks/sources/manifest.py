@@ -93,10 +93,31 @@ def file_fingerprints(
     )
 
 
-def build_snapshot_manifest(spark: SparkSession, data_dir: str) -> DataFrame:
-    """SRC3 -> one-row manifest: header fields plus the ordered file list."""
+def snapshot_entries(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SRC3, distributed: one row per input file with the header fields
+    repeated (any number of files: nothing is gathered into one row)."""
     files = required_files(spark, data_dir)
     entries = file_fingerprints(spark, {t: files[t] for t in LOGICAL_TABLES})
+    return entries.select(
+        F.lit(SCHEMA_VERSION).alias("schema_version"),
+        F.lit(DATASET).alias("dataset"),
+        F.lit(SOURCE_URL).alias("source_url"),
+        F.lit(LICENSE).alias("license"),
+        "position",
+        "logical_table",
+        "filename",
+        "bytes",
+        "sha256",
+    )
+
+
+def build_snapshot_manifest(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SRC3 as one document: header fields plus the ordered file list.
+
+    The list is gathered into a single row, so this form is for snapshots
+    with a bounded number of files (the seven-file layout); ``run_snapshot``
+    writes the distributed ``snapshot_entries`` form."""
+    entries = snapshot_entries(spark, data_dir)
     listed = entries.groupBy().agg(
         F.sort_array(
             F.collect_list(F.struct("position", "filename", "logical_table", "bytes", "sha256"))
@@ -120,6 +141,7 @@ def build_snapshot_manifest(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def write_snapshot_manifest(manifest: DataFrame, out_path: str) -> str:
-    """SNK5: one JSON object (one line) in ``out_path``."""
-    manifest.coalesce(1).write.mode("overwrite").json(out_path)
+    """SNK5: write a manifest frame as JSON lines (the one-document form is
+    a single line; the entries form is one line per file, in parallel)."""
+    manifest.write.mode("overwrite").json(out_path)
     return out_path

@@ -32,3 +32,15 @@ def test_streamed_hash_equals_inline_hash(spark, clean_dir):
     inline = {r.filename: r.sha256 for r in file_fingerprints(spark, files).collect()}
     streamed = {r.filename: r.sha256 for r in file_fingerprints(spark, files, inline_limit=0).collect()}
     assert inline == streamed and len(inline) == 7
+
+
+def test_snapshot_job_writes_one_line_per_file(spark, clean_dir, tmp_path):
+    from parcelworks.plans.jobs import run_snapshot
+
+    out = run_snapshot(spark, clean_dir, str(tmp_path / "snapshot"))
+    rows = spark.read.json(out).collect()
+    assert len(rows) == 7
+    assert {r.logical_table for r in rows} == set(DATASET_FILES)
+    assert all(len(r.sha256) == 64 and r.schema_version == 1 for r in rows)
+    text = "".join(p.read_text() for p in Path(out).glob("part-*"))
+    assert clean_dir not in text
