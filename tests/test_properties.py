@@ -7,7 +7,6 @@ import math
 
 import duckdb
 import pandas as pd
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
