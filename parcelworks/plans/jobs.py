@@ -23,6 +23,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from parcelworks.operators import analysis as A
 from parcelworks.operators import marts as M
@@ -50,8 +51,13 @@ def write_table(df: DataFrame, root: str, name: str) -> str:
     return path
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(_path(root, name))
+def read_table(
+    spark: SparkSession, root: str, name: str, schema: StructType | None = None
+) -> DataFrame:
+    """Read a stored table; a known schema (the one just written) skips the
+    footer-based schema inference."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(_path(root, name))
 
 
 @dataclass
@@ -117,24 +123,32 @@ def build_warehouse(
 
     def items_then_pairs() -> None:
         stage("order_items")
-        items = read_table(spark, out_dir, STAGING["order_items"])
+        items = read_table(spark, out_dir, STAGING["order_items"], staged["order_items"].schema)
         write_table(M.order_seller_items(items), out_dir, "order_seller_items")
 
     run_concurrently(
         items_then_pairs,
         *[(lambda n=name: stage(n)) for name in LOGICAL_TABLES if name != "order_items"],
     )
-    stg = {name: read_table(spark, out_dir, table) for name, table in STAGING.items()}
+    stg = {name: read_table(spark, out_dir, STAGING[name], df.schema) for name, df in staged.items()}
     pairs = read_table(spark, out_dir, "order_seller_items")
 
     fct = M.fct_orders(stg["orders"], M.item_rollup(pairs), M.review_rollup(stg["reviews"]))
     write_table(fct, out_dir, "fct_orders")
-    fct = read_table(spark, out_dir, "fct_orders")
+    fct = read_table(spark, out_dir, "fct_orders", fct.schema)
 
-    write_table(M.order_seller_facts(pairs, fct), out_dir, "order_seller_facts")
-    facts = read_table(spark, out_dir, "order_seller_facts")
-    write_table(M.fct_seller_performance(facts), out_dir, "fct_seller_performance")
-    return open_warehouse(spark, out_dir)
+    facts = M.order_seller_facts(pairs, fct)
+    write_table(facts, out_dir, "order_seller_facts")
+    facts = read_table(spark, out_dir, "order_seller_facts", facts.schema)
+    perf = M.fct_seller_performance(facts)
+    write_table(perf, out_dir, "fct_seller_performance")
+    return Warehouse(
+        stg=stg,
+        order_seller_items=pairs,
+        fct_orders=fct,
+        order_seller_facts=facts,
+        fct_seller_performance=read_table(spark, out_dir, "fct_seller_performance", perf.schema),
+    )
 
 
 def quality_of(wh: Warehouse) -> list[Q.QualityResult]:
