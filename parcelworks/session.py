@@ -24,6 +24,8 @@ SEMANTIC_CONF = {
 PLANNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # respect the advisory partition size (no swarm of tiny reduce tasks)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
 }
