@@ -12,10 +12,6 @@ path), byte size and SHA-256.  Hashing runs in tasks, spread over files:
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,30 +30,39 @@ CHUNK = 1024 * 1024
 ENTRY_SCHEMA = "position int, logical_table string, path string, bytes long, sha256 string"
 
 
-def _arrow_path(uri: str) -> tuple[object, str]:
-    from pyarrow import fs
+def _stream_sha256_fn(chunk: int = CHUNK):
+    """The per-partition hashing function for ``mapInPandas``.
+
+    Built as a closure with its imports inside, so it is shipped to the
+    Python workers by value: executors need no copy of this package."""
+
+    def stream_sha256(batches):
+        import hashlib
+
+        from pyarrow import fs
 
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    if uri.startswith("s3a://") or uri.startswith("s3n://"):
-        uri = "s3://" + uri.split("://", 1)[1]
-    return fs.FileSystem.from_uri(uri)
+        def open_stream(uri: str):
+            if uri.startswith("file:") and not uri.startswith("file://"):
+                uri = "file://" + uri[len("file:"):]
+            if uri.startswith(("s3a://", "s3n://")):
+                uri = "s3://" + uri.split("://", 1)[1]
+            filesystem, path = fs.FileSystem.from_uri(uri)
+            return filesystem.open_input_stream(path)
 
+        for pdf in batches:
+            digests = []
+            for uri in pdf["path"]:
+                digest = hashlib.sha256()
+                with open_stream(uri) as stream:
+                    while True:
+                        block = stream.read(chunk)
+                        if not block:
+                            break
+                        digest.update(block)
+                digests.append(digest.hexdigest())
+            yield pdf.assign(sha256=digests)
 
-def _stream_sha256(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        digests = []
-        for uri in pdf["path"]:
-            filesystem, path = _arrow_path(uri)
-            digest = hashlib.sha256()
-            with filesystem.open_input_stream(path) as stream:
-                while True:
-                    block = stream.read(CHUNK)
-                    if not block:
-                        break
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield pdf.assign(sha256=digests)
+    return stream_sha256
 
 
 def file_fingerprints(
@@ -78,7 +83,7 @@ def file_fingerprints(
         large = (
             listing.where(F.col("length") > inline_limit)
             .select(*tag, "path", F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256"))
-            .mapInPandas(_stream_sha256, ENTRY_SCHEMA)
+            .mapInPandas(_stream_sha256_fn(), ENTRY_SCHEMA)
         )
         frames += [small, large]
     out = frames[0]
