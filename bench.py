@@ -45,6 +45,14 @@ def _scratch(spark) -> str:
     return tempfile.mkdtemp(prefix="parcelworks-bench-")
 
 
+def _scale_factor(sf_dir: str):
+    name = os.path.basename(sf_dir)
+    try:
+        return float(name[2:]) if name.startswith("sf") else name
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -82,7 +90,7 @@ def main() -> None:
         "value": total,
         "unit": "sec",
         "queries": timings,
-        "sf": os.path.basename(sf_dir).replace("sf", ""),
+        "sf": _scale_factor(sf_dir),
         "rows": {
             "fct_orders": wh.fct_orders.count(),
             "order_seller_facts": wh.order_seller_facts.count(),

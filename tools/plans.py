@@ -61,6 +61,9 @@ def main() -> None:
         "states (A4)": A.states(wh.fct_orders, wh.stg["customers"]),
         "seller base (A5a)": A.seller_base(wh.order_seller_facts, 150),
         "seller watchlist (A6)": A.seller_watchlist(A.seller_base(wh.order_seller_facts, 150)),
+        "seller summary (A5, distributed exact quantiles)": A.seller_summary(
+            A.seller_base(wh.order_seller_facts, 150)
+        ),
     }
     print(f"# Physical plans\n\nGenerated by `tools/plans.py` on `{sf_dir}` (local[8], AQE on; "
           "initial plans, before AQE re-optimisation).  Small inputs show Spark's size-checked\n"
