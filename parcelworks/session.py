@@ -90,7 +90,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("PARCELWORKS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or n))
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", os.environ.get("PARCELWORKS_ADVISORY_PARTITION", "8m"))
     )
     event_dir = os.environ.get("PARCELWORKS_EVENT_LOG_DIR")
     if event_dir:  # stage/task timings for offline inspection
