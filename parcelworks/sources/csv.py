@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelworks.sources.schemas import (
     DATASET_FILES,
     LOGICAL_TABLES,
     MULTILINE_TABLES,
+    OPTIONAL_COLUMNS,
     raw_schema,
 )
 
@@ -45,21 +47,35 @@ def required_files(spark: SparkSession, data_dir: str) -> dict[str, str]:
 
 
 def read_raw_table(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """One raw table as all-string columns.
-
-    PERMISSIVE keeps short rows (padded with NULL) and over-long rows (extra
-    fields dropped, leading fields keep their position).  Only tables with
-    free text read in multi-line mode, which makes each file one split.
-    """
-    reader = (
-        spark.read.schema(raw_schema(table))
-        .option("header", True)
+    """One raw table as all-string columns, bound to the header by name.
+
+    No type inference: every column is text (``inferSchema`` off).  Columns
+    are matched by header name, so their order in the file does not matter;
+    extra columns are dropped, optional free-text columns may be absent, and
+    a missing column that staging needs is an error.  PERMISSIVE keeps short
+    rows (padded with NULL) and over-long rows (extra fields dropped).  Only
+    tables with free text read in multi-line mode, which makes each file one
+    split."""
+    df = (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
         .option("mode", "PERMISSIVE")
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", table in MULTILINE_TABLES)
+        .csv(path)
+    )
+    present = {c.strip().lstrip("\ufeff"): c for c in df.columns}
+    expected = raw_schema(table).fieldNames()
+    missing = [c for c in expected if c not in present and c not in OPTIONAL_COLUMNS.get(table, ())]
+    if missing:
+        raise ValueError(f"{path}: missing column(s) {', '.join(missing)}")
+    return df.select(
+        *[
+            (F.col(f"`{present[c]}`") if c in present else F.lit(None)).cast("string").alias(c)
+            for c in expected
+        ]
     )
-    return reader.csv(path)
 
 
 def read_raw_tables(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:

@@ -1,8 +1,8 @@
 """Raw input tables: logical names, file names and all-string schemas.
 
-The raw stage is text: every column is declared ``StringType`` and typed
-later in staging, so no inference pass is needed and types never depend on
-the data.  Column order is the file's header order.
+The raw stage is text: every column is ``StringType`` and typed later in
+staging, so no inference pass is needed and types never depend on the data.
+Columns are bound by header name; the lists below give the canonical order.
 """
 
 from __future__ import annotations
@@ -54,6 +54,14 @@ RAW_COLUMNS = {
     ],
 }
 
+# Source columns staging never reads; a file may omit them.
+OPTIONAL_COLUMNS = {
+    "reviews": frozenset({"review_comment_title", "review_comment_message"}),
+    "products": frozenset({
+        "product_name_lenght", "product_description_lenght", "product_photos_qty",
+    }),
+}
+
 # Tables whose free-text fields may hold quoted newlines.
 MULTILINE_TABLES = frozenset({"reviews"})
 

@@ -58,3 +58,31 @@ def test_scale_conf_sizes_partitions():
     conf = scale_conf(100 * 2**40, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(scale_conf(10, 8)["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_columns_bound_by_header_name(spark, clean_dir, tmp_path):
+    import shutil
+    from pathlib import Path
+
+    from parcelworks.sources.csv import read_raw_table, read_raw_tables
+    from parcelworks.sources.schemas import DATASET_FILES
+
+    for name in DATASET_FILES.values():
+        shutil.copy(Path(clean_dir) / name, tmp_path / name)
+    # sellers with columns reordered; reviews without the optional comment columns
+    (tmp_path / DATASET_FILES["sellers"]).write_text(
+        "seller_state,seller_id,seller_city,seller_zip_code_prefix,extra\n"
+        "RS,v1,porto alegre,1100,x\nPR,v2,Curitiba,2200,y\nPE,v3,recife,3300,z\n"
+    )
+    (tmp_path / DATASET_FILES["reviews"]).write_text(
+        "review_id,order_id,review_score,review_creation_date,review_answer_timestamp\n"
+        "w1,a1,1,2019-03-09 00:00:00,2019-03-10 00:00:00\n"
+    )
+    raw = read_raw_tables(spark, str(tmp_path))
+    assert raw["sellers"].columns == ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"]
+    assert raw["sellers"].where("seller_id = 'v2'").first().seller_state == "PR"
+    assert raw["reviews"].first().review_comment_title is None
+
+    (tmp_path / "bad.csv").write_text("order_id,price\no1,1.0\n")
+    with pytest.raises(ValueError, match="missing column"):
+        read_raw_table(spark, "order_items", str(tmp_path / "bad.csv"))
