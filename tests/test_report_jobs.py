@@ -180,3 +180,32 @@ def test_command_line_jobs(spark, clean_dir, tmp_path):
     assert spark.read.json(site + "/report_metric_list").count() == 6
     snap = main(["snapshot", "--data-dir", clean_dir, "--output", str(tmp_path / "m")], spark)
     assert spark.read.json(snap).count() == 7
+
+
+def test_display_formats_equal_python_on_many_values(spark):
+    """format_number-based display strings equal Python's format() on a
+    batch of random and tie-prone doubles (one Spark job)."""
+    import random
+
+    rng = random.Random(11)
+    values = (
+        [rng.uniform(-1e6, 1e6) for _ in range(500)]
+        + [rng.random() for _ in range(500)]
+        + [k / 1000 for k in range(0, 1000, 7)]
+        + [k / 8 for k in range(-40, 40)]
+        + [0.0125, 0.0015, 2.675, 1.005, 0.125, 0.375, 1e-9]
+    )
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    got = df.select(
+        "v",
+        D.fixed("v", 3).alias("f3"),
+        D.fixed("v", 2).alias("f2"),
+        D.percent("v").alias("pct"),
+        D.money("v").alias("money"),
+        D.thousands("v").alias("int"),
+    ).collect()
+    for r in got:
+        v = r.v
+        assert (r.f3, r.f2, r.pct, r.money, r.int) == (
+            f"{v:.3f}", f"{v:.2f}", f"{v:.1%}", f"{v:,.2f}", f"{int(v):,}"
+        ), v
