@@ -30,8 +30,8 @@ from parcelworks.operators import marts as M
 from parcelworks.operators import quality as Q
 from parcelworks.operators import report as R
 from parcelworks.operators.staging import stage_all
-from parcelworks.session import configure
-from parcelworks.sources.csv import read_raw_tables, register_raw_views
+from parcelworks.session import configure, size_shuffles_for_input
+from parcelworks.sources.csv import read_raw_tables, register_raw_views, required_files
 from parcelworks.sources.manifest import snapshot_entries, write_snapshot_manifest
 from parcelworks.sources.schemas import LOGICAL_TABLES
 
@@ -114,6 +114,7 @@ def build_warehouse(
     if raw is None:
         if data_dir is None:
             raise ValueError("build_warehouse needs data_dir or raw tables")
+        size_shuffles_for_input(spark, list(required_files(spark, data_dir).values()))
         raw = read_raw_tables(spark, data_dir)
     register_raw_views(raw)
     staged = stage_all(raw)

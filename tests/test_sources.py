@@ -86,3 +86,19 @@ def test_columns_bound_by_header_name(spark, clean_dir, tmp_path):
     (tmp_path / "bad.csv").write_text("order_id,price\no1,1.0\n")
     with pytest.raises(ValueError, match="missing column"):
         read_raw_table(spark, "order_items", str(tmp_path / "bad.csv"))
+
+
+def test_shuffle_sizing_only_raises_and_respects_user(spark, clean_dir):
+    from parcelworks.session import input_bytes, size_shuffles_for_input
+    from parcelworks.sources.csv import required_files
+
+    paths = list(required_files(spark, clean_dir).values())
+    assert 0 < input_bytes(spark, paths) < 10_000
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert size_shuffles_for_input(spark, paths) is None  # tiny input: keep the session's setting
+    spark.conf.set(key, "7")
+    try:
+        assert size_shuffles_for_input(spark, paths) is None
+        assert spark.conf.get(key) == "7"
+    finally:
+        spark.conf.unset(key)
