@@ -6,8 +6,9 @@ path), byte size and SHA-256.  Hashing runs in tasks, spread over files:
 * files up to ``inline_limit`` bytes are hashed in the JVM
   (``binaryFile`` + ``sha2``); the length filter is pushed into the
   binaryFile scan, so larger files' contents are never loaded whole;
-* larger files are streamed through hashlib in fixed-size chunks inside
-  ``mapInPandas`` (bounded memory, no 2 GB row limit).
+* larger files (if any: checked on file metadata first) are streamed
+  through hashlib in fixed-size chunks inside ``mapInPandas`` (bounded
+  memory, no 2 GB row limit).
 """
 
 from __future__ import annotations
@@ -68,27 +69,34 @@ def _stream_sha256_fn(chunk: int = CHUNK):
 def file_fingerprints(
     spark: SparkSession, files: dict[str, str], inline_limit: int = INLINE_LIMIT
 ) -> DataFrame:
-    """One row per file under each logical table's path (file or folder)."""
-    frames = []
+    """One row per file under each logical table's path (file or folder):
+    position, logical_table, filename, bytes, sha256."""
+    scans = []
     for position, (table, path) in enumerate(files.items()):
-        listing = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(path)
+        scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        scans.append(
+            scan.select(
+                F.lit(position).alias("position"), F.lit(table).alias("logical_table"),
+                "path", "length", "content",
+            )
         )
-        tag = [F.lit(position).alias("position"), F.lit(table).alias("logical_table")]
-        small = listing.where(F.col("length") <= inline_limit).select(
-            *tag, "path", F.col("length").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256")
-        )
-        large = (
-            listing.where(F.col("length") > inline_limit)
-            .select(*tag, "path", F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256"))
-            .mapInPandas(_stream_sha256_fn(), ENTRY_SCHEMA)
-        )
-        frames += [small, large]
-    out = frames[0]
-    for df in frames[1:]:
-        out = out.unionByName(df)
+    listed = scans[0]
+    for df in scans[1:]:
+        listed = listed.unionByName(df)
+
+    # Files up to the limit: hashed in the JVM; the length filter is pushed
+    # into the binaryFile scan, so larger files' contents are never loaded.
+    out = listed.where(F.col("length") <= inline_limit).select(
+        "position", "logical_table", "path",
+        F.col("length").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256"),
+    )
+    large = listed.where(F.col("length") > inline_limit).select(
+        "position", "logical_table", "path",
+        F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256"),
+    )
+    # Python workers only when some file is above the limit (a metadata-only check).
+    if not large.select("path").isEmpty():
+        out = out.unionByName(large.mapInPandas(_stream_sha256_fn(), ENTRY_SCHEMA))
     return out.select(
         "position",
         "logical_table",
