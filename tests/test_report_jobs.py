@@ -209,3 +209,12 @@ def test_display_formats_equal_python_on_many_values(spark):
         assert (r.f3, r.f2, r.pct, r.money, r.int) == (
             f"{v:.3f}", f"{v:.2f}", f"{v:.1%}", f"{v:,.2f}", f"{int(v):,}"
         ), v
+
+
+def test_stored_tables_queryable_with_sql(spark, built):
+    built.register_views()
+    row = spark.sql(
+        "SELECT count(*) AS n, sum(late_delivery) AS late FROM fct_orders WHERE late_delivery IS NOT NULL"
+    ).first()
+    assert (row.n, row.late) == (2, 1)
+    assert spark.sql("SELECT count(*) AS n FROM stg_customers").first().n == 3
