@@ -101,12 +101,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; create a private one only when
-    the session has none (local tests and benchmarks)."""
+    the session has none AND runs in local mode (tests, benchmarks).  On a
+    cluster a machine-local folder would be wrong, so that is an error."""
     existing = checkpoint_dir(spark)
     if existing:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(existing)
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     path = tempfile.mkdtemp(prefix="parcelworks-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
