@@ -5,7 +5,7 @@ inside whole-stage codegen.  The behaviour each one fixes:
 
 * ``lenient_timestamp`` / ``lenient_double``: text that does not parse
   becomes NULL; partial dates ("2018", "2018-01") and Java float suffixes
-  ("1.5d", "1f") are rejected rather than guessed.
+  ("1.5d", "1f") are rejected rather than guessed; "1_000" is 1000.
 * ``strict_int``: whole-number text is cast, decimal text is rounded half
   away from zero, anything else stops the job with an error naming the value.
 * ``trim_spaces``: strips every Unicode space separator (space, no-break
@@ -34,6 +34,8 @@ SPACE_SEPARATORS = (
 _DATE_PREFIX = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 # A number ending in a Java float/double suffix ("1.5d", "2F").
 _FLOAT_SUFFIX = r"[0-9.]\s*[dDfF]\s*$"
+# A single underscore between two digits is a digit separator ("1_000").
+_DIGIT_SEPARATOR = r"(?<=[0-9])_(?=[0-9])"
 
 
 def _col(c: Column | str) -> Column:
@@ -62,16 +64,21 @@ def lenient_timestamp(c: Column | str) -> Column:
     return F.when(s.rlike(_DATE_PREFIX), s.try_cast("timestamp_ntz"))
 
 
+def _without_digit_separators(s: Column) -> Column:
+    return F.when(s.contains("_"), F.regexp_replace(s, _DIGIT_SEPARATOR, "")).otherwise(s)
+
+
 def lenient_double(c: Column | str) -> Column:
-    """Text -> DOUBLE, NULL when unparsable; 'inf'/'nan' are accepted."""
-    s = _text(c)
+    """Text -> DOUBLE, NULL when unparsable; 'inf'/'nan' are accepted, and
+    single underscores between digits are digit separators."""
+    s = _without_digit_separators(_text(c))
     return F.when(~s.rlike(_FLOAT_SUFFIX), s.try_cast("double"))
 
 
 def strict_int(c: Column | str, name: str = "value") -> Column:
     """Text -> INT.  NULL stays NULL; decimal text rounds half away from
     zero; text that is not a number (or overflows) raises."""
-    s = _text(c)
+    s = _without_digit_separators(_text(c))
     whole = s.try_cast("int")
     rounded = F.round(s.try_cast("decimal(38,9)"), 0).try_cast("int")
     value = F.coalesce(whole, rounded)

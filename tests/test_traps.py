@@ -45,7 +45,8 @@ def test_lenient_timestamp(spark, text, expected):
 @pytest.mark.parametrize(
     "text,expected",
     [("1.5", 1.5), (" 2 ", 2.0), ("1.5d", None), ("1f", None), ("2.0F", None),
-     ("abc", None), ("", None), (None, None), ("-3.25", -3.25), ("1e3", 1000.0)],
+     ("abc", None), ("", None), (None, None), ("-3.25", -3.25), ("1e3", 1000.0),
+     ("1_000", 1000.0), ("1_000.5", 1000.5), ("1__000", None), ("_1", None), ("1_", None)],
 )
 def test_lenient_double(spark, text, expected):
     assert one(spark, C.lenient_double("s"), text) == expected
@@ -55,7 +56,9 @@ def test_lenient_double_keeps_infinity(spark):
     assert math.isinf(one(spark, C.lenient_double("s"), "inf"))
 
 
-@pytest.mark.parametrize("text,expected", [("7", 7), (" 12 ", 12), ("1.6", 2), ("2.5", 3), ("-2.5", -3), (None, None)])
+@pytest.mark.parametrize(
+    "text,expected", [("7", 7), (" 12 ", 12), ("1.6", 2), ("2.5", 3), ("-2.5", -3), ("1_000", 1000), (None, None)]
+)
 def test_strict_int_accepts_numbers(spark, text, expected):
     assert one(spark, C.strict_int("s"), text) == expected
 
