@@ -7,7 +7,8 @@ inside whole-stage codegen.  The behaviour each one fixes:
   becomes NULL; partial dates ("2018", "2018-01") and Java float suffixes
   ("1.5d", "1f") are rejected rather than guessed; "1_000" is 1000.
 * ``strict_int``: whole-number text is cast, decimal text is rounded half
-  away from zero, anything else stops the job with an error naming the value.
+  away from zero, "0x"/"0b" literals are read in base 16/2, anything else
+  stops the job with an error naming the value.
 * ``trim_spaces``: strips every Unicode space separator (space, no-break
   space, ...) but keeps tabs and newlines.
 * ``day_diff``: number of calendar-day boundaries between two timestamps.
@@ -81,7 +82,15 @@ def strict_int(c: Column | str, name: str = "value") -> Column:
     s = _without_digit_separators(_text(c))
     whole = s.try_cast("int")
     rounded = F.round(s.try_cast("decimal(38,9)"), 0).try_cast("int")
-    value = F.coalesce(whole, rounded)
+    # unsigned hexadecimal / binary literals ("0x1F", "0b101")
+    hex_digits = F.regexp_extract(s, r"^0[xX]([0-9a-fA-F]+)$", 1)
+    bin_digits = F.regexp_extract(s, r"^0[bB]([01]+)$", 1)
+    radix = (
+        F.when(hex_digits != "", F.conv(hex_digits, 16, 10))
+        .when(bin_digits != "", F.conv(bin_digits, 2, 10))
+        .try_cast("int")
+    )
+    value = F.coalesce(whole, rounded, radix)
     message = F.concat(F.lit(f"cannot cast {name} to INTEGER: '"), s, F.lit("'"))
     return (
         F.when(s.isNull(), F.lit(None).cast("int"))

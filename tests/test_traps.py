@@ -57,15 +57,18 @@ def test_lenient_double_keeps_infinity(spark):
 
 
 @pytest.mark.parametrize(
-    "text,expected", [("7", 7), (" 12 ", 12), ("1.6", 2), ("2.5", 3), ("-2.5", -3), ("1_000", 1000), (None, None)]
+    "text,expected",
+    [("7", 7), (" 12 ", 12), ("1.6", 2), ("2.5", 3), ("-2.5", -3), ("1_000", 1000), ("0x10", 16),
+     ("0XfF", 255), ("0b101", 5), (None, None)],
 )
 def test_strict_int_accepts_numbers(spark, text, expected):
     assert one(spark, C.strict_int("s"), text) == expected
 
 
-def test_strict_int_raises_on_text(spark):
+@pytest.mark.parametrize("text", ["five", "-0x10", "0x80000000", "2147483648", ""])
+def test_strict_int_raises_on_text(spark, text):
     with pytest.raises(Exception, match="cannot cast"):
-        one(spark, C.strict_int("s", "review_score"), "five")
+        one(spark, C.strict_int("s", "review_score"), text)
 
 
 def test_trim_spaces_strips_nbsp_keeps_tab(spark):
