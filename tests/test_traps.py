@@ -152,3 +152,15 @@ def test_divide_by_zero_seller_count_is_null(spark):
     row = fct_seller_performance(order_seller_facts(pairs, fct)).first()
     assert row.seller_id is None and row.order_count == 1
     assert row.allocated_gross_item_freight_value is None
+
+
+@pytest.mark.parametrize(
+    "cp,stripped",
+    [(0x20, True), (0xA0, True), (0x1680, True), (0x2000, True), (0x200A, True), (0x202F, True),
+     (0x205F, True), (0x3000, True), (0x09, False), (0x0A, False), (0x85, False), (0x200B, False),
+     (0xFEFF, False), (0x2028, False)],
+)
+def test_trim_strips_exactly_space_separators(spark, cp, stripped):
+    ch = chr(cp)
+    out = one(spark, C.trim_spaces("s"), f"{ch}x{ch}")
+    assert (out == "x") == stripped
