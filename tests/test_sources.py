@@ -102,3 +102,18 @@ def test_shuffle_sizing_only_raises_and_respects_user(spark, clean_dir):
         assert spark.conf.get(key) == "7"
     finally:
         spark.conf.unset(key)
+
+
+def test_configure_applies_scale_settings(spark):
+    from parcelworks.session import configure, scale_conf
+
+    extra = scale_conf(10 * 2**30, 16)
+    before = {k: spark.conf.get(k, None) for k in extra}
+    try:
+        configure(spark, extra=extra)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == extra["spark.sql.shuffle.partitions"] == "48"
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
