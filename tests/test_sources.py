@@ -117,3 +117,15 @@ def test_configure_applies_scale_settings(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_input_bytes_counts_folder_layout(spark, tmp_path):
+    from parcelworks.session import input_bytes
+
+    folder = tmp_path / "items"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text("a\n1\n")
+    (folder / "part-1.csv").write_text("a\n22\n")
+    single = tmp_path / "one.csv"
+    single.write_text("a\n333\n")
+    assert input_bytes(spark, [str(folder), str(single)]) == 4 + 5 + 6
