@@ -22,7 +22,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import own_columns, stored
@@ -125,20 +125,10 @@ def duplicate_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     contents = _lines(rows).select("id", "line").join(involved, "id").groupBy("number").agg(F.first("line").alias("content"))
     contents = stored(contents.select(F.col("number").alias("id"), "content"), "line-texts")
 
-    def may(x: Column, y: Column) -> Column:
-        # shingle sets can be smaller than the length says, so lengths alone decide nothing
-        return F.lit(True)
+    def hashes(line: str) -> np.ndarray:
+        return np.unique(grams_of([line.encode("utf-8")])[0])
 
-    @F.pandas_udf("boolean")
-    def same(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for left, right in zip(x, y, strict=True):
-            a, b = shingles(left), shingles(right)
-            both = len(a & b)
-            out.append(100 * both >= PERCENT * (len(a) + len(b) - both))
-        return pd.Series(out, dtype=bool)
-
-    roots, _ = link_components(postings, contents, may, same)
+    roots, _ = link_components(postings.select("key", "id"), contents, hashes, shingles, PERCENT)
     named = stored(involved.join(roots, F.col("number") == F.col("node")).select("id", "root"), "line-components")
     places = stored(_lines(rows, "doc_id", "row").select("doc_id", "row", "line_no", "id"), "line-places")
     grouped = places.join(named, "id", "left").withColumn("group", F.coalesce(F.col("root").cast("string"), F.hex("id")))

@@ -1,16 +1,22 @@
 """From shared keys to verified components, without emitting all pairs of a key's members.
 
-Input: postings ``(key, id, size)`` such that two ids that must be linked share
-at least one key, and contents ``(id, content)`` to verify a pair exactly.
-
-1. *Pivot rounds.*  In every key each member is paired with the key's smallest
-   (then largest) member; of its pivots a member keeps the one it shares most
-   keys with.  These at most n pairs are verified and joined into components.
-   A group of thousands of near copies collapses here with a linear number of
-   verifications.
-2. *Rest.*  Only pairs of members of one key that are still in different
-   components can add a link.  A key whose members are in one component is
-   finished.  The others are expanded, each pair once, and verified.
+Input: postings ``(key, id)`` such that two ids that must be linked share at
+least one key, and contents ``(id, content)``.  Two contents link when the
+Jaccard similarity of their sets reaches ``percent`` / 100.
+
+A profile of each set (how many of its members fall into each of 128 hash
+buckets) bounds the overlap of two sets from above; only pairs within the bound
+are verified on their contents.
+
+1. *Short lists.*  Keys with at most ``SHORT`` members give all their pairs (a
+   linear number), each pair once.
+2. *Long lists.*  The members of a longer list are scanned against each other
+   inside tasks, in blocks of at most ``BLOCK`` members, and only across the
+   components found so far; a list whose members are in one component is
+   finished.  In each of ``ROUNDS`` rounds a member returns its most similar
+   partner of another component, so rows stay linear while the components of a
+   large group of near copies grow together.  The last scan returns every pair
+   that is still across components and within the bound.
 
 So no link that could change a component is skipped, and pairs inside a
 component, which are the quadratic part of a hot group, are never made.
@@ -20,79 +26,182 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 from .components import components
 
+SHORT = 16
+BLOCK = 2048
+ROUNDS = 3
+BUCKETS = 128
+_CELLS = 1 << 23  # profile cells compared at once
+
+
+def profile(hashes: np.ndarray) -> bytes:
+    """Bucket counts of a set of 64-bit hashes; empty (no bound) when a count does not fit a byte."""
+    counts = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def reaches(both, a, b, percent: int):
+    """Whether an overlap of two sets of sizes a and b has the similarity."""
+    return 100 * both >= percent * (a + b - both)
+
+
+def _scan_list(ids, sizes, roots, block, profiles, percent: int, best: bool):
+    """Pairs of one list in different components that the bound allows (``best``: one per member); [(id, id)]."""
+    names, inverse, counts = np.unique(roots, return_inverse=True, return_counts=True)
+    if len(names) < 2:
+        return []
+    bounded = np.array([len(p) == BUCKETS for p in profiles])
+    table = np.zeros((len(ids), BUCKETS), np.uint8)
+    for i in np.flatnonzero(bounded):
+        table[i] = np.frombuffer(profiles[i], np.uint8)
+    # every pair in two components has a member outside the largest one
+    rows = np.flatnonzero(inverse != counts.argmax())
+    step, out = max(1, _CELLS // (BUCKETS * len(ids))), []
+    for lo in range(0, len(rows), step):
+        part = rows[lo : lo + step]
+        small = np.minimum(sizes[part][:, None], sizes[None, :])
+        most = np.minimum(table[part][:, None, :], table[None, :, :]).sum(axis=2, dtype=np.int64)
+        most = np.where(bounded[part][:, None] & bounded[None, :], np.minimum(most, small), small)
+        fits = reaches(most, sizes[part][:, None], sizes[None, :], percent) & (inverse[part][:, None] != inverse[None, :])
+        if block is not None:  # two blocks: only pairs across them
+            fits &= block[part][:, None] != block[None, :]
+        x, y = np.nonzero(fits)
+        if best and len(x):
+            score = most[x, y] * 1000 // np.maximum(sizes[part[x]] + sizes[y] - most[x, y], 1)
+            order = np.lexsort((-score, x))
+            first = np.ones(len(order), bool)
+            first[1:] = x[order][1:] != x[order][:-1]
+            x, y = x[order][first], y[order][first]
+        out += zip(ids[part[x]].tolist(), ids[y].tolist(), strict=True)
+    return out
+
+
+def _scan(opened: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Candidate pairs (a, b), a < b; ``opened`` has key, id, root, size, profile and the key's member count."""
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.lit(1)).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    cells = opened.withColumn("blocks", blocks).withColumn("own", own)
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "own", "id", "root", "size", "profile",
+    )
+
+    def pairs(batches):
+        held, cell = [], None
+
+        def flush():
+            if len(held) < 2:
+                return None
+            key_, i, j, own_, ids, roots, sizes, profiles = zip(*held, strict=True)
+            block = np.array(own_) if i[0] != j[0] else None
+            found = _scan_list(np.array(ids), np.array(sizes), np.array(roots), block, profiles, percent, best)
+            if not found:
+                return None
+            a, b = np.array(found).T
+            return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+        for batch in batches:
+            for row in zip(*(batch[c] for c in batch.columns), strict=True):
+                if row[:3] != cell:
+                    made = flush()
+                    if made is not None:
+                        yield made
+                    held, cell = [], row[:3]
+                held.append(row)
+        made = flush()
+        if made is not None:
+            yield made
+
+    ordered = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return ordered.mapInPandas(pairs, "a long, b long").distinct()
+
+
+def _verified(pairs: DataFrame, contents: DataFrame, exact: Callable[[str], set], percent: int) -> DataFrame:
+    @F.pandas_udf("boolean")
+    def same(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = []
+        last, a = None, set()
+        for left, right in zip(x, y, strict=True):
+            if left is not last:
+                last, a = left, exact(left)
+            b = exact(right)
+            both = len(a & b)
+            out.append(both > 0 and reaches(both, len(a), len(b), percent))
+        return pd.Series(out, dtype=bool)
 
-def _verified(pairs: DataFrame, contents: DataFrame, same: Callable[[Column, Column], Column]) -> DataFrame:
     one = contents.select(F.col("id").alias("a"), F.col("content").alias("content_a"))
     two = contents.select(F.col("id").alias("b"), F.col("content").alias("content_b"))
     both = pairs.select("a", "b").join(one, "a").join(two, "b")
-    return both.where(same(F.col("content_a"), F.col("content_b"))).select("a", "b")
+    return both.where(same("content_a", "content_b")).select("a", "b")
 
 
-def _labelled(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return postings.withColumn("root", F.col("id"))
-    known = postings.join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
-    return known.withColumn("root", F.coalesce("root", "id"))
+def _open(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    """Postings of the keys whose members are not yet in one component, with root and member count."""
+    known = postings.select("key", "id").join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
+    known = known.withColumn("root", F.coalesce("root", "id"))
+    keys = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
+    keys = stored(keys.where("low < high").select("key", "members"), "open-keys")
+    return stored(known.join(keys, "key"), "open-postings")
 
 
-def _open(labelled: DataFrame) -> DataFrame:
-    """Postings of keys whose members are not yet in one component."""
-    keys = labelled.groupBy("key").agg(
-        F.min("root").alias("low"),
-        F.max("root").alias("high"),
-        F.min(F.struct("id", "size")).alias("first"),
-        F.max(F.struct("id", "size")).alias("last"),
-    )
-    keys = stored(keys.where("low < high").select("key", "first", "last"), "open-keys")
-    return labelled.join(keys, "key")
+def _short_pairs(postings: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """All pairs of the short lists that the bound allows."""
+    x = postings.select("key", F.col("id").alias("a"))
+    pairs = x.join(postings.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b").distinct()
 
+    @F.pandas_udf("boolean")
+    def within(size_a: pd.Series, one: pd.Series, size_b: pd.Series, two: pd.Series) -> pd.Series:
+        most = np.minimum(size_a.to_numpy(), size_b.to_numpy()).astype(np.int64)
+        good = np.array([len(p) == BUCKETS and len(q) == BUCKETS for p, q in zip(one, two, strict=True)], bool)
+        if good.any():
+            tables = [np.frombuffer(b"".join(s[good]), np.uint8).reshape(-1, BUCKETS) for s in (one, two)]
+            most[good] = np.minimum(most[good], np.minimum(*tables).sum(axis=1, dtype=np.int64))
+        return pd.Series(reaches(most, size_a.to_numpy(), size_b.to_numpy(), percent))
 
-def _pivot_pairs(opened: DataFrame, pivot: str, may: Callable[[Column, Column], Column]) -> DataFrame:
-    to = F.col(f"{pivot}.id")
-    pairs = (
-        opened.where((F.col("id") != to) & may(F.col("size"), F.col(f"{pivot}.size")))
-        .groupBy(F.col("id").alias("a"), to.alias("b"))
-        .agg(F.count("*").alias("shared"))
-    )
-    best = pairs.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best"))
-    return best.select("a", F.col("best.b").alias("b"))
+    one = profiles.select(F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("profile").alias("profile_a"))
+    two = profiles.select(F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("profile").alias("profile_b"))
+    both = stored(pairs, "short-pairs").join(one, "a").join(two, "b")
+    return both.where(within("size_a", "profile_a", "size_b", "profile_b")).select("a", "b")
 
 
 def link_components(
     postings: DataFrame,
     contents: DataFrame,
-    may: Callable[[Column, Column], Column],
-    same: Callable[[Column, Column], Column],
-    pair_check: Column | None = None,
+    hashes: Callable[[str], np.ndarray],
+    exact: Callable[[str], set],
+    percent: int,
 ) -> tuple[DataFrame, DataFrame]:
     """(components (node, root), verified links (a, b)).
 
-    ``may(size_a, size_b)`` is a cheap necessary condition; ``same`` decides on
-    the contents; ``pair_check`` may use columns of both postings (suffixes
-    ``_x`` and ``_y``) as a further necessary condition.
+    ``hashes`` gives the distinct 64-bit hashes of a content's set, ``exact`` the set itself.
     """
-    links, roots = None, None
-    for pivot in ("first", "last"):
-        opened = _open(_labelled(postings, roots))
-        found = stored(_verified(_pivot_pairs(opened, pivot, may), contents, same), "pivot-links")
-        links = found if links is None else stored(links.union(found), "pivot-links")
-        roots = stored(components(links, "a", "b"), "roots")
 
-    opened = stored(_open(_labelled(postings, roots)).drop("first", "last"), "open-postings")
-    x = opened.select("key", *[F.col(c).alias(f"{c}_x") for c in opened.columns if c != "key"])
-    y = opened.select("key", *[F.col(c).alias(f"{c}_y") for c in opened.columns if c != "key"])
-    cross = x.join(y, "key").where(
-        (F.col("id_x") < F.col("id_y")) & (F.col("root_x") != F.col("root_y")) & may(F.col("size_x"), F.col("size_y"))
-    )
-    if pair_check is not None:
-        cross = cross.where(pair_check)
-    rest = cross.select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct()
-    rest = stored(rest, "rest-pairs")
-    links = stored(links.union(_verified(rest, contents, same)), "links")
-    return components(links, "a", "b"), links
+    @F.pandas_udf("size int, profile binary")
+    def profiled(content: pd.Series) -> pd.DataFrame:
+        found = [hashes(c) for c in content]
+        return pd.DataFrame({"size": [len(h) for h in found], "profile": [profile(h) for h in found]})
+
+    profiles = contents.select("id", profiled("content").alias("p"))
+    profiles = stored(profiles.select("id", "p.size", "p.profile"), "profiles")
+    long = postings.groupBy("key").agg(F.count("*").alias("members"))
+    long = stored(long.where(F.col("members") > SHORT).select("key"), "long-keys")
+    short = _short_pairs(postings.join(long, "key", "left_anti"), profiles, percent)
+    links = stored(_verified(stored(short, "short-bound"), contents, exact, percent), "links")
+    roots = stored(components(links, "a", "b"), "roots")
+    opened = stored(postings.join(long, "key"), "long-lists")
+    for turn in range(ROUNDS + 1):
+        opened = _open(opened, roots)
+        if opened.isEmpty():
+            break
+        pairs = stored(_scan(opened.join(profiles, "id"), percent, best=turn < ROUNDS), "scan-pairs")
+        links = stored(links.union(_verified(pairs, contents, exact, percent)), "links")
+        roots = stored(components(links, "a", "b"), "roots")
+    return roots, links

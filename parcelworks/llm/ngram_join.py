@@ -8,29 +8,30 @@ shares at least c(b) = ceil(t * b) of them.
   sets that link share one such subset, whose hash is the join key.
 * *Heavy* (b > boundary): every set posts the rarest n - ceil(t * n) + 1 of its
   shingles to inverted lists; two sets that link share one of them.  Rarity
-  comes from a counting sketch of fixed size over all classes (any fixed
+  comes from a counting sketch of fixed size over all documents (any fixed
   total order is exact; a rare-first order keeps the lists short).
 
 The boundary minimises the number of postings plus expected list scans over
 the size histogram (sizes up to ``MAX_LIGHT``; larger sets are heavy).  The
-lists are then scanned by ``linking``: pivots first, then only pairs still in
-different components, with a positional and a size condition.  Every candidate
-is verified on the texts themselves.
+lists are then scanned by ``linking``: pivots first, then only members still in
+different components.  Every link is verified on the texts themselves.
 
 Defined results: null and empty text, and text without words, have an empty
-set, n_shingles 0, no link and a component of their own; null doc_ids link
-nothing and are their own component (null); repeated rows and ties share
-their class; an empty table gives no rows; extra columns are ignored.
+set, n_shingles 0, no link, and their own doc_id as component; rows with a null
+doc_id link like others, and a component without any doc_id has component_id
+null; repeated rows and ties share their class; an empty table gives no rows;
+extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import own_columns, stored
@@ -39,6 +40,7 @@ from .shingles import mix, shingle_set, shingles_as_tuples
 
 MAX_LIGHT = 30
 SKETCH = 1 << 20  # counters of the rarity sketch; fixed whatever the input
+_CHUNK = 1 << 12  # counters in a row of the sketch's tables
 
 
 def need(size: int, percent: int) -> int:
@@ -46,20 +48,35 @@ def need(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
-def _classes(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n, and the 128-bit identity of the shingle set."""
+_READ = "tid long, doc_id long, n long, s1 long, s2 long, chunk int, counts binary"
+
+
+def _read(docs: DataFrame, k: int) -> DataFrame:
+    """One pass over the texts: a row per document (the 128-bit identity of its set) and, per task, the
+    counters of the rarity sketch, packed."""
 
     def build(batches):
+        total = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            n, one, two = [], [], []
+            n, one, two, found = [], [], [], []
             for text in batch["text"]:
                 s = shingle_set(text, k)
                 n.append(len(s))
                 one.append(int(s.sum().view(np.int64)))
                 two.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum().view(np.int64)))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n": n, "s1": one, "s2": two})
+                found.append(s)
+            if found:
+                at = (np.concatenate(found) & np.uint64(SKETCH - 1)).astype(np.int64)
+                total += np.bincount(at, minlength=SKETCH)
+            yield pd.DataFrame({"tid": batch["tid"], "doc_id": batch["doc_id"].astype("Int64"), "n": n, "s1": one, "s2": two,
+                                "chunk": -1, "counts": b""})
+        parts = [(c, total[c * _CHUNK : (c + 1) * _CHUNK]) for c in range(SKETCH // _CHUNK)]
+        kept = [(c, zlib.compress(np.minimum(p, 2**31 - 1).astype("<i4").tobytes(), 1)) for c, p in parts if p.any()]
+        if kept:
+            frame = pd.DataFrame(kept, columns=["chunk", "counts"])
+            yield frame.assign(tid=0, doc_id=0, n=0, s1=0, s2=0)[[c.split()[0] for c in _READ.split(", ")]]
 
-    return docs.mapInPandas(build, "doc_id long, n long, s1 long, s2 long")
+    return docs.mapInPandas(build, _READ)
 
 
 def _light_sizes(n: int, boundary: int, percent: int) -> list[int]:
@@ -83,120 +100,86 @@ def choose_boundary(histogram: dict[int, int], percent: int) -> int:
     return best
 
 
-def _sketch(reps: DataFrame, k: int) -> DataFrame:
-    """(bucket, n): in how many classes a shingle of the bucket occurs."""
+def _rarity(read: DataFrame) -> np.ndarray:
+    """The sketch as one byte per counter, on a log scale: at most SKETCH bytes, whatever the input."""
 
-    def count(batches):
-        total = np.zeros(SKETCH, np.int64)
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            found = [shingle_set(t, k) & np.uint64(SKETCH - 1) for t in batch["text"]]
-            if found:
-                total += np.bincount(np.concatenate(found).astype(np.int64), minlength=SKETCH)
-        at = np.flatnonzero(total)
-        for lo in range(0, len(at), 100_000):
-            part = at[lo : lo + 100_000]
-            yield pd.DataFrame({"bucket": part.astype(np.int32), "n": total[part]})
-
-    return reps.select("text").mapInPandas(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-
-
-def _postings(spark: SparkSession, reps: DataFrame, k: int, percent: int, boundary: int) -> DataFrame:
-    table = np.zeros(SKETCH, np.int32)
-    sketch = _sketch(reps, k)
-    # at most SKETCH rows, whatever the input; log2 steps are enough for an order
-    for row in sketch.select("bucket", F.floor(F.log2("n") * 4).cast("int").alias("r")).toLocalIterator():
-        table[row["bucket"]] = row["r"]
-    shared = spark.sparkContext.broadcast(table.astype(np.uint8))
+            for chunk, counts in zip(batch["chunk"], batch["counts"], strict=True):
+                own = np.frombuffer(zlib.decompress(counts), "<i4").astype(np.int64)
+                total[chunk] = total[chunk] + own if chunk in total else own
+        if total:
+            scaled = [np.minimum(np.log2(t + 1) * 5, 255).astype(np.uint8).tobytes() for t in total.values()]
+            yield pd.DataFrame({"chunk": list(total), "scaled": scaled})
+
+    parts = read.where("chunk >= 0").select("chunk", "counts").repartition("chunk")
+    table = np.zeros(SKETCH, np.uint8)
+    for row in parts.mapInPandas(add, "chunk int, scaled binary").collect():
+        table[row["chunk"] * _CHUNK : (row["chunk"] + 1) * _CHUNK] = np.frombuffer(row["scaled"], np.uint8)
+    return table
+
+
+def _postings(texts: DataFrame, rarity: np.ndarray, k: int, percent: int, boundary: int) -> DataFrame:
+    """(key, id) of every class; ``texts`` has number and text."""
+    shared = texts.sparkSession.sparkContext.broadcast(rarity)  # SKETCH bytes
     low = need(boundary + 1, percent)
 
     def post(batches):
         rank = shared.value
         for batch in batches:
-            key, ids, size, pos = [], [], [], []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            key, ids = [], []
+            for number, text in zip(batch["number"], batch["text"], strict=True):
                 s = shingle_set(text, k)
                 n = len(s)
                 if n <= boundary:
                     for c in _light_sizes(n, boundary, percent):
                         rows = np.array(list(combinations(s.tolist(), c)), np.uint64)
-                        keys = mix(mix(rows).sum(axis=1, dtype=np.uint64) + np.uint64(c))
-                        key.append(keys)
-                        pos.append(np.full(len(keys), -1))
+                        key.append(mix(mix(rows).sum(axis=1, dtype=np.uint64) + np.uint64(c)))
+                        ids.append(np.full(len(rows), number))
                 if n >= low:
                     order = np.lexsort((s, rank[(s & np.uint64(SKETCH - 1)).astype(np.int64)]))
-                    keys = s[order[: n - need(n, percent) + 1]]
-                    key.append(keys)
-                    pos.append(np.arange(len(keys)))
-                made = sum(map(len, key)) - len(ids)
-                ids.extend([doc_id] * made)
-                size.extend([n] * made)
+                    key.append(s[order[: n - need(n, percent) + 1]])
+                    ids.append(np.full(len(key[-1]), number))
             if ids:
-                yield pd.DataFrame(
-                    {"key": np.concatenate(key).view(np.int64), "id": ids, "size": size, "pos": np.concatenate(pos)}
-                )
-
-    made = reps.select("doc_id", "text").mapInPandas(post, "key long, id long, size int, pos int")
-    return made
+                yield pd.DataFrame({"key": np.concatenate(key).view(np.int64), "id": np.concatenate(ids)})
 
-
-def _shared_only(postings: DataFrame) -> DataFrame:
-    """Drop the lists with one member: they make no pair."""
-    lists = postings.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
-    return postings.join(lists, "key")
+    return texts.mapInPandas(post, "key long, id long")
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """(per document: doc_id, n_shingles, component_id; links between class representatives)."""
-    spark = docs.sparkSession
-    docs = own_columns(docs, "doc_id", "text")
-    member = stored(_classes(docs, k), "sets")
+    """(per document: doc_id, n_shingles, component_id; links between numbered classes)."""
+    text = F.coalesce("text", F.lit(""))
+    docs = own_columns(docs, "doc_id", "text").select(F.xxhash64(text).alias("tid"), "doc_id", text.alias("text"))
+    read = stored(_read(docs, k), "sets")
+    member = read.where("chunk < 0").select("doc_id", "tid", "n", "s1", "s2")
     identity = ["n", "s1", "s2"]
-    classes = stored(
-        member.where("n > 0 and doc_id is not null").groupBy(*identity).agg(F.min("doc_id").alias("rep")), "classes"
-    )
-    boundary = choose_boundary(
-        {r["n"]: r["count"] for r in classes.where(F.col("n") <= 2 * MAX_LIGHT).groupBy("n").count().collect()},
-        percent,
-    )
-    reps = docs.join(classes.select(F.col("rep").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"])
-    reps = stored(reps, "class-texts")
-    postings = stored(_shared_only(stored(_postings(spark, reps, k, percent, boundary), "postings")), "lists")
-    involved = postings.select("id").distinct()
-    contents = stored(
-        reps.join(involved, F.col("doc_id") == F.col("id")).select("id", F.col("text").alias("content")), "contents"
-    )
-
-    def may(x: Column, y: Column) -> Column:
-        return F.least(x, y) * 100 >= F.greatest(x, y) * percent
-
-    @F.pandas_udf("boolean")
-    def same(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        last, a = None, set()
-        for left, right in zip(x, y, strict=True):
-            if left is not last:
-                last, a = left, shingles_as_tuples(left, k)
-            b = shingles_as_tuples(right, k)
-            both = len(a & b)
-            out.append(both > 0 and 100 * both >= percent * (len(a) + len(b) - both))
-        return pd.Series(out, dtype=bool)
-
-    # a shared shingle at places i, j of the rare-first orders leaves at most this overlap
-    most = F.least(F.col("size_x") - F.col("pos_x"), F.col("size_y") - F.col("pos_y"))
-    most = most + F.least("pos_x", "pos_y")
-    positional = (F.col("pos_x") < 0) | (F.col("pos_y") < 0) | (
-        most * (100 + percent) >= percent * (F.col("size_x") + F.col("size_y"))
-    )
-    roots, links = link_components(postings, contents, may, same, positional)
-    roots = stored(roots, "components")
-    named = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
-        *identity, F.coalesce("root", "rep").alias("root")
+    pick = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")).alias("pick")
+    classes = member.where("n > 0").groupBy(*identity).agg(F.min("doc_id").alias("least"), pick)
+    classes = stored(classes.withColumn("number", F.monotonically_increasing_id()), "classes")
+    histogram = classes.where(F.col("n") <= 2 * MAX_LIGHT).groupBy("n").count().collect()
+    boundary = choose_boundary({r["n"]: r["count"] for r in histogram}, percent)
+    # one text per class, found by doc_id and text hash (repeated rows give the same postings again)
+    picked = classes.select("number", F.col("pick.doc_id").alias("_doc"), F.col("pick.tid").alias("_tid"))
+    texts = docs.join(picked, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("tid") == F.col("_tid"))).select("number", "text")
+    postings = stored(_postings(texts, _rarity(read), k, percent, boundary), "postings")
+    lists = postings.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    postings = stored(postings.join(lists.select("key"), "key"), "lists")
+    involved = postings.select(F.col("id").alias("number")).distinct().join(picked, "number")
+    involved = stored(involved, "listed-classes")
+    contents = docs.join(involved, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("tid") == F.col("_tid")))
+    contents = stored(contents.select(F.col("number").alias("id"), F.col("text").alias("content")), "contents")
+
+    roots, links = link_components(
+        postings, contents, lambda t: shingle_set(t, k), lambda t: shingles_as_tuples(t, k), percent
     )
-    named = stored(named, "class-components")
+    named = classes.join(roots, F.col("number") == F.col("node"), "left")
+    named = stored(named.select(*identity, "least", F.coalesce("root", "number").alias("root")), "class-components")
+    least = stored(named.groupBy("root").agg(F.min("least").alias("component")), "component-ids")
+    named = stored(named.join(least, "root").select(*identity, "component"), "class-ids")
     found = member.join(named, identity, "left")
-    return found.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id")
-    ), links
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")), links
 
 
 def one_per_component(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

@@ -10,11 +10,11 @@ could join two pieces are encoded whole.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterable
 
-import numpy as np
-
-_CACHE_LIMIT = 400_000  # pieces kept per worker; memory only, never results
+_CACHE_LIMIT = 1_200_000  # pieces kept per worker; memory only, never results
 _LOADED: dict[str, object] = {}
 _CACHES: dict[str, dict[bytes, bytes]] = {}
 _OTHER_SPACE = re.compile(r"[^\S \t\n\r\f\v]")
@@ -37,7 +37,10 @@ def _library(path: str):
 
 
 def _as_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    packed = array("I", ids)
+    if sys.byteorder != "little":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 def _encode(path: str, texts: Iterable[str | None], split: Callable[[bytes], list[bytes]]) -> list[bytes]:

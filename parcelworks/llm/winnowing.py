@@ -78,8 +78,8 @@ def select_grams(text: Column, k: int = K, window: int = WINDOW) -> Column:
 
 
 def hash_set(grams: Column) -> Column:
-    """The distinct 32-bit hashes of selected grams."""
-    return F.array_distinct(F.transform(grams, lambda g: F.shiftright(g, 31).cast("long")))
+    """The distinct 32-bit hashes of selected grams, array<int>."""
+    return F.array_distinct(F.transform(grams, lambda g: (F.shiftright(g, 31) - F.lit(1 << 31)).cast("int")))
 
 
 def positions(grams: Column) -> Column:
@@ -102,7 +102,7 @@ def likeness(x: Column, y: Column) -> Column:
 def _documents(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return own_columns(docs, "doc_id", "text").select(
-        "doc_id", text.alias("text"), F.unhex(F.sha2(text, 256)).alias("sha")
+        "doc_id", F.unhex(F.sha2(text, 256)).alias("sha"), text.alias("text")
     )
 
 
@@ -134,20 +134,19 @@ def fingerprint_edits(docs: DataFrame, k: int = K, window: int = WINDOW) -> Data
     The edited text has the last third of the code points replaced by as many
     first ones of the next document.
     """
+    # both joins below read the same, unrenamed columns by the same key: Spark shuffles the texts once
     rows = _documents(docs)
-    links = stored(successors(docs), "successors")
+    links = stored(successors(docs), "successors").withColumnsRenamed({"doc_id": "_id", "sha": "_sha"})
     third = F.floor(F.col("n_chars") / 3).cast("int")
-    theirs = rows.select(F.col("doc_id").alias("next_id"), F.col("sha").alias("next_sha"), F.col("text").alias("body"))
-    # repeated rows have one text: every copy of a document would give the same head
-    heads = links.join(
-        theirs.dropDuplicates(["next_id", "next_sha"]) if _repeats(links, rows) else theirs,
-        links["next_id"].eqNullSafe(theirs["next_id"]) & (links["next_sha"] == theirs["next_sha"]),
-    ).select(
-        F.col("doc_id").alias("_id"),
-        F.col("sha").alias("_sha"),
+    theirs = _documents(docs)
+    if links.count() != rows.count():  # successors are distinct; every copy of a document gives the same head
+        theirs = theirs.dropDuplicates(["doc_id", "sha"])
+    heads = links.join(theirs, links["next_id"].eqNullSafe(theirs["doc_id"]) & (links["next_sha"] == theirs["sha"])).select(
+        "_id",
+        "_sha",
         "n_chars",
-        F.substring("body", F.lit(1), third).alias("head"),
-        hash_set(select_grams(F.col("body"), k, window)).alias("next_set"),
+        F.substring("text", F.lit(1), third).alias("head"),
+        hash_set(select_grams(F.col("text"), k, window)).alias("next_set"),
     )
     both = rows.join(heads, rows["doc_id"].eqNullSafe(F.col("_id")) & (rows["sha"] == F.col("_sha")))
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars") - third), F.col("head"))
@@ -170,8 +169,3 @@ def fingerprint_edits(docs: DataFrame, k: int = K, window: int = WINDOW) -> Data
         _let(hash_set(F.col("other")), lambda other: likeness(F.col("own_set"), other)).alias("near_edited"),
         likeness(F.col("own_set"), F.col("next_set")).alias("near_next"),
     )
-
-
-def _repeats(links: DataFrame, rows: DataFrame) -> bool:
-    """Whether some rows repeat doc_id and text (the successor list is distinct)."""
-    return links.count() != rows.count()
