@@ -1,13 +0,0 @@
-"""Column-level helpers: engine-neutral casts and aggregates, display formats."""
-
-from parcelworks.functions.compat import (  # noqa: F401
-    day_diff,
-    guarded_corr,
-    lenient_double,
-    lenient_timestamp,
-    month_start,
-    normalise_lower,
-    normalise_upper,
-    strict_int,
-    trim_spaces,
-)

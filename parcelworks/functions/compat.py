@@ -81,7 +81,13 @@ def strict_int(c: Column | str, name: str = "value") -> Column:
     zero; text that is not a number (or overflows) raises."""
     s = _without_digit_separators(_text(c))
     whole = s.try_cast("int")
-    rounded = F.round(s.try_cast("decimal(38,9)"), 0).try_cast("int")
+    # half away from zero depends on the first fractional digit alone, so no precision is lost
+    digits = [F.regexp_extract(s, r"^\s*([+-]?)(\d*)\.(\d?)\d*\s*$", n) for n in (1, 2, 3)]
+    size = F.coalesce(F.nullif(digits[1], F.lit("")), F.lit("0")).try_cast("long") + (digits[2] >= "5").cast("long")
+    plain = F.when((digits[1] != "") | (digits[2] != ""), F.when(digits[0] == "-", -size).otherwise(size)).try_cast("int")
+    # with an exponent the digits stand elsewhere
+    scientific = F.when(s.rlike("[eE]"), F.round(s.try_cast("decimal(38,9)"), 0)).try_cast("int")
+    rounded = F.coalesce(plain, scientific)
     # unsigned hexadecimal / binary literals ("0x1F", "0b101")
     hex_digits = F.regexp_extract(s, r"^0[xX]([0-9a-fA-F]+)$", 1)
     bin_digits = F.regexp_extract(s, r"^0[bB]([01]+)$", 1)

@@ -26,31 +26,31 @@ def _join(root: str, name: str) -> str:
     return root.rstrip("/") + "/" + name
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = getattr(spark.sparkContext, "_jvm", None)
-    if jvm is None:  # pragma: no cover - Spark Connect has no JVM handle
-        import os
-
-        return os.path.exists(path)
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+def _names_in(spark: SparkSession, folder: str) -> set[str]:
+    """Entry names of a folder, through its own Hadoop filesystem."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {entry.getPath().getName() for entry in store.listStatus(place)} if store.exists(place) else set()
 
 
 def required_files(spark: SparkSession, data_dir: str) -> dict[str, str]:
-    """Map each logical table to its path; raise once listing every miss."""
-    files = {name: _join(data_dir, filename) for name, filename in DATASET_FILES.items()}
-    missing = [path for path in files.values() if not _exists(spark, path)]
-    if missing:
-        raise FileNotFoundError("Missing required dataset files: " + ", ".join(missing))
-    return files
+    """Where each logical table lies: one listing of the folder against the expected names.
+
+    Raises once, naming every table that is not there."""
+    there = _names_in(spark, data_dir)
+    absent = set(DATASET_FILES.values()) - there
+    if absent:
+        listed = sorted(absent, key=list(DATASET_FILES.values()).index)
+        raise FileNotFoundError(f"Missing required dataset files: {', '.join(_join(data_dir, name) for name in listed)}")
+    return dict(zip(DATASET_FILES, (_join(data_dir, name) for name in DATASET_FILES.values()), strict=True))
 
 
 def read_raw_table(spark: SparkSession, table: str, path: str) -> DataFrame:
     """One raw table as all-string columns, bound to the header by name.
 
     No type inference: every column is text (``inferSchema`` off).  Columns
-    are matched by header name, so their order in the file does not matter;
+    are matched by header name, so their order in the file does not matter,
+    but all part files of a folder must have one header (another one raises);
     extra columns are dropped, optional free-text columns may be absent, and
     a missing column that staging needs is an error.  PERMISSIVE keeps short
     rows (padded with NULL) and over-long rows (extra fields dropped).  Only
@@ -59,6 +59,7 @@ def read_raw_table(spark: SparkSession, table: str, path: str) -> DataFrame:
     df = (
         spark.read.option("header", True)
         .option("inferSchema", False)
+        .option("enforceSchema", False)  # a part file with another header is an error
         .option("mode", "PERMISSIVE")
         .option("quote", '"')
         .option("escape", '"')

@@ -25,52 +25,13 @@ DATASET = "Olist Brazilian E-Commerce Public Dataset"
 SOURCE_URL = "https://www.kaggle.com/datasets/olistbr/brazilian-ecommerce"
 LICENSE = "CC-BY-NC-SA-4.0"
 
-INLINE_LIMIT = 256 * 1024 * 1024
-CHUNK = 1024 * 1024
-
-ENTRY_SCHEMA = "position int, logical_table string, path string, bytes long, sha256 string"
-
-
-def _stream_sha256_fn(chunk: int = CHUNK):
-    """The per-partition hashing function for ``mapInPandas``.
-
-    Built as a closure with its imports inside, so it is shipped to the
-    Python workers by value: executors need no copy of this package."""
-
-    def stream_sha256(batches):
-        import hashlib
-
-        from pyarrow import fs
-
-        def open_stream(uri: str):
-            if uri.startswith("file:") and not uri.startswith("file://"):
-                uri = "file://" + uri[len("file:"):]
-            if uri.startswith(("s3a://", "s3n://")):
-                uri = "s3://" + uri.split("://", 1)[1]
-            filesystem, path = fs.FileSystem.from_uri(uri)
-            return filesystem.open_input_stream(path)
-
-        for pdf in batches:
-            digests = []
-            for uri in pdf["path"]:
-                digest = hashlib.sha256()
-                with open_stream(uri) as stream:
-                    while True:
-                        block = stream.read(chunk)
-                        if not block:
-                            break
-                        digest.update(block)
-                digests.append(digest.hexdigest())
-            yield pdf.assign(sha256=digests)
-
-    return stream_sha256
-
-
-def file_fingerprints(
-    spark: SparkSession, files: dict[str, str], inline_limit: int = INLINE_LIMIT
-) -> DataFrame:
+def file_fingerprints(spark: SparkSession, files: dict[str, str]) -> DataFrame:
     """One row per file under each logical table's path (file or folder):
-    position, logical_table, filename, bytes, sha256."""
+    position, logical_table, filename, bytes, sha256.
+
+    Files of every size take one path: Spark's binary reader, through the
+    session's own filesystem and credentials, and a hash in the JVM.  That
+    reader refuses files over 2 GB; larger tables are folders of part files."""
     scans = []
     for position, (table, path) in enumerate(files.items()):
         scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -84,25 +45,12 @@ def file_fingerprints(
     for df in scans[1:]:
         listed = listed.unionByName(df)
 
-    # Files up to the limit: hashed in the JVM; the length filter is pushed
-    # into the binaryFile scan, so larger files' contents are never loaded.
-    out = listed.where(F.col("length") <= inline_limit).select(
-        "position", "logical_table", "path",
-        F.col("length").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256"),
-    )
-    large = listed.where(F.col("length") > inline_limit).select(
-        "position", "logical_table", "path",
-        F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256"),
-    )
-    # Python workers only when some file is above the limit (a metadata-only check).
-    if not large.select("path").isEmpty():
-        out = out.unionByName(large.mapInPandas(_stream_sha256_fn(), ENTRY_SCHEMA))
-    return out.select(
+    return listed.select(
         "position",
         "logical_table",
         F.element_at(F.split(F.col("path"), "/"), -1).alias("filename"),
-        "bytes",
-        "sha256",
+        F.col("length").alias("bytes"),
+        F.sha2("content", 256).alias("sha256"),
     )
 
 

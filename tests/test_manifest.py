@@ -27,11 +27,15 @@ def test_manifest_hashes_without_local_paths(spark, clean_dir, tmp_path):
     assert "olist_orders_dataset.csv" in text
 
 
-def test_streamed_hash_equals_inline_hash(spark, clean_dir):
-    files = {t: str(Path(clean_dir) / n) for t, n in DATASET_FILES.items()}
-    inline = {r.filename: r.sha256 for r in file_fingerprints(spark, files).collect()}
-    streamed = {r.filename: r.sha256 for r in file_fingerprints(spark, files, inline_limit=0).collect()}
-    assert inline == streamed and len(inline) == 7
+def test_names_with_spaces_percent_and_accents(spark, tmp_path):
+    files = {}
+    for n, name in enumerate(("with space", "per%20cent", "é")):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "data.csv").write_bytes(bytes([n]) * (n + 1))
+        files[name] = str(folder)
+    found = {r.logical_table: (r.bytes, r.sha256) for r in file_fingerprints(spark, files).collect()}
+    assert found == {k: (n + 1, hashlib.sha256(bytes([n]) * (n + 1)).hexdigest()) for n, k in enumerate(files)}
 
 
 def test_snapshot_job_writes_one_line_per_file(spark, clean_dir, tmp_path):

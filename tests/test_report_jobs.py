@@ -172,14 +172,16 @@ def test_missing_files_listed_together(spark, tmp_path):
 def test_command_line_jobs(spark, clean_dir, tmp_path):
     from parcelworks.__main__ import main
 
-    wh = str(tmp_path / "wh")
-    assert main(["build", "--data-dir", clean_dir, "--warehouse", wh], spark) == wh
-    out = main(["quality", "--data-dir", clean_dir, "--warehouse", wh, "--output", str(tmp_path / "q")], spark)
+    raw, wh = f"raw={clean_dir}", str(tmp_path / "wh")
+    assert main(["build", raw, f"warehouse={wh}"], spark) == wh
+    out = main(["quality", raw, f"warehouse={wh}", f"out={tmp_path / 'q'}"], spark)
     assert spark.read.json(out).where("passed").count() == 9
-    site = main(["report", "--data-dir", clean_dir, "--warehouse", wh, "--output-dir", str(tmp_path / "s")], spark)
+    site = main(["report", raw, f"warehouse={wh}", f"out={tmp_path / 's'}"], spark)
     assert spark.read.json(site + "/report_metric_list").count() == 6
-    snap = main(["snapshot", "--data-dir", clean_dir, "--output", str(tmp_path / "m")], spark)
+    snap = main(["snapshot", raw, f"out={tmp_path / 'm'}"], spark)
     assert spark.read.json(snap).count() == 7
+    with pytest.raises(SystemExit):
+        main(["build", raw], spark)
 
 
 def test_display_formats_equal_python_on_many_values(spark):

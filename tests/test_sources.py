@@ -4,7 +4,9 @@ import os
 
 import pytest
 
+from parcelworks.functions.compat import strict_int
 from parcelworks.operators.staging import stage_all
+from parcelworks.sources.csv import read_raw_table
 from parcelworks.sources.schemas import RAW_COLUMNS
 from parcelworks.sources.starschema import raw_tables_from_star
 
@@ -129,3 +131,19 @@ def test_input_bytes_counts_folder_layout(spark, tmp_path):
     single = tmp_path / "one.csv"
     single.write_text("a\n333\n")
     assert input_bytes(spark, [str(folder), str(single)]) == 4 + 5 + 6
+
+
+def test_part_files_with_another_header_raise(spark, tmp_path):
+    folder = tmp_path / "sellers"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\na,1,rio,RJ\n")
+    (folder / "part-1.csv").write_text("seller_id,seller_zip_code_prefix,seller_state,seller_city\nb,2,RJ,rio\n")
+    with pytest.raises(Exception, match="header"):
+        read_raw_table(spark, "sellers", str(folder)).collect()
+
+
+def test_strict_int_rounds_at_any_precision(spark):
+    texts = ["0.4999999999", "1.49999999995", "-0.4999999999", "2.5", "-2.5", ".5", "7.", "1e1", "15e-1"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = [r[0] for r in frame.orderBy("i").select(strict_int("t")).collect()]
+    assert found == [0, 1, 0, 3, -3, 1, 7, 10, 2]
