@@ -1,6 +1,7 @@
 """Benchmark: the warehouse's jobs end to end on the star-schema test tables.
 
-Phases (each timed; the sum is the headline value):
+Phases (each timed; the headline is the wall time of the whole run, so it
+also holds what lies between the phases):
 
 * build       raw adapter -> 7 staging tables -> 4 mart tables, all written
 * quality_and_analysis_inputs
