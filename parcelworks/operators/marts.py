@@ -9,9 +9,10 @@ Plan shape (everything keyed on ``order_id``):
   no separate distinct pass.
 * M1 re-aggregates the bridge by order_id; M2 aggregates reviews by order_id
   (partial aggregation again, so a hot order never lands whole in one task).
-* M3 = orders LEFT JOIN M1 LEFT JOIN M2: both rollups are unique per key and
-  share the order_id partitioning; AQE's skew-join handling splits the left
-  side if one order id is duplicated many times.
+* M3 = orders LEFT JOIN one per-order rollup (M1 and M2 together, unique per
+  key).  The build stores the rollup first, so both sides of the join are
+  plain exchanges and AQE can split an order id that is duplicated many
+  times; orders without an id go around the join.
 * ``order_seller_facts`` joins the bridge to the order facts once; M5 (and
   the seller analyses) are then a single grouped aggregation by seller,
   combined map-side, so a seller holding a third of all orders is fine.
@@ -80,14 +81,32 @@ def delivery_days(purchased: Column, delivered: Column) -> Column:
     return F.when(purchased.isNotNull() & delivered.isNotNull(), day_diff(purchased, delivered))
 
 
-def fct_orders(stg_orders: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
+def order_rollup(pairs: DataFrame, stg_reviews: DataFrame) -> DataFrame:
+    """M1 and M2 in one row per order id, from one shuffle of both inputs."""
+    no_review = stg_reviews.schema["review_score"].dataType
+    items = pairs.select(
+        "order_id", "seller_id", "pair_items", "pair_value",
+        F.lit(None).cast(no_review).alias("review_score"), F.lit(None).cast("int").alias("review"),
+    )
+    reviews = stg_reviews.select("order_id", "review_score", F.lit(1).alias("review"))
+    return items.unionByName(reviews, allowMissingColumns=True).groupBy("order_id").agg(
+        F.sum("pair_items").alias("item_count"),
+        F.sum("pair_value").alias("order_value"),
+        F.count("seller_id").alias("seller_count"),
+        F.avg("review_score").alias("avg_review_score"),
+        F.count("review").alias("review_count"),
+    )
+
+
+def fct_orders(stg_orders: DataFrame, rollup: DataFrame) -> DataFrame:
     """M3: one row per source order row (duplicates are kept, only checked).
 
-    ``items`` is the M1 rollup and ``reviews`` the M2 rollup."""
-    o = stg_orders.alias("o")
-    joined = o.join(items.alias("i"), "order_id", "left").join(
-        reviews.alias("r"), "order_id", "left"
-    )
+    ``rollup`` is the per-order rollup.  Orders without an id match nothing;
+    they go around the join, so that they never meet in one task (the IS NULL
+    scan skips every row group that has none)."""
+    keyed = stg_orders.where(F.col("order_id").isNotNull()).join(rollup, "order_id", "left")
+    unkeyed = stg_orders.where(F.col("order_id").isNull())
+    joined = keyed.unionByName(unkeyed, allowMissingColumns=True)
     delivered = F.col("order_delivered_customer_date")
     return joined.select(
         "order_id",
@@ -140,7 +159,7 @@ def build_marts(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Lazy marts from staging tables (no writes; see ``plans.jobs`` for the
     materialised build)."""
     pairs = order_seller_items(stg["order_items"])
-    fct = fct_orders(stg["orders"], item_rollup(pairs), review_rollup(stg["reviews"]))
+    fct = fct_orders(stg["orders"], order_rollup(pairs, stg["reviews"]))
     facts = order_seller_facts(pairs, fct)
     return {
         "order_seller_items": pairs,

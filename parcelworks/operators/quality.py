@@ -4,12 +4,11 @@ Each check is a count; it passes at 0.  Two ways to run them:
 
 * ``check_frames`` - one small DataFrame per check (``name``, ``failures``),
   each a standalone aggregation (anti joins for orphans).
-* ``quality_results`` - the runner: all nine counts from ONE shuffle.  The
-  four inputs are projected to ``order_id`` plus 0/1 row flags, unioned and
-  grouped by ``order_id`` (combined map-side, so a hot order id costs one
-  row per task), then folded into nine numbers by a global aggregate.
-  Orphans are keys with items/reviews but no order row; a NULL key never
-  matches an order, exactly like the anti join.
+* ``quality_results`` - the runner: the four key checks from one shuffle of
+  ``order_id`` with four counts (combined map-side, so a hot order id costs
+  one row per task); the five row checks are aggregates without a key, whose
+  scans read only their columns.  Orphans are keys with items/reviews but no
+  order row; a NULL key never matches an order, exactly like the anti join.
 """
 
 from __future__ import annotations
@@ -67,11 +66,6 @@ def invalid_eligibility(delivered: Column, estimated: Column, flag: Column) -> C
     return (both & flag.isNull()) | (~both & flag.isNotNull())
 
 
-def _flag(pred: Column) -> Column:
-    """0/1 indicator; NULL predicate counts as 0."""
-    return F.when(pred, F.lit(1)).otherwise(F.lit(0))
-
-
 # ---- standalone checks -------------------------------------------------------
 
 def _one(name: str, failures: DataFrame) -> DataFrame:
@@ -125,59 +119,65 @@ def check_frames(
 
 # ---- fused runner ------------------------------------------------------------
 
-_FLAGS = ("is_order", "is_keyed_order", "is_item", "is_review", "is_fct",
-          "neg_amount", "bad_status", "early_delivery", "bad_score", "bad_eligibility")
+_SIDES = ("orders", "items", "reviews", "facts")
+
 
+def _keyed(df: DataFrame, side: str) -> DataFrame:
+    return df.select("order_id", *[F.lit(int(name == side)).cast("long").alias(name) for name in _SIDES])
 
-def _tagged(df: DataFrame, **flags: Column) -> DataFrame:
-    return df.select(
-        F.col("order_id"),
-        *[(flags[name] if name in flags else F.lit(0)).cast("long").alias(name) for name in _FLAGS],
+
+def _counted(df: DataFrame, **preds: Column) -> DataFrame:
+    """One row of all nine counts; the checks not named are 0."""
+    return df.agg(
+        *[
+            (F.count_if(F.coalesce(preds[name], F.lit(False))) if name in preds else F.lit(0).cast("long")).alias(name)
+            for name in CHECK_NAMES
+        ]
     )
 
 
 def quality_counts(
     stg_orders: DataFrame, stg_items: DataFrame, stg_reviews: DataFrame, fct: DataFrame
 ) -> DataFrame:
-    """One row, one column per check: all nine failure counts, one shuffle."""
+    """One row, one column per check: the key checks (Q1, Q2, Q3, Q7) from one
+    shuffle of order ids, the row checks from aggregates without a key."""
     o, i, r, f = stg_orders, stg_items, stg_reviews, fct
-    rows = (
-        _tagged(
+    rows = _keyed(o, "orders")
+    for df, side in ((i, "items"), (r, "reviews"), (f, "facts")):
+        rows = rows.unionByName(_keyed(df, side))
+    per_key = rows.groupBy("order_id").agg(*[F.sum(c).alias(c) for c in _SIDES])
+    unmatched = F.col("order_id").isNull() | (F.col("orders") == 0)
+    orphans = {
+        name: F.coalesce(F.sum(F.when(unmatched, F.col(side))), F.lit(0)).alias(name)
+        for name, side in (("orphan_order_items", "items"), ("orphan_reviews", "reviews"))
+    }
+    twice = {
+        name: F.count_if(F.col(side) > 1).alias(name)
+        for name, side in (("duplicate_order_ids", "orders"), ("duplicate_fct_orders", "facts"))
+    }
+    by_key = orphans | twice
+    counts = per_key.agg(
+        *[by_key[name] if name in by_key else F.lit(0).cast("long").alias(name) for name in CHECK_NAMES]
+    )
+    for part in (
+        _counted(
             o,
-            is_order=F.lit(1),
-            is_keyed_order=_flag(o.order_id.isNotNull()),
-            bad_status=_flag(invalid_status(o.order_status)),
-            early_delivery=_flag(
-                delivered_before_purchase(o.order_delivered_customer_date, o.order_purchase_timestamp)
+            invalid_order_status=invalid_status(o.order_status),
+            delivery_before_purchase=delivered_before_purchase(
+                o.order_delivered_customer_date, o.order_purchase_timestamp
             ),
-        )
-        .unionByName(_tagged(i, is_item=F.lit(1), neg_amount=_flag(negative_amount(i.price, i.freight_value))))
-        .unionByName(_tagged(r, is_review=F.lit(1), bad_score=_flag(invalid_score(r.review_score))))
-        .unionByName(
-            _tagged(
-                f,
-                is_fct=F.lit(1),
-                bad_eligibility=_flag(
-                    invalid_eligibility(
-                        f.order_delivered_customer_date, f.order_estimated_delivery_date, f.late_delivery
-                    )
-                ),
-            )
-        )
-    )
-    per_key = rows.groupBy("order_id").agg(*[F.sum(c).alias(c) for c in _FLAGS])
-    unmatched = F.col("is_keyed_order") == 0
-    return per_key.agg(
-        F.count_if(F.col("is_order") > 1).alias("duplicate_order_ids"),
-        F.coalesce(F.sum(F.when(unmatched, F.col("is_item"))), F.lit(0)).alias("orphan_order_items"),
-        F.coalesce(F.sum(F.when(unmatched, F.col("is_review"))), F.lit(0)).alias("orphan_reviews"),
-        F.coalesce(F.sum("neg_amount"), F.lit(0)).alias("negative_item_amounts"),
-        F.coalesce(F.sum("bad_status"), F.lit(0)).alias("invalid_order_status"),
-        F.coalesce(F.sum("early_delivery"), F.lit(0)).alias("delivery_before_purchase"),
-        F.count_if(F.col("is_fct") > 1).alias("duplicate_fct_orders"),
-        F.coalesce(F.sum("bad_score"), F.lit(0)).alias("invalid_review_score"),
-        F.coalesce(F.sum("bad_eligibility"), F.lit(0)).alias("invalid_late_delivery_eligibility"),
-    )
+        ),
+        _counted(i, negative_item_amounts=negative_amount(i.price, i.freight_value)),
+        _counted(r, invalid_review_score=invalid_score(r.review_score)),
+        _counted(
+            f,
+            invalid_late_delivery_eligibility=invalid_eligibility(
+                f.order_delivered_customer_date, f.order_estimated_delivery_date, f.late_delivery
+            ),
+        ),
+    ):
+        counts = counts.unionByName(part)
+    return counts.agg(*[F.sum(name).alias(name) for name in CHECK_NAMES])
 
 
 def quality_results(

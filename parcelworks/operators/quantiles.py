@@ -38,8 +38,7 @@ def exact_quantiles(
     buckets: int = 1 << 16,
 ) -> DataFrame:
     """One row: ``{name: quantile_cont(column, p)}`` for each name -> p.
-    Values must lie in [lo, hi] (values outside are clamped into the edge
-    buckets, which keeps results exact but less spread)."""
+    A value outside [lo, hi] raises: all of them would meet in an edge bucket."""
     v = F.col("v")
     values = (
         df.select(F.col(column).cast("double").alias("v"))
@@ -48,7 +47,9 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("c"))
     )
     scaled = F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(buckets))
-    values = values.withColumn("b", F.least(F.greatest(scaled, F.lit(0)), F.lit(buckets - 1)).cast("int"))
+    outside = F.raise_error(F.concat(F.lit(f"{column} outside [{lo}, {hi}]: "), v.cast("string"))).cast("int")
+    inside = F.least(scaled, F.lit(buckets - 1)).cast("int")
+    values = values.withColumn("b", F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), inside).otherwise(outside))
 
     per_bucket = values.groupBy("b").agg(F.sum("c").alias("bc"))
     ordered = Window.orderBy("b")

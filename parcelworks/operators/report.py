@@ -51,21 +51,32 @@ def _first_by(value: Column | str, *keys: Column) -> Column:
 
 
 def review_gap(delivery_review: DataFrame) -> DataFrame:
-    """One row; gaps are NULL when either group is absent."""
+    """One row with its finding sentence; gaps are NULL when either group is absent."""
     wide = delivery_review.agg(
         _pick(0, "average_review_score").alias("on_time_average_review_score"),
         _pick(1, "average_review_score").alias("late_average_review_score"),
         _pick(0, "low_review_rate").alias("on_time_low_review_rate"),
         _pick(1, "low_review_rate").alias("late_low_review_rate"),
     )
+    score_gap = F.col("on_time_average_review_score") - F.col("late_average_review_score")
+    low_gap = F.col("late_low_review_rate") - F.col("on_time_low_review_rate")
+    # fixed wording of the published finding
+    sentence = F.concat(
+        F.lit("among reviewed eligible orders, late deliveries averaged "),
+        D.fixed("late_average_review_score", 3),
+        F.lit(" stars versus "),
+        D.fixed("on_time_average_review_score", 3),
+        F.lit(" on time, a "),
+        D.fixed(score_gap, 3),
+        F.lit("-point gap. The 1-2 star review rate was "),
+        D.fixed(low_gap * 100, 1),
+        F.lit(" percentage points higher in the late group."),
+    )
+    finding = F.when(score_gap.isNotNull() & low_gap.isNotNull(), sentence).otherwise(
+        F.lit("Late and on-time reviews cannot be compared: one of the groups has none.")
+    )
     return wide.select(
-        "*",
-        (F.col("on_time_average_review_score") - F.col("late_average_review_score")).alias(
-            "review_gap"
-        ),
-        (F.col("late_low_review_rate") - F.col("on_time_low_review_rate")).alias(
-            "low_review_gap"
-        ),
+        "*", score_gap.alias("review_gap"), low_gap.alias("low_review_gap"), finding.alias("finding")
     )
 
 

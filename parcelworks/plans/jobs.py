@@ -4,6 +4,7 @@ Warehouse layout under ``out_dir`` (a shared folder on a cluster):
 
     stg_<table>/             7 staging tables (Parquet)
     order_seller_items/      (order_id, seller_id) rollup = the M4 bridge
+    order_rollup/            items and reviews per order id (M1, M2)
     fct_orders/              one row per order
     order_seller_facts/      bridge joined once to the order facts
     fct_seller_performance/  one row per seller
@@ -32,7 +33,7 @@ from parcelworks.operators import report as R
 from parcelworks.operators.staging import stage_all
 from parcelworks.session import configure, size_shuffles_for_input
 from parcelworks.sources.csv import read_raw_tables, register_raw_views, required_files
-from parcelworks.sources.manifest import snapshot_entries, write_snapshot_manifest
+from parcelworks.sources.manifest import build_snapshot_manifest, snapshot_entries, write_snapshot_manifest
 from parcelworks.sources.schemas import LOGICAL_TABLES
 
 STAGING = {name: f"stg_{name}" for name in LOGICAL_TABLES}
@@ -107,7 +108,8 @@ def build_warehouse(
 
     1. the seven staging tables; as soon as items are staged, the
        (order, seller) rollup is built from them;
-    2. fct_orders from staged orders, reviews and that rollup;
+    2. the per-order rollup of items and reviews, then fct_orders from it
+       and the staged orders (both sides stored: AQE can split a hot id);
     3. order_seller_facts (rollup joined to the facts), then the seller mart.
     """
     configure(spark)
@@ -134,7 +136,9 @@ def build_warehouse(
     stg = {name: read_table(spark, out_dir, STAGING[name], df.schema) for name, df in staged.items()}
     pairs = read_table(spark, out_dir, "order_seller_items")
 
-    fct = M.fct_orders(stg["orders"], M.item_rollup(pairs), M.review_rollup(stg["reviews"]))
+    rollup = M.order_rollup(pairs, stg["reviews"])
+    write_table(rollup, out_dir, "order_rollup")
+    fct = M.fct_orders(stg["orders"], read_table(spark, out_dir, "order_rollup", rollup.schema))
     write_table(fct, out_dir, "fct_orders")
     fct = read_table(spark, out_dir, "fct_orders", fct.schema)
 
@@ -222,8 +226,8 @@ def run_report(
     report datasets.  Writes no quality file.
 
     The quality checks and the analyses' shared inputs (order cube, states,
-    seller base - held in memory only) are computed concurrently; nothing is
-    written until the gate has passed."""
+    seller base - cached, spilling to executor disk if large) are computed
+    concurrently; no report is written until the gate has passed."""
     wh = build_warehouse(spark, out_dir, data_dir, raw)
     analysis = analysis_of(wh, seller_min_orders)
     try:
@@ -235,7 +239,11 @@ def run_report(
         analysis.release()
 
 
-def run_snapshot(spark: SparkSession, data_dir: str, output: str) -> str:
+def run_snapshot(spark: SparkSession, data_dir: str, output: str, document: bool = False) -> str:
     """Manifest only, no build: one JSON line per input file (header
-    fields, logical table, file name, bytes, SHA-256), written in parallel."""
-    return write_snapshot_manifest(snapshot_entries(spark, data_dir), output)
+    fields, logical table, file name, bytes, SHA-256), written in parallel.
+
+    ``document`` writes the one-document form instead (header fields and a
+    ``files`` list), for layouts with a bounded number of files."""
+    build = build_snapshot_manifest if document else snapshot_entries
+    return write_snapshot_manifest(build(spark, data_dir), output)

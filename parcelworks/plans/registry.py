@@ -39,8 +39,8 @@ class LazyWarehouse:
         return A.seller_base(self.marts["order_seller_facts"], SELLER_MIN)
 
 
-def lazy_warehouse(spark: SparkSession, sf_dir: str) -> LazyWarehouse:
-    stg = stage_all(raw_tables_from_star(spark, sf_dir))
+def lazy_warehouse(spark: SparkSession, sf_dir: str, as_text: bool = False) -> LazyWarehouse:
+    stg = stage_all(raw_tables_from_star(spark, sf_dir, as_text))
     return LazyWarehouse(stg=stg, marts=build_marts(stg))
 
 
@@ -87,10 +87,23 @@ def _quality_single(position: int):
     return build
 
 
+# Tables with parsed columns, also registered on raw tables whose every value is text (as in CSV).
+TEXT_TABLES = ("orders", "order_items", "payments", "reviews", "products")
+
+
+def _staged_from_text(table: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return lazy_warehouse(spark, sf_dir, as_text=True).stg[table]
+
+    return run
+
+
 def _build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for table in ("orders", "order_items", "payments", "reviews", "customers", "products", "sellers"):
         q[f"stg_{table}"] = _q(lambda w, t=table: w.stg[t])
+    for table in TEXT_TABLES:
+        q[f"stg_{table}_from_text"] = _staged_from_text(table)
     q["item_rollup"] = _q(lambda w: w.marts["item_rollup"], {"order_value": 4})
     q["review_rollup"] = _q(lambda w: w.marts["review_rollup"], {"avg_review_score": RATE})
     q["fct_orders"] = _q(lambda w: w.fct, {"order_value": 4, "avg_review_score": RATE})
@@ -144,6 +157,8 @@ def _build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "on_time_average_review_score", "late_average_review_score",
             "on_time_low_review_rate", "late_low_review_rate", "review_gap", "low_review_gap",
         ]),
+        ("on_time_average_review_score", "late_average_review_score", "on_time_low_review_rate",
+         "late_low_review_rate", "review_gap", "low_review_gap"),
     )
     q["report_peak_month"] = _q(
         lambda w: R.peak_month(A.monthly(w.fct), MONTH_MIN),

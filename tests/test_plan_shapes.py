@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as E
 from parcelworks.operators import analysis as A
 from parcelworks.operators import marts as M
+from parcelworks.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -24,7 +25,7 @@ def assert_no_cross_join(df) -> None:
 
 def test_no_cross_join_in_queries_without_oracle(spark):
     """Queries with an oracle are plan-checked in test_oracle."""
-    for name in set(E.queries()) - set(E.oracle_sql()):
+    for name in set(QUERIES) - set(E.oracle_sql()):
         assert_no_cross_join(E.queries()[name](spark, SF))
 
 
@@ -59,7 +60,7 @@ def test_hot_order_and_hot_seller(spark, clean_dir):
     raw["orders"] = raw["orders"].unionByName(spark.createDataFrame(more_orders, raw["orders"].schema))
     stg = stage_all(raw)
     pairs = M.order_seller_items(stg["order_items"])
-    fct = M.fct_orders(stg["orders"], M.item_rollup(pairs), M.review_rollup(stg["reviews"]))
+    fct = M.fct_orders(stg["orders"], M.order_rollup(pairs, stg["reviews"]))
     perf = {r.seller_id: r for r in M.fct_seller_performance(M.order_seller_facts(pairs, fct)).collect()}
 
     con = duckdb.connect()
@@ -73,3 +74,46 @@ def test_hot_order_and_hot_seller(spark, clean_dir):
     assert a1.order_value == pytest.approx(value)
     assert perf["v1"].order_count == 302  # a1, a2 and the 300 new orders
     assert perf["v1"].late_delivery_rate == pytest.approx(301 / 302)
+
+
+def test_hot_and_missing_order_ids_are_split(spark, tmp_path):
+    """Over a stored rollup, AQE splits an order id that half of the orders carry, and orders without an
+    id go around the join."""
+    from pyspark.sql import functions as F
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = F.col("id")
+        order = F.when(n % 2 == 0, F.lit("hot")).when(n % 7 == 0, F.lit(None)).otherwise(n.cast("string"))
+        stamp = F.timestamp_seconds(n)
+        orders = spark.range(200_000).select(
+            order.alias("order_id"), F.md5(n.cast("string")).alias("customer_id"), F.lit("shipped").alias("order_status"),
+            *[stamp.alias(c) for c in M.FCT_ORDER_COLUMNS[3:8]],
+        )
+        orders.write.parquet(str(tmp_path / "orders"))
+        orders = spark.read.parquet(str(tmp_path / "orders"))
+        pairs = spark.range(20_000).select(
+            F.when(n == 0, F.lit("hot")).otherwise(n.cast("string")).alias("order_id"), F.lit("s").alias("seller_id"),
+            F.lit(1).cast("long").alias("pair_items"), F.lit(2.0).alias("pair_value"),
+        )
+        reviews = pairs.select("order_id", F.lit(4).alias("review_score"))
+        M.order_rollup(pairs, reviews).write.parquet(str(tmp_path / "rollup"))
+        fct = M.fct_orders(orders, spark.read.parquet(str(tmp_path / "rollup")))
+        found = fct.groupBy(F.col("order_id") == "hot").agg(F.count("*").alias("n"), F.sum("item_count").alias("items"))
+        counts = {r[0]: (r.n, r["items"]) for r in found.collect()}
+        missing = sum(1 for i in range(1, 200_000, 2) if i % 7 == 0)
+        known = sum(1 for i in range(1, 20_000, 2) if i % 7)
+        assert counts == {True: (100_000, 100_000), None: (missing, 0), False: (100_000 - missing, known)}
+        fct.collect()
+        assert "skew=true" in fct._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

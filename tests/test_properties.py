@@ -120,7 +120,7 @@ FROM b JOIN fct_orders f ON f.order_id = b.order_id GROUP BY b.seller_id
 def test_marts_and_quality_match_sql(spark, orders, items, reviews):
     o, it, r = _frames(spark, orders, items, reviews)
     pairs = M.order_seller_items(it)
-    fct = M.fct_orders(o, M.item_rollup(pairs), M.review_rollup(r))
+    fct = M.fct_orders(o, M.order_rollup(pairs, r))
     con = _duck(stg_orders=o, stg_order_items=it, stg_reviews=r, fct_orders=fct)
 
     cols = ("order_id", "item_count", "order_value", "seller_count", "avg_review_score",

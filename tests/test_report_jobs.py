@@ -22,6 +22,7 @@ def test_review_gap_and_series(frames):
     _, rep = frames
     g = rep.review_gap.first()
     assert (g.review_gap, g.low_review_gap) == (3.5, 1.0)
+    assert "a 3.500-point gap. The 1-2 star review rate was 100.0 percentage points higher" in g.finding
     assert rows(rep.review_series) == [(0, "On time", 4.5), (1, "Late", 1.0)]
 
 
@@ -32,6 +33,7 @@ def test_review_series_zero_fill_and_empty(spark):
     assert rows(R.review_series(one_group)) == [(0, "On time", 0.0), (1, "Late", 2.0)]
     g = R.review_gap(one_group).first()
     assert g.review_gap is None and g.low_review_gap is None
+    assert "cannot be compared" in g.finding
     assert R.review_series(one_group.limit(0)).count() == 0
 
 
