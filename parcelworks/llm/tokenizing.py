@@ -3,8 +3,10 @@
 Both public tokenizers cut a text at white space before merging, so the ids of
 a text are the concatenated ids of its pieces.  Each worker keeps the ids of
 the pieces it has met (as little-endian 32-bit bytes); only new pieces reach
-the tokenizers library, in one batch.  Texts in which non-ASCII white space
-could join two pieces are encoded whole.
+the tokenizers library, in one batch.  For byte-level tokenizers, new pieces
+that begin with white space go there ``JOINED`` at a time as one text; a
+token's bytes say which piece it belongs to.  Texts in which non-ASCII white
+space could join two pieces are encoded whole.
 """
 
 from __future__ import annotations
@@ -14,9 +16,13 @@ import sys
 from array import array
 from collections.abc import Callable, Iterable
 
+import numpy as np
+
+JOINED = 500
 _CACHE_LIMIT = 1_200_000  # pieces kept per worker; memory only, never results
 _LOADED: dict[str, object] = {}
 _CACHES: dict[str, dict[bytes, bytes]] = {}
+_TOKEN_BYTES: dict[str, np.ndarray] = {}
 _OTHER_SPACE = re.compile(r"[^\S \t\n\r\f\v]")
 _PIECE = re.compile(rb"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
 
@@ -43,7 +49,41 @@ def _as_bytes(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
-def _encode(path: str, texts: Iterable[str | None], split: Callable[[bytes], list[bytes]]) -> list[bytes]:
+def _token_bytes(path: str) -> np.ndarray:
+    """Bytes of each token id; a byte-level vocabulary writes every byte as one character."""
+    if path not in _TOKEN_BYTES:
+        vocabulary = _library(path).get_vocab()
+        table = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        table[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        _TOKEN_BYTES[path] = table
+    return _TOKEN_BYTES[path]
+
+
+def _encode_joined(path: str, pieces: list[bytes], cache: dict[bytes, bytes]) -> list[bytes]:
+    """Cache the ids of pieces that begin with white space; returns the pieces that need a call each."""
+    alone, joined = [], []
+    for piece in pieces:
+        (joined if piece[:1].isspace() and not piece.isspace() else alone).append(piece)
+    groups = [joined[lo : lo + JOINED] for lo in range(0, len(joined), JOINED)]
+    done = _library(path).encode_batch_fast([b"".join(g).decode("utf-8") for g in groups], add_special_tokens=False)
+    for group, item in zip(groups, done, strict=True):
+        ids = np.array(item.ids, "<u4")
+        ends = np.cumsum(_token_bytes(path)[ids])
+        want = np.cumsum([len(p) for p in group])
+        last = np.searchsorted(ends, want)
+        if last[-1] != len(ids) - 1 or (ends[last] != want).any():  # a token over two pieces
+            alone += group
+            continue
+        raw, at = ids.tobytes(), 0
+        for piece, stop in zip(group, (4 * (last + 1)).tolist(), strict=True):
+            cache[piece] = raw[at:stop]
+            at = stop
+    return alone
+
+
+def _encode(
+    path: str, texts: Iterable[str | None], split: Callable[[bytes], list[bytes]], joined: bool = False
+) -> list[bytes]:
     library, cache = _library(path), _CACHES.setdefault(path, {})
     pieces: list[list[bytes] | bytes] = []
     new: set[bytes] = set()
@@ -58,6 +98,8 @@ def _encode(path: str, texts: Iterable[str | None], split: Callable[[bytes], lis
     if len(cache) > _CACHE_LIMIT:
         cache.clear()
     todo = list(new.difference(cache))
+    if joined:
+        todo = _encode_joined(path, todo, cache)
     for lo in range(0, len(todo), 20_000):
         part = todo[lo : lo + 20_000]
         done = library.encode_batch_fast([p.decode("utf-8") for p in part], add_special_tokens=False)
@@ -74,4 +116,4 @@ def word_encoder(path: str) -> Callable[[Iterable[str | None]], list[bytes]]:
 
 def byte_encoder(path: str) -> Callable[[Iterable[str | None]], list[bytes]]:
     """For byte-level tokenizers: a piece is a run of white space with the word after it."""
-    return lambda texts: _encode(path, texts, _PIECE.findall)
+    return lambda texts: _encode(path, texts, _PIECE.findall, joined=True)
