@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import own_columns, stored
-from .linking import link_components
+from .linking import link_components, profiles_of
 
 GRAM = 10
 BANDS, ROWS = 8, 3
@@ -128,7 +128,7 @@ def duplicate_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     def hashes(line: str) -> np.ndarray:
         return np.unique(grams_of([line.encode("utf-8")])[0])
 
-    roots, _ = link_components(postings.select("key", "id"), contents, hashes, shingles, PERCENT)
+    roots, _ = link_components(postings.select("key", "id"), contents, profiles_of(contents, hashes), shingles, PERCENT)
     named = stored(involved.join(roots, F.col("number") == F.col("node")).select("id", "root"), "line-components")
     places = stored(_lines(rows, "doc_id", "row").select("doc_id", "row", "line_no", "id"), "line-places")
     grouped = places.join(named, "id", "left").withColumn("group", F.coalesce(F.col("root").cast("string"), F.hex("id")))

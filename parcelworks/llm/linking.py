@@ -10,13 +10,13 @@ are verified on their contents.
 
 1. *Short lists.*  Keys with at most ``SHORT`` members give all their pairs (a
    linear number), each pair once.
-2. *Long lists.*  The members of a longer list are scanned against each other
-   inside tasks, in blocks of at most ``BLOCK`` members, and only across the
-   components found so far; a list whose members are in one component is
-   finished.  In each of ``ROUNDS`` rounds a member returns its most similar
-   partner of another component, so rows stay linear while the components of a
-   large group of near copies grow together.  The last scan returns every pair
-   that is still across components and within the bound.
+2. *Long lists.*  The members of a longer list are compared with each other
+   inside tasks, in blocks of at most ``BLOCK`` members.  The first scan returns
+   ``FORESTS`` disjoint spanning forests of the most similar pairs, so its rows
+   are linear while nearly every large group of near copies becomes one
+   component.  A list whose members are in one component is finished.  The last
+   scan returns every pair of the other lists that is still across components
+   and within the bound.
 
 So no link that could change a component is skipped, and pairs inside a
 component, which are the quadratic part of a hot group, are never made.
@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .components import components
+from .components import components, merged
 
 SHORT = 16
 BLOCK = 2048
-ROUNDS = 3
+FORESTS = 2
 BUCKETS = 128
 _CELLS = 1 << 23  # profile cells compared at once
 
@@ -52,8 +52,32 @@ def reaches(both, a, b, percent: int):
     return 100 * both >= percent * (a + b - both)
 
 
-def _scan_list(ids, sizes, roots, block, profiles, percent: int, best: bool):
-    """Pairs of one list in different components that the bound allows (``best``: one per member); [(id, id)]."""
+def _forest(x, y, score, start):
+    """Numbers of the pairs (x, y) of a spanning forest of best score over the components ``start`` (in rounds: every
+    component takes its best pair to another one)."""
+    order = np.argsort(-score, kind="stable")
+    above = np.arange(start.max() + 1)
+    chosen = []
+    while len(order):
+        label = above[start]
+        cx, cy = label[x[order]], label[y[order]]
+        live = cx != cy
+        order, cx, cy = order[live], cx[live], cy[live]
+        if not len(order):
+            break
+        best = np.full(len(above), len(order))
+        np.minimum.at(best, cx, np.arange(len(order)))
+        np.minimum.at(best, cy, np.arange(len(order)))
+        for at in np.unique(best[best < len(order)]).tolist():
+            one, two = int(above[cx[at]]), int(above[cy[at]])
+            if one != two:
+                above[above == two] = one
+                chosen.append(int(order[at]))
+    return chosen
+
+
+def _scan_list(ids, sizes, roots, block, profiles, percent: int, forest: bool):
+    """Pairs of one list in different components that the bound allows (``forest``: spanning forests of them); [(id, id)]."""
     names, inverse, counts = np.unique(roots, return_inverse=True, return_counts=True)
     if len(names) < 2:
         return []
@@ -63,27 +87,33 @@ def _scan_list(ids, sizes, roots, block, profiles, percent: int, best: bool):
         table[i] = np.frombuffer(profiles[i], np.uint8)
     # every pair in two components has a member outside the largest one
     rows = np.flatnonzero(inverse != counts.argmax())
-    step, out = max(1, _CELLS // (BUCKETS * len(ids))), []
+    scanned = np.zeros(len(ids), bool)
+    scanned[rows] = True
+    step, found = max(1, _CELLS // (BUCKETS * len(ids))), []
     for lo in range(0, len(rows), step):
         part = rows[lo : lo + step]
         small = np.minimum(sizes[part][:, None], sizes[None, :])
         most = np.minimum(table[part][:, None, :], table[None, :, :]).sum(axis=2, dtype=np.int64)
         most = np.where(bounded[part][:, None] & bounded[None, :], np.minimum(most, small), small)
         fits = reaches(most, sizes[part][:, None], sizes[None, :], percent) & (inverse[part][:, None] != inverse[None, :])
+        fits &= ~scanned[None, :] | (part[:, None] < np.arange(len(ids))[None, :])  # each pair once
         if block is not None:  # two blocks: only pairs across them
             fits &= block[part][:, None] != block[None, :]
         x, y = np.nonzero(fits)
-        if best and len(x):
-            score = most[x, y] * 1000 // np.maximum(sizes[part[x]] + sizes[y] - most[x, y], 1)
-            order = np.lexsort((-score, x))
-            first = np.ones(len(order), bool)
-            first[1:] = x[order][1:] != x[order][:-1]
-            x, y = x[order][first], y[order][first]
-        out += zip(ids[part[x]].tolist(), ids[y].tolist(), strict=True)
-    return out
-
-
-def _scan(opened: DataFrame, percent: int, best: bool) -> DataFrame:
+        score = most[x, y] * 1000 // np.maximum(sizes[part[x]] + sizes[y] - most[x, y], 1)
+        found.append((part[x].astype(np.int32), y.astype(np.int32), score.astype(np.int16)))
+    x, y, score = (np.concatenate(c) for c in zip(*found, strict=True))
+    if forest:
+        taken: list[int] = []
+        left = np.arange(len(x))
+        for _ in range(FORESTS):
+            taken += left[_forest(x[left], y[left], score[left], inverse)].tolist() if len(left) else []
+            left = np.setdiff1d(np.arange(len(x)), taken)
+        x, y = x[taken], y[taken]
+    return list(zip(ids[x].tolist(), ids[y].tolist(), strict=True))
+
+
+def _scan(opened: DataFrame, percent: int, forest: bool) -> DataFrame:
     """Candidate pairs (a, b), a < b; ``opened`` has key, id, root, size, profile and the key's member count."""
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
@@ -102,7 +132,7 @@ def _scan(opened: DataFrame, percent: int, best: bool) -> DataFrame:
                 return None
             key_, i, j, own_, ids, roots, sizes, profiles = zip(*held, strict=True)
             block = np.array(own_) if i[0] != j[0] else None
-            found = _scan_list(np.array(ids), np.array(sizes), np.array(roots), block, profiles, percent, best)
+            found = _scan_list(np.array(ids), np.array(sizes), np.array(roots), block, profiles, percent, forest)
             if not found:
                 return None
             a, b = np.array(found).T
@@ -172,36 +202,41 @@ def _short_pairs(postings: DataFrame, profiles: DataFrame, percent: int) -> Data
     return both.where(within("size_a", "profile_a", "size_b", "profile_b")).select("a", "b")
 
 
+def profiles_of(contents: DataFrame, hashes: Callable[[str], np.ndarray]) -> DataFrame:
+    """(id, size, profile); ``hashes`` gives the distinct 64-bit hashes of a content's set."""
+
+    @F.pandas_udf("size int, profile binary")
+    def profiled(content: pd.Series) -> pd.DataFrame:
+        found = [hashes(c) for c in content]
+        return pd.DataFrame({"size": [len(h) for h in found], "profile": [profile(h) for h in found]})
+
+    profiles = contents.select("id", profiled("content").alias("p"))
+    return stored(profiles.select("id", "p.size", "p.profile"), "profiles")
+
+
 def link_components(
     postings: DataFrame,
     contents: DataFrame,
-    hashes: Callable[[str], np.ndarray],
+    profiles: DataFrame,
     exact: Callable[[str], set],
     percent: int,
 ) -> tuple[DataFrame, DataFrame]:
     """(components (node, root), verified links (a, b)).
 
-    ``hashes`` gives the distinct 64-bit hashes of a content's set, ``exact`` the set itself.
+    ``profiles`` has id, size and profile of each content's set; ``exact`` gives the set itself.
     """
-
-    @F.pandas_udf("size int, profile binary")
-    def profiled(content: pd.Series) -> pd.DataFrame:
-        found = [hashes(c) for c in content]
-        return pd.DataFrame({"size": [len(h) for h in found], "profile": [profile(h) for h in found]})
-
-    profiles = contents.select("id", profiled("content").alias("p"))
-    profiles = stored(profiles.select("id", "p.size", "p.profile"), "profiles")
-    long = postings.groupBy("key").agg(F.count("*").alias("members"))
-    long = stored(long.where(F.col("members") > SHORT).select("key"), "long-keys")
+    long = postings.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > SHORT)
+    long = stored(long, "long-keys")
     short = _short_pairs(postings.join(long, "key", "left_anti"), profiles, percent)
-    links = stored(_verified(stored(short, "short-bound"), contents, exact, percent), "links")
+    lists = stored(postings.select("key", "id").join(long, "key"), "long-lists")
+    alone = lists.withColumn("root", F.col("id")).join(profiles, "id")
+    near = stored(short.union(_scan(alone, percent, forest=True)).distinct(), "near-pairs")
+    links = stored(_verified(near, contents, exact, percent), "links")
     roots = stored(components(links, "a", "b"), "roots")
-    opened = stored(postings.join(long, "key"), "long-lists")
-    for turn in range(ROUNDS + 1):
-        opened = _open(opened, roots)
-        if opened.isEmpty():
-            break
-        pairs = stored(_scan(opened.join(profiles, "id"), percent, best=turn < ROUNDS), "scan-pairs")
-        links = stored(links.union(_verified(pairs, contents, exact, percent)), "links")
-        roots = stored(components(links, "a", "b"), "roots")
+    opened = _open(lists, roots)
+    if not opened.isEmpty():
+        pairs = stored(_scan(opened.join(profiles, "id"), percent, forest=False), "scan-pairs")
+        more = stored(_verified(pairs, contents, exact, percent), "more-links")
+        links = links.union(more)
+        roots = stored(merged(roots, more, "a", "b"), "roots")
     return roots, links

@@ -13,8 +13,8 @@ shares at least c(b) = ceil(t * b) of them.
 
 The boundary minimises the number of postings plus expected list scans over
 the size histogram (sizes up to ``MAX_LIGHT``; larger sets are heavy).  The
-lists are then scanned by ``linking``: pivots first, then only members still in
-different components.  Every link is verified on the texts themselves.
+lists are then scanned by ``linking``: spanning forests first, then only members
+still in different components.  Every link is verified on the texts themselves.
 
 Defined results: null and empty text, and text without words, have an empty
 set, n_shingles 0, no link, and their own doc_id as component; rows with a null
@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import own_columns, stored
-from .linking import link_components
-from .shingles import mix, shingle_set, shingles_as_tuples
+from .linking import link_components, profile
+from .shingles import mix, shingle_sets, shingles_as_tuples
 
 MAX_LIGHT = 30
 SKETCH = 1 << 20  # counters of the rarity sketch; fixed whatever the input
@@ -48,20 +48,20 @@ def need(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
-_READ = "tid long, doc_id long, n long, s1 long, s2 long, chunk int, counts binary"
+_READ = "tid long, doc_id long, n long, s1 long, s2 long, profile binary, chunk int, counts binary"
 
 
 def _read(docs: DataFrame, k: int) -> DataFrame:
-    """One pass over the texts: a row per document (the 128-bit identity of its set) and, per task, the
-    counters of the rarity sketch, packed."""
+    """One pass over the texts: a row per document (the 128-bit identity and the profile of its set) and, per
+    task, the counters of the rarity sketch, packed."""
 
     def build(batches):
         total = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            n, one, two, found = [], [], [], []
-            for text in batch["text"]:
-                s = shingle_set(text, k)
+            n, one, two, profiles, found = [], [], [], [], []
+            for s in shingle_sets(batch["text"], k):
                 n.append(len(s))
+                profiles.append(profile(s))
                 one.append(int(s.sum().view(np.int64)))
                 two.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum().view(np.int64)))
                 found.append(s)
@@ -69,12 +69,12 @@ def _read(docs: DataFrame, k: int) -> DataFrame:
                 at = (np.concatenate(found) & np.uint64(SKETCH - 1)).astype(np.int64)
                 total += np.bincount(at, minlength=SKETCH)
             yield pd.DataFrame({"tid": batch["tid"], "doc_id": batch["doc_id"].astype("Int64"), "n": n, "s1": one, "s2": two,
-                                "chunk": -1, "counts": b""})
+                                "profile": profiles, "chunk": -1, "counts": b""})
         parts = [(c, total[c * _CHUNK : (c + 1) * _CHUNK]) for c in range(SKETCH // _CHUNK)]
         kept = [(c, zlib.compress(np.minimum(p, 2**31 - 1).astype("<i4").tobytes(), 1)) for c, p in parts if p.any()]
         if kept:
             frame = pd.DataFrame(kept, columns=["chunk", "counts"])
-            yield frame.assign(tid=0, doc_id=0, n=0, s1=0, s2=0)[[c.split()[0] for c in _READ.split(", ")]]
+            yield frame.assign(tid=0, doc_id=0, n=0, s1=0, s2=0, profile=b"")[[c.split()[0] for c in _READ.split(", ")]]
 
     return docs.mapInPandas(build, _READ)
 
@@ -129,8 +129,7 @@ def _postings(texts: DataFrame, rarity: np.ndarray, k: int, percent: int, bounda
         rank = shared.value
         for batch in batches:
             key, ids = [], []
-            for number, text in zip(batch["number"], batch["text"], strict=True):
-                s = shingle_set(text, k)
+            for number, s in zip(batch["number"], shingle_sets(batch["text"], k), strict=True):
                 n = len(s)
                 if n <= boundary:
                     for c in _light_sizes(n, boundary, percent):
@@ -152,26 +151,32 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[
     text = F.coalesce("text", F.lit(""))
     docs = own_columns(docs, "doc_id", "text").select(F.xxhash64(text).alias("tid"), "doc_id", text.alias("text"))
     read = stored(_read(docs, k), "sets")
-    member = read.where("chunk < 0").select("doc_id", "tid", "n", "s1", "s2")
+    member = read.where("chunk < 0").select("doc_id", "tid", "n", "s1", "s2", "profile")
     identity = ["n", "s1", "s2"]
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")).alias("pick")
-    classes = member.where("n > 0").groupBy(*identity).agg(F.min("doc_id").alias("least"), pick)
+    classes = member.where("n > 0").groupBy(*identity).agg(
+        F.min("doc_id").alias("least"), pick, F.first("profile").alias("profile")
+    )
     classes = stored(classes.withColumn("number", F.monotonically_increasing_id()), "classes")
     histogram = classes.where(F.col("n") <= 2 * MAX_LIGHT).groupBy("n").count().collect()
     boundary = choose_boundary({r["n"]: r["count"] for r in histogram}, percent)
+    sized = classes.select("number", "pick.*", F.col("n").alias("size"), "profile").drop("none")
+    sized = sized.withColumnsRenamed({"doc_id": "_doc", "tid": "_tid"})
     # one text per class, found by doc_id and text hash (repeated rows give the same postings again)
     picked = classes.select("number", F.col("pick.doc_id").alias("_doc"), F.col("pick.tid").alias("_tid"))
     texts = docs.join(picked, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("tid") == F.col("_tid"))).select("number", "text")
     postings = stored(_postings(texts, _rarity(read), k, percent, boundary), "postings")
     lists = postings.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     postings = stored(postings.join(lists.select("key"), "key"), "lists")
-    involved = postings.select(F.col("id").alias("number")).distinct().join(picked, "number")
+    involved = postings.select(F.col("id").alias("number")).distinct()
+    involved = involved.join(sized, "number")
     involved = stored(involved, "listed-classes")
     contents = docs.join(involved, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("tid") == F.col("_tid")))
     contents = stored(contents.select(F.col("number").alias("id"), F.col("text").alias("content")), "contents")
 
     roots, links = link_components(
-        postings, contents, lambda t: shingle_set(t, k), lambda t: shingles_as_tuples(t, k), percent
+        postings, contents, involved.select(F.col("number").alias("id"), "size", "profile"),
+        lambda t: shingles_as_tuples(t, k), percent,
     )
     named = classes.join(roots, F.col("number") == F.col("node"), "left")
     named = stored(named.select(*identity, "least", F.coalesce("root", "number").alias("root")), "class-components")
