@@ -2,7 +2,9 @@
 
 Input: postings ``(key, id)`` such that two ids that must be linked share at
 least one key, and contents ``(id, content)``.  Two contents link when the
-Jaccard similarity of their sets reaches ``percent`` / 100.
+Jaccard similarity of their sets reaches ``percent`` / 100.  Postings may carry
+the ``size`` of the id's set; sets whose sizes alone rule a link out are then
+not paired.
 
 A profile of each set (how many of its members fall into each of 128 hash
 buckets) bounds the overlap of two sets from above; only pairs within the bound
@@ -184,8 +186,10 @@ def _open(postings: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _short_pairs(postings: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """All pairs of the short lists that the bound allows."""
-    x = postings.select("key", F.col("id").alias("a"))
-    pairs = x.join(postings.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b").distinct()
+    size = F.col("size") if "size" in postings.columns else F.lit(1)
+    one, two = (postings.select("key", F.col("id").alias(c), size.alias(f"size_{c}")) for c in "ab")
+    near = F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent
+    pairs = one.join(two, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
     @F.pandas_udf("boolean")
     def within(size_a: pd.Series, one: pd.Series, size_b: pd.Series, two: pd.Series) -> pd.Series:

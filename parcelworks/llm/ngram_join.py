@@ -121,16 +121,16 @@ def _rarity(read: DataFrame) -> np.ndarray:
 
 
 def _postings(texts: DataFrame, rarity: np.ndarray, k: int, percent: int, boundary: int) -> DataFrame:
-    """(key, id) of every class; ``texts`` has number and text."""
+    """(key, id, size) of every class; ``texts`` has number and text."""
     shared = texts.sparkSession.sparkContext.broadcast(rarity)  # SKETCH bytes
     low = need(boundary + 1, percent)
 
     def post(batches):
         rank = shared.value
         for batch in batches:
-            key, ids = [], []
+            key, ids, sizes = [], [], []
             for number, s in zip(batch["number"], shingle_sets(batch["text"], k), strict=True):
-                n = len(s)
+                n, before = len(s), len(key)
                 if n <= boundary:
                     for c in _light_sizes(n, boundary, percent):
                         rows = np.array(list(combinations(s.tolist(), c)), np.uint64)
@@ -140,10 +140,11 @@ def _postings(texts: DataFrame, rarity: np.ndarray, k: int, percent: int, bounda
                     order = np.lexsort((s, rank[(s & np.uint64(SKETCH - 1)).astype(np.int64)]))
                     key.append(s[order[: n - need(n, percent) + 1]])
                     ids.append(np.full(len(key[-1]), number))
+                sizes += [np.full(len(part), n, np.int32) for part in key[before:]]
             if ids:
-                yield pd.DataFrame({"key": np.concatenate(key).view(np.int64), "id": np.concatenate(ids)})
+                yield pd.DataFrame({"key": np.concatenate(key).view(np.int64), "id": np.concatenate(ids), "size": np.concatenate(sizes)})
 
-    return texts.mapInPandas(post, "key long, id long")
+    return texts.mapInPandas(post, "key long, id long, size int")
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
