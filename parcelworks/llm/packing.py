@@ -8,9 +8,10 @@
    by multiplicative weights: each round prices the best configuration with a
    knapsack dynamic program under the current weights, and lengths that the
    configuration covers lose weight.
-3. Rounding: configurations are taken as often as their fractional amount,
-   within the counts; what is left is packed largest first, each sequence
-   completed by a knapsack for the best fit.
+3. Rounding: configurations are taken as often as the whole part of their
+   fractional amount, within the counts, then once more by largest remainder
+   where all their pieces are left.  Only what remains is packed largest first,
+   each sequence completed by a knapsack for the best fit.
 4. Back in Spark each piece finds its place from its rank among the pieces of
    its length: rank inside its task's output plus the counts of earlier tasks,
    so a length that a third of all pieces share is not one group anywhere.
@@ -94,6 +95,20 @@ def _fractional(sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: in
     return [(dict(key), amount) for key, amount in amounts.items()]
 
 
+def _rounded(proposals: list[tuple[dict[int, int], float]], sizes: np.ndarray, left: np.ndarray, out: list) -> None:
+    """Whole numbers of the configurations, fullest first; then one more each, largest remainder first."""
+    remainders = []
+    for config, amount in sorted(proposals, key=lambda p: -sum(int(sizes[j]) * n for j, n in p[0].items())):
+        times = min(int(amount), min(int(left[j]) // n for j, n in config.items()))
+        if times > 0:
+            _take(config, times, left, out, sizes)
+        if amount > times:
+            remainders.append((amount - times, config))
+    for _, config in sorted(remainders, key=lambda r: -r[0]):
+        if all(left[j] >= n for j, n in config.items()):
+            _take(config, 1, left, out, sizes)
+
+
 def _rest(sizes: np.ndarray, left: np.ndarray, capacity: int, out: list) -> None:
     """Pack what is left, largest length first, with the best-fitting company."""
     while left.any():
@@ -123,17 +138,10 @@ def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, rounds:
     if not len(sizes):
         return out
     counts = np.array([histogram[int(s)] for s in sizes], dtype=np.int64)
-    tried = []
-    for proposals in ([], _fractional(sizes, counts, capacity, rounds)):
-        left, made = counts.copy(), []
-        # fullest first; a proposal is taken as often as its amount, within what is left
-        for config, amount in sorted(proposals, key=lambda p: -sum(int(sizes[j]) * n for j, n in p[0].items())):
-            times = min(int(amount), min(int(left[j]) // n for j, n in config.items()))
-            if times > 0:
-                _take(config, times, left, made, sizes)
-        _rest(sizes, left, capacity, made)
-        tried.append(made)
-    return out + min(tried, key=lambda made: sum(times for _, times in made))
+    left = counts.copy()
+    _rounded(_fractional(sizes, counts, capacity, rounds), sizes, left, out)
+    _rest(sizes, left, capacity, out)
+    return out
 
 
 def _slots(configs: list[tuple[Config, int]]) -> dict[str, np.ndarray]:

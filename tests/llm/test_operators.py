@@ -196,6 +196,27 @@ def test_pack_histogram_is_whole():
     assert dict(held) == histogram
 
 
+def test_pack_histogram_places_the_linear_program(monkeypatch):
+    """The rest sees only what the rounded program left, also where every length is met once or twice."""
+    seen, rest = [], packing._rest
+
+    def watched(sizes, left, *others):
+        seen.append(int(left.sum()))
+        rest(sizes, left, *others)
+
+    monkeypatch.setattr(packing, "_rest", watched)
+    rng = random.Random(6)
+    histogram = {s: rng.randint(1, 2) for s in rng.sample(range(20, 1024), 40)}
+    made = packing.pack_histogram(histogram)
+    held = collections.Counter()
+    for config, times in made:
+        assert sum(s * n for s, n in config.items()) <= 1024
+        for s, n in config.items():
+            held[s] += n * times
+    assert dict(held) == histogram
+    assert len(seen) == 1 and seen[0] < 0.25 * sum(histogram.values())
+
+
 def test_token_output(docs, empty):
     path, encode = tokenizer("word_bpe_49k.json")
     folder, files = token_output.write_tokens(docs, path, shard_ids=500)
