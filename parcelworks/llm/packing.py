@@ -7,7 +7,9 @@
    *configurations* (which lengths share a sequence) is solved approximately
    by multiplicative weights: each round prices the best configuration with a
    knapsack dynamic program under the current weights, and lengths that the
-   configuration covers lose weight.
+   configuration covers lose weight.  A round raises the cover of one length by
+   STEP and a covered length is priced no more, so the rounds that cover every
+   length are at most 1 / STEP for each, whatever the input.
 3. Rounding: configurations are taken as often as the whole part of their
    fractional amount, within the counts, then once more by largest remainder
    where all their pieces are left.  Only what remains is packed largest first,
@@ -37,31 +39,33 @@ from .tokenizing import byte_encoder
 
 CAPACITY = 1024
 END_ID = 2
-ROUNDS = 600  # multiplicative-weights rounds; a constant cost on the driver
+STEP = 1 / 8  # cover that a round adds to the length it covers fastest
+_COVERED = 1 - 1e-9  # the sum of the steps, but for its rounding
 
 Config = dict[int, int]  # length -> how many in one sequence
 
 
 def knapsack(sizes: np.ndarray, values: np.ndarray, capacity: int) -> list[int]:
-    """Indices (with repeats) of the most valuable multiset of sizes within the capacity."""
+    """Indices (with repeats) of the most valuable multiset of sizes (distinct, ascending) within the capacity."""
+    least, most = int(sizes[0]), int(sizes[-1])
+    worth, index = np.full(capacity + 1, -1.0), np.zeros(capacity + 1, int)
+    worth[capacity - sizes], index[sizes] = values, np.arange(len(sizes))  # worth by size, largest first
     best = np.zeros(capacity + 1)
-    taken = np.full(capacity + 1, -1)
-    fitting = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
-    for room in range(1, capacity + 1):
+    taken = np.zeros(capacity + 1, int)  # a size
+    for room in range(least, capacity + 1):
+        top = min(room, most)
+        total = best[room - top : room - least + 1] + worth[capacity - top : capacity - least + 1]
+        j = int(total.argmax())
         best[room] = best[room - 1]
-        n = fitting[room]
-        if n:
-            total = best[room - sizes[:n]] + values[:n]
-            j = int(total.argmax())
-            if total[j] > best[room]:
-                best[room], taken[room] = total[j], j
+        if total[j] > best[room]:
+            best[room], taken[room] = total[j], top - j
     found, room = [], capacity
     while room > 0:
-        if taken[room] < 0:
+        if not taken[room]:
             room -= 1
         else:
-            found.append(int(taken[room]))
-            room -= int(sizes[taken[room]])
+            found.append(int(index[taken[room]]))
+            room -= int(taken[room])
     return found
 
 
@@ -69,29 +73,44 @@ def _within(found: list[int], left: np.ndarray) -> dict[int, int]:
     return {j: min(n, int(left[j])) for j, n in Counter(found).items() if left[j] > 0}
 
 
+def _fill(sizes: np.ndarray, values: np.ndarray, free: np.ndarray, room: int) -> dict[int, int]:
+    """A valuable configuration within the room and the free pieces; room that cut repeats leave is filled again."""
+    config: dict[int, int] = {}
+    free = free.copy()
+    while True:
+        open_ = np.flatnonzero((free > 0) & (sizes <= room))
+        if not len(open_):
+            return config
+        found = [int(open_[i]) for i in knapsack(sizes[open_], values[open_], room)]
+        for i, n in _within(found, free).items():
+            config[i] = config.get(i, 0) + n
+            free[i] -= n
+            room -= n * int(sizes[i])
+
+
 def _take(config: dict[int, int], times: int, left: np.ndarray, out: list, sizes: np.ndarray) -> None:
     for j, n in config.items():
         left[j] -= n * times
     out.append(({int(sizes[j]): n for j, n in config.items()}, times))
 
 
-def _fractional(sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: int) -> list[tuple[dict[int, int], float]]:
-    """Configurations with fractional amounts that cover each length about once."""
+def _fractional(
+    sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: int | None
+) -> list[tuple[dict[int, int], float]]:
+    """Configurations with fractional amounts that cover each length at least once (unless ``rounds`` ends them)."""
     covered = np.zeros(len(sizes))
     amounts: dict[tuple, float] = {}
-    eta = np.log(len(sizes) + 1) * 4
-    for _ in range(rounds):
+    eta = np.log(len(sizes) + 1)
+    done = 0
+    while covered.min() < _COVERED and done != rounds:
         weights = np.exp(-eta * (covered - covered.min())) * sizes
-        config = _within(knapsack(sizes, weights, capacity), counts)
-        if not config:
-            break
-        step = min(counts[j] / n for j, n in config.items()) / 8
+        config = _fill(sizes, weights, np.where(covered < _COVERED, counts, 0), capacity)
+        step = min(counts[j] / n for j, n in config.items()) * STEP
         key = tuple(sorted(config.items()))
         amounts[key] = amounts.get(key, 0.0) + step
         for j, n in config.items():
             covered[j] += n * step / counts[j]
-        if covered.min() >= 1:
-            break
+        done += 1
     return [(dict(key), amount) for key, amount in amounts.items()]
 
 
@@ -113,23 +132,14 @@ def _rest(sizes: np.ndarray, left: np.ndarray, capacity: int, out: list) -> None
     """Pack what is left, largest length first, with the best-fitting company."""
     while left.any():
         j = int(np.flatnonzero(left)[-1])
-        config = {j: 1}
-        free, room = left.copy(), capacity - int(sizes[j])
+        free = left.copy()
         free[j] -= 1
-        while room > 0:
-            open_ = np.flatnonzero((free > 0) & (sizes <= room))
-            if not len(open_):
-                break
-            found = [int(open_[i]) for i in knapsack(sizes[open_], sizes[open_].astype(float), room)]
-            company = _within(found, free)
-            for i, n in company.items():
-                config[i] = config.get(i, 0) + n
-                free[i] -= n
-                room -= n * int(sizes[i])
+        config = _fill(sizes, sizes.astype(float), free, capacity - int(sizes[j]))
+        config[j] = config.get(j, 0) + 1
         _take(config, max(1, min(int(left[i]) // n for i, n in config.items())), left, out, sizes)
 
 
-def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Config, int]]:
+def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int | None = None) -> list[tuple[Config, int]]:
     """Configurations with their number of sequences; together they hold every piece once."""
     out: list[tuple[Config, int]] = []
     if histogram.get(capacity):

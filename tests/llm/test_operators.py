@@ -217,6 +217,24 @@ def test_pack_histogram_places_the_linear_program(monkeypatch):
     assert len(seen) == 1 and seen[0] < 0.25 * sum(histogram.values())
 
 
+def test_pack_histogram_covers_every_length(monkeypatch):
+    found, fractional = [], packing._fractional
+    monkeypatch.setattr(packing, "_fractional", lambda *given: found.append((given, fractional(*given))) or found[-1][1])
+    rng = random.Random(8)
+    histogram = {s: rng.choice([1, 3, 40, 2000]) for s in range(1, 256)}
+    made = packing.pack_histogram(histogram, 256)
+    ((sizes, counts, *_), amounts), = found
+    covered = np.zeros(len(sizes))
+    for config, amount in amounts:
+        assert sum(int(sizes[j]) * n for j, n in config.items()) <= 256
+        for j, n in config.items():
+            covered[j] += n * amount / counts[j]
+    assert covered.min() > 1 - 1e-6
+    whole = sum(s * n for s, n in histogram.items()) / 256
+    halves = sum(n for s, n in histogram.items() if s > 128)
+    assert sum(times for _, times in made) <= 1.03 * max(whole, halves) + 2
+
+
 def test_token_output(docs, empty):
     path, encode = tokenizer("word_bpe_49k.json")
     folder, files = token_output.write_tokens(docs, path, shard_ids=500)
