@@ -18,9 +18,11 @@ The main text is the content blocks in page order, joined by two line feeds;
 character references are decoded and white space inside a block is one space.
 
 Defined results: null or empty html, or a page without content blocks, gives
-an empty text; markup that never ends is text or ends with the page; null
-page_ids and urls are carried; repeated rows give repeated results; an empty
-table gives no rows; extra columns are ignored.
+an empty text; a comment, script, style, title or text area that never ends
+runs to the end of the page, an option ends at the next start tag or with its
+parent, any other element without its end tag shows its text; a tag that never
+ends is text; null page_ids and urls are carried; repeated rows give repeated
+results; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -46,25 +49,80 @@ TRAIN_EPOCHS = 6
 # Tags that do not end a block, and tags whose content is not shown (fixed values of HTML).
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s samp small span "
-    "strike strong sub sup time tt u var wbr ruby rb rt rp input button select option picture source".split()
+    "strike strong sub sup time tt u var wbr ruby rb rt rp input button select option optgroup picture source".split()
 )
-HIDDEN_TAGS = "script|style|noscript|template|textarea|title|svg|math|iframe|object|select|option|button"
+RAW = frozenset("script style textarea title".split())  # text up to their end tag or the end of the page
+HIDDEN_TAGS = frozenset("noscript template svg math iframe object select option optgroup button".split())
+OPTIONS = ("option", "optgroup")  # end at the next start tag or with their parent
+FOREIGN = ("svg", "math")  # a slash ends them and what is inside them
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {  # a start tag ends an open element of these kinds
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
 }
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{HIDDEN_TAGS})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>\"']*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*>"
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in (*RAW, "iframe")}
 _MARK = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 
 
+def _shown(page: str) -> list[re.Match]:
+    """The page's tokens without the elements that show no text."""
+    tokens: list[re.Match] = []
+    after: dict[int, int] = {}  # token that opens a hidden element: first token behind the element
+    open_: list[tuple[str, int]] = []
+    depth: Counter = Counter()
+    endless = set()
+    at = 0
+    while at < len(page):
+        token = _TOKEN.match(page, at)
+        at, number = token.end(), len(tokens)
+        tokens.append(token)
+        if token["tag"] is None:
+            continue
+        tag = token["tag"].lower()
+        if token["end"]:
+            while depth[tag]:
+                name, first = open_.pop()
+                depth[name] -= 1
+                if name in OPTIONS or name == tag and name in HIDDEN_TAGS:
+                    after[first] = number + (name == tag)
+                if name == tag:
+                    break
+            continue
+        if open_ and open_[-1][0] in OPTIONS:
+            name, first = open_.pop()
+            depth[name] -= 1
+            after[first] = number
+        if tag in VOID:
+            continue
+        if token["attrs"].rstrip().endswith("/") and (tag in FOREIGN or any(depth[name] for name in FOREIGN)):
+            after[number] = number + 1
+        elif tag in _END:
+            end = None if tag in endless else _END[tag].search(page, at)
+            if end or tag in RAW:
+                after[number] = number + 1
+                at = end.end() if end else len(page)
+            else:
+                endless.add(tag)
+        elif tag in HIDDEN_TAGS or tag not in INLINE:
+            open_.append((tag, number))
+            depth[tag] += 1
+    shown, number = [], 0
+    while number < len(tokens):
+        if number in after:
+            number = after[number]
+        else:
+            shown.append(tokens[number])
+            number += 1
+    return shown
+
+
 def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
     """(text, path of tags and marks, share of characters inside links) per non-empty leaf block."""
     out: list[tuple[str, tuple[str, ...], float]] = []
@@ -81,7 +139,7 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
         parts.clear()
         linked = 0
 
-    for token in _TOKEN.finditer(page or ""):
+    for token in _shown(page or ""):
         text = token["text"]
         if text is not None:
             text = html.unescape(text)

@@ -365,6 +365,34 @@ def test_html_extraction(spark):
     assert found == {(1, "u"): (text, len(text)), (2, None): ("", 0), (None, "v"): ("", 0), (3, "w"): ("", 0)}
 
 
+@pytest.mark.parametrize(
+    ("before", "hidden"),
+    [
+        ('<svg width="1" viewBox=\'0 0 1 1\'/>', ""),
+        ("<p>a<svg><title/><path d='M0'/><g><svg/></g><text>no</text></svg>", "a"),
+        ("<svg-icon name=x></svg-icon><button-group></button-group>", ""),
+        ("<title-bar>Bar</title-bar><title_bar>Two</title_bar>", "Bar Two"),
+        ("<datalist id=d><option value=a><option value=b></datalist>", ""),
+        ("<datalist id=d><option value=a>no<option value=b>no</datalist>", ""),
+        ("<select><optgroup label=x><option>no<option>no</optgroup></select>", ""),
+        ("<div><button>yes</div>", "yes"),
+        ("<div><object><object>no</object>no</object>yes</div>", "yes"),
+        ("<noscript><p>no</noscript><template><div>no</template><iframe></div></iframe>", ""),
+        ("<iframe src=x><object data=y><button>", ""),
+        ("<SCRIPT>no</script-x> no</SCRIPT ><textarea>no<p></textarea>", ""),
+    ],
+)
+def test_html_blocks_keep_what_follows(before, hidden):
+    page = f"<body>{before}<article><h1>Title</h1><p>Text one.</p></article><p>Last</p><svg>no</svg></body>"
+    texts = [text for text, *_ in html_extract.blocks(page)]
+    assert texts[-3:] == ["Title", "Text one.", "Last"] and " ".join(texts[:-3]) == hidden
+
+
+def test_html_blocks_unended_raw_text():
+    assert [text for text, *_ in html_extract.blocks("<p>One</p><script>var a = '<p>no</p>';")] == ["One"]
+    assert [text for text, *_ in html_extract.blocks("<p>One</p><template><p>Two</p>")] == ["One", "Two"]
+
+
 def test_labeller_on_unseen_pages():
     model, maker = html_extract.train(pages=250, epochs=4), html_extract.PageMaker(77)
     wrong = total = 0
