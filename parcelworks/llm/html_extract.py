@@ -175,7 +175,7 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
             if path[i][0] in ("ul", "ol", "dl", "table"):
                 break
         values = [v for m in _MARK.finditer(token["attrs"]) for v in m.groups() if v]
-        names = tuple(dict.fromkeys(n for v in values for n in _NAME.findall(v.lower())))[:8]
+        names = tuple(dict.fromkeys(n for v in values for n in _NAME.findall(v.lower())))
         path.append((tag, tuple("." + n for n in names)))
     flush()
     return out

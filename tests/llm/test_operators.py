@@ -388,6 +388,13 @@ def test_html_blocks_keep_what_follows(before, hidden):
     assert texts[-3:] == ["Title", "Text one.", "Last"] and " ".join(texts[:-3]) == hidden
 
 
+def test_html_path_has_every_mark():
+    names = [f"u{chr(97 + i)}" for i in range(20)]
+    page = f'<div class="{" ".join(names)}" id="sidebar"><p>Text</p></div>'
+    ((_, path, _),) = html_extract.blocks(page)
+    assert path == ("div", *("." + n for n in names), ".sidebar", "p")
+
+
 def test_html_blocks_unended_raw_text():
     assert [text for text, *_ in html_extract.blocks("<p>One</p><script>var a = '<p>no</p>';")] == ["One"]
     assert [text for text, *_ in html_extract.blocks("<p>One</p><template><p>Two</p>")] == ["One", "Two"]
