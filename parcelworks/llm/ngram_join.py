@@ -147,8 +147,8 @@ def _postings(texts: DataFrame, rarity: np.ndarray, k: int, percent: int, bounda
     return texts.mapInPandas(post, "key long, id long, size int")
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """(per document: doc_id, n_shingles, component_id; links between numbered classes)."""
+def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(per row: doc_id, tid, n, component and root, both null without shingles; links between numbered classes)."""
     text = F.coalesce("text", F.lit(""))
     docs = own_columns(docs, "doc_id", "text").select(F.xxhash64(text).alias("tid"), "doc_id", text.alias("text"))
     read = stored(_read(docs, k), "sets")
@@ -182,17 +182,35 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[
     named = classes.join(roots, F.col("number") == F.col("node"), "left")
     named = stored(named.select(*identity, "least", F.coalesce("root", "number").alias("root")), "class-components")
     least = stored(named.groupBy("root").agg(F.min("least").alias("component")), "component-ids")
-    named = stored(named.join(least, "root").select(*identity, "component"), "class-ids")
-    found = member.join(named, identity, "left")
+    named = stored(named.join(least, "root").select(*identity, "component", "root"), "class-ids")
+    return member.join(named, identity, "left").select("doc_id", "tid", "n", "component", "root"), links
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """(per document: doc_id, n_shingles, component_id; links between numbered classes)."""
+    found, links = _linked(docs, k, percent)
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")), links
 
 
 def one_per_component(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document (the smallest id) left of each component; others stay as they are.
+    """``docs`` with one row left of each component; rows without shingles stay as they are.
 
-    Rows with a null doc_id stay; so do repeated rows of a kept doc_id.
+    The row with the smallest doc_id stays (null last, then the smallest text
+    hash); where it is itself repeated (same doc_id and text), one of the
+    repeated rows.  Rows are told apart by doc_id and text hash.
     """
-    found, _ = jaccard_components(docs, k, percent)
-    dropped = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    found, _ = _linked(docs, k, percent)
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")
+    rows = stored(found.where("n > 0").groupBy("root", "doc_id", "tid").agg(F.count("*").alias("n")), "linked-rows")
+    picked = rows.groupBy("root").agg(F.min(row).alias("pick"), F.sum("n").alias("size")).where("size > 1")
+    judged = rows.join(stored(picked.select("root", "pick"), "kept-rows"), "root").withColumn("kept", row == F.col("pick"))
+    judged = judged.where("not kept or n > 1").select(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid"), "kept")
+    judged = stored(judged, "near-copies")
+
+    names = docs.columns
+    hashed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = docs["doc_id"].eqNullSafe(judged["_id"]) & (F.col("_text_hash") == judged["_tid"])
+    once = hashed.join(judged, same, "left_anti").select(*names)
+    repeated = hashed.join(judged.where("kept"), same).dropDuplicates(["_id", "_tid"]).select(*names)
+    return once.union(repeated)

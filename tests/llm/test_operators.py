@@ -106,6 +106,38 @@ def test_ngram_join(docs, empty, k, percent):
     assert ngram_join.jaccard_components(empty, k, percent)[0].count() == 0
 
 
+def test_one_per_component_rows(spark):
+    """Shared ids, repeated rows and null ids: one row of each component stays, and nothing else goes."""
+    rng = random.Random(12)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(120)] for _ in range(4)]
+    near = lambda g, n: " ".join([*base[g][:-1], f"end{n}"])
+    clean = [" ".join(f"c{rng.randrange(10**6)}" for _ in range(50)) for _ in range(3)]
+    rows = [
+        (940, near(0, 1)), (950, near(0, 2)), (950, clean[0]),  # a clean text shares the id of a near copy
+        (900, near(1, 1)), (900, near(1, 2)), (901, near(1, 3)),  # the smallest id stands at two near copies
+        (None, near(2, 1)), (None, near(2, 2)), (None, near(2, 3)), (None, clean[1]),
+        (7, near(3, 1)), (7, near(3, 1)), (None, near(3, 2)),
+        (8, clean[2]), (8, clean[2]), (9, ""), (9, ""), (None, None),
+    ]
+    sets = [shingles_as_tuples(t, 5) for _, t in rows]
+    left, want = set(range(len(rows))), collections.Counter()
+    while left:
+        own = {min(left)}
+        while more := {j for j in left - own for i in own if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}:
+            own |= more
+        left -= own
+        ids = [rows[i][0] for i in own if rows[i][0] is not None]
+        want[min(ids, default=None), frozenset(rows[i][1] for i in own if rows[i][0] == min(ids, default=None))] += 1
+    frame = spark.createDataFrame([(d, t, {"n": 1}) for d, t in rows], "doc_id long, text string, extra map<string,int>")
+    kept = ngram_join.one_per_component(frame.repartition(3), 5, 80)
+    assert kept.columns == frame.columns
+    found = collections.Counter()
+    for r in kept.collect():
+        (key,) = [w for w in want if w[0] == r.doc_id and r.text in w[1]]
+        found[key] += 1
+    assert found == want
+
+
 def test_ngram_join_long_lists(docs, monkeypatch):
     """The same components when every list is scanned in blocks."""
     from parcelworks.llm import linking
