@@ -8,11 +8,11 @@ candidates when a band agrees (recall 1 - (1 - 0.8**ROWS)**BANDS = 99.7 % at
 Jaccard 0.8, more above).  Candidates are verified by the exact Jaccard
 similarity of their shingle sets (at least 0.8); verified links are joined into
 components by distributed union-find.  Of all occurrences of a component's
-lines the first (least doc_id, null last, then line number) is kept.
+lines the first (least doc_id, null last, then text hash and line number) is kept.
 
 Defined results: null text counts as empty; a document without lines keeps
 none and loses none; blank lines stay; repeated rows (equal doc_id and text)
-are told apart by a row number, and one of them keeps the line; a very long
+are told apart by a stored row number, and one of them keeps the line; a very long
 line is one line; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -114,8 +114,9 @@ def _signatures(rows: DataFrame) -> DataFrame:
 def duplicate_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents with a row number: row, doc_id, text; lines to remove: row, line_no)."""
     rows = own_columns(docs, "doc_id", "text").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("row")
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row")
     )
+    rows = stored(rows, "numbered-rows")  # the numbers must be the same wherever they are read
     distinct = stored(_signatures(rows).select(F.monotonically_increasing_id().alias("number"), "*"), "line-signatures")
     made = distinct.select(F.explode("keys").alias("key"), F.col("number").alias("id"), "size")
     shared = made.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
@@ -130,9 +131,11 @@ def duplicate_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     roots, _ = link_components(postings.select("key", "id"), contents, profiles_of(contents, hashes), shingles, PERCENT)
     named = stored(involved.join(roots, F.col("number") == F.col("node")).select("id", "root"), "line-components")
-    places = stored(_lines(rows, "doc_id", "row").select("doc_id", "row", "line_no", "id"), "line-places")
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+    places = _lines(hashed, "doc_id", "hash", "row").select("doc_id", "hash", "row", "line_no", "id")
+    places = stored(places, "line-places")
     grouped = places.join(named, "id", "left").withColumn("group", F.coalesce(F.col("root").cast("string"), F.hex("id")))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "line_no")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row", "line_no")
     firsts = grouped.groupBy("group").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     firsts = stored(firsts.select("group", "first"), "line-firsts")
     removed = grouped.join(firsts, "group").where(place != F.col("first")).select("row", "line_no")

@@ -338,6 +338,40 @@ def test_line_dedup(docs, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_counts(spark):
+    """Removed lines of every row, repeated rows and null ids included, against brute force."""
+    rng = random.Random(21)
+    line = lambda: "".join(rng.choice("abcdefghij ") for _ in range(60)).strip()
+    common, other = line(), line()
+    near = common[:30] + "#" + common[31:]  # shares 41 of 61 shingles
+    close = other + "!"
+    texts = [f"{common}\n{line()}\n\n{other}", f"{line()}\n  {common} ", f"{close}\n{line()}", f"{near}\n{other}", line()]
+    rows = [(4, texts[0]), (4, texts[0]), (4, texts[0]), (6, texts[1]), (2, texts[2]), (2, texts[4]), (9, texts[3])]
+    rows += [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, None), (3, ""), (3, ""), (6, texts[4])]
+    held = [(d is None, d or 0, n, at, x.strip()) for n, (d, t) in enumerate(rows) for at, x in enumerate((t or "").split("\n")) if x.strip()]
+    held.sort()
+    distinct = list(dict.fromkeys(h[4] for h in held))
+    group = {x: x for x in distinct}
+    for x in distinct:
+        for y in distinct:
+            a, b = line_dedup.shingles(x), line_dedup.shingles(y)
+            if len(a & b) >= 0.8 * len(a | b) and group[x] != group[y]:
+                group = {z: group[x] if g == group[y] else g for z, g in group.items()}
+    assert group[close] == group[other] and group[near] != group[common]
+    seen, gone = set(), collections.defaultdict(set)
+    for _, _, n, at, x in held:
+        if group[x] in seen:
+            gone[n].add(at)
+        seen.add(group[x])
+    want = collections.Counter()
+    for n, (d, t) in enumerate(rows):
+        parts = (t or "").split("\n")
+        left = "\n".join(x for at, x in enumerate(parts) if at not in gone[n])
+        want[d, sum(bool(x.strip()) for x in parts), len(gone[n]), left] += 1
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert want == collections.Counter(tuple(r) for r in line_dedup.dedup_lines(frame).collect())
+
+
 def test_mixing(docs, empty):
     taken = mixing.mix(docs, share=0.5, epochs=2)
     assert taken.columns[: len(docs.columns)] == docs.columns
