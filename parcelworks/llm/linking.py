@@ -225,7 +225,7 @@ def link_components(
     exact: Callable[[str], set],
     percent: int,
 ) -> tuple[DataFrame, DataFrame]:
-    """(components (node, root), verified links (a, b)).
+    """(components (node, root), verified spanning links (a, b): enough to join the components, not every link).
 
     ``profiles`` has id, size and profile of each content's set; ``exact`` gives the set itself.
     """

@@ -148,7 +148,7 @@ def _postings(texts: DataFrame, rarity: np.ndarray, k: int, percent: int, bounda
 
 
 def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(per row: doc_id, tid, n, component and root, both null without shingles; links between numbered classes)."""
+    """(per row: doc_id, tid, n, component and root, both null without shingles; spanning links between classes)."""
     text = F.coalesce("text", F.lit(""))
     docs = own_columns(docs, "doc_id", "text").select(F.xxhash64(text).alias("tid"), "doc_id", text.alias("text"))
     read = stored(_read(docs, k), "sets")
@@ -187,7 +187,10 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """(per document: doc_id, n_shingles, component_id; links between numbered classes)."""
+    """(per document: doc_id, n_shingles, component_id; spanning links between numbered classes).
+
+    The spanning links join the components; most links inside a large group are not among them.
+    """
     found, links = _linked(docs, k, percent)
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")), links
