@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Rows per Arrow batch: bounds a Python worker's memory even if every text of a batch is long.
+# Rows and bytes per Arrow batch: whichever is reached first bounds a Python worker's memory.
 ARROW_ROWS = "500"
+ARROW_BYTES = str(32 << 20)
 
 
 _SHIPPED: set[str] = set()
@@ -30,6 +31,7 @@ def prepare(spark: SparkSession) -> None:
     Shuffle and adaptive settings stay the user's.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    byte_bpe,
     exact_dedup,
     html_extract,
     line_dedup,
@@ -91,6 +92,19 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(folder, files)
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, path, "doc_id", "n_tokens").select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,6 +118,7 @@ QUERIES = {
         op8_toxicity,
         op9_source_mixing,
         op10_token_output,
+        op13_byte_bpe,
     )
 }
 

@@ -21,12 +21,18 @@ import numpy as np
 JOINED = 500
 _CACHE_LIMIT = 1_200_000  # pieces kept per worker; memory only, never results
 _LOADED: dict[str, object] = {}
+_BUILDERS: dict[str, Callable[[], object]] = {}
 _CACHES: dict[str, dict[bytes, bytes]] = {}
 _TOKEN_BYTES: dict[str, np.ndarray] = {}
 _OTHER_SPACE = re.compile(r"[^\S \t\n\r\f\v]")
 _PIECE = re.compile(rb"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
 
 
+def register(path: str, build: Callable[[], object]) -> None:
+    """Files that the library cannot read by itself: ``build`` makes the tokenizer when it is first needed."""
+    _BUILDERS[path] = build
+
+
 def _library(path: str):
     if path not in _LOADED:
         import os
@@ -34,7 +40,7 @@ def _library(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
+        tokenizer = _BUILDERS[path]() if path in _BUILDERS else Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         tokenizer.no_truncation()
         tokenizer.no_padding()
