@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from . import (
     byte_bpe,
     exact_dedup,
+    hard_negatives,
     html_extract,
     line_dedup,
     mixing,
     ngram_join,
     packing,
     suffix_dedup,
+    token_alignment,
     token_output,
     toxicity,
     winnowing,
@@ -92,6 +94,18 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(folder, files)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _ = token_alignment.align(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    )
+    return documents
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -118,8 +132,14 @@ QUERIES = {
         op8_toxicity,
         op9_source_mixing,
         op10_token_output,
+        op11_hard_negatives,
+        op12_token_alignment,
         op13_byte_bpe,
     )
 }
 
-ORACLE_SQL = {"op1_exact_dedup": exact_dedup.SQL, "op9_source_mixing": mixing.SQL}
+ORACLE_SQL = {
+    "op1_exact_dedup": exact_dedup.SQL,
+    "op9_source_mixing": mixing.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
+}
