@@ -76,18 +76,32 @@ def lenient_double(c: Column | str) -> Column:
     return F.when(~s.rlike(_FLOAT_SUFFIX), s.try_cast("double"))
 
 
+_DECIMAL = r"^\s*([+-]?)0*(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?\s*$"
+
+
+def _rounded_decimal(s: Column) -> Column:
+    """Decimal text, with or without an exponent, as a whole number (BIGINT), half away from zero.
+
+    The point is moved over the digits themselves, so no digit is lost to a
+    fixed precision; NULL when the text is no number or has over 18 whole digits."""
+    sign, whole, fraction, power = (F.regexp_extract(s, _DECIMAL, n) for n in (1, 2, 3, 4))
+    # without digits before the point, the first significant one may stand anywhere behind it
+    zeros = F.when(whole == "", F.length(fraction) - F.length(F.ltrim(fraction, F.lit("0")))).otherwise(0)
+    digits = F.ltrim(F.concat(whole, fraction), F.lit("0"))
+    point = F.length(whole) - zeros + F.coalesce(F.nullif(power, F.lit("")), F.lit("0")).try_cast("int")
+    kept = F.rpad(F.substring(digits, F.lit(1), F.least(point, F.lit(19))), F.least(point, F.lit(19)), "0")
+    size = F.when(point <= 0, F.lit(0)).otherwise(kept.try_cast("long"))
+    up = (point >= 0) & (F.substring(digits, point + 1, F.lit(1)) >= "5")
+    value = F.when(digits == "", F.lit(0)).when(point <= 18, size + up.cast("int"))
+    return F.when(s.rlike(_DECIMAL) & s.rlike(r"^\s*[+-]?\.?\d"), F.when(sign == "-", -value).otherwise(value))
+
+
 def strict_int(c: Column | str, name: str = "value") -> Column:
     """Text -> INT.  NULL stays NULL; decimal text rounds half away from
     zero; text that is not a number (or overflows) raises."""
     s = _without_digit_separators(_text(c))
     whole = s.try_cast("int")
-    # half away from zero depends on the first fractional digit alone, so no precision is lost
-    digits = [F.regexp_extract(s, r"^\s*([+-]?)(\d*)\.(\d?)\d*\s*$", n) for n in (1, 2, 3)]
-    size = F.coalesce(F.nullif(digits[1], F.lit("")), F.lit("0")).try_cast("long") + (digits[2] >= "5").cast("long")
-    plain = F.when((digits[1] != "") | (digits[2] != ""), F.when(digits[0] == "-", -size).otherwise(size)).try_cast("int")
-    # with an exponent the digits stand elsewhere
-    scientific = F.when(s.rlike("[eE]"), F.round(s.try_cast("decimal(38,9)"), 0)).try_cast("int")
-    rounded = F.coalesce(plain, scientific)
+    rounded = _rounded_decimal(s).try_cast("int")
     # unsigned hexadecimal / binary literals ("0x1F", "0b101")
     hex_digits = F.regexp_extract(s, r"^0[xX]([0-9a-fA-F]+)$", 1)
     bin_digits = F.regexp_extract(s, r"^0[bB]([01]+)$", 1)

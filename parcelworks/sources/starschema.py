@@ -7,7 +7,7 @@ typed columns directly); ``as_text=True`` renders every column as text,
 exactly like a raw CSV table, so the staging text parsers run on it.  Both
 give the same staging tables.
 
-Rules (the DuckDB oracle in ``parcelworks.oracle`` spells the same ones):
+Rules (the DuckDB oracle in ``tools`` spells the same ones):
 
 * orders: status F/O/P -> delivered/shipped/processing; purchase = order
   date; approved = +1 hour; for delivered orders carrier / customer delivery
@@ -19,10 +19,18 @@ Rules (the DuckDB oracle in ``parcelworks.oracle`` spells the same ones):
   order and some orphans; score by event type; answered one day later.
 * customers / sellers: nation name is the state; products: size for every
   dimension.
+
+Two variants of the text form, both by rules on a row's key: ``malformed``
+writes values as careless exports do (partial dates, number suffixes,
+exponents, no-break spaces, rows cut short), ``faulty`` adds and changes rows
+that the quality checks must count.  ``altered_facts`` does the same to the
+late flag of the order facts, which no raw value can make wrong.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +46,118 @@ ESTIMATE_DAYS_BY_PRIORITY = {
 }
 SCORE_BY_EVENT = {"error": 1, "signup": 2, "view": 3, "click": 4, "purchase": 5}
 
+
+@dataclass(frozen=True)
+class Rules:
+    """SQL texts (the same in Spark and DuckDB) that a row gets where its key leaves a remainder.
+
+    changed: (modulus, remainder, column, new value);
+    added: (modulus, remainder, {column: value}), a copy of the row with other values."""
+
+    key: str
+    changed: tuple = ()
+    added: tuple = ()
+
+    def hits(self, modulus: int, remainder: int) -> str:
+        return f"CAST({self.key} AS BIGINT) % {modulus} = {remainder}"
+
+
+def _dates(column: str, first: int) -> tuple:
+    """A month only, a word, a date only, nothing and an empty text."""
+    forms = (f"substr({column}, 1, 7)", "'soon'", f"substr({column}, 1, 10)", "NULL", "''")
+    return tuple((23, first + n, column, form) for n, form in enumerate(forms))
+
+
+def _numbers(column: str) -> tuple:
+    forms = (
+        f"{column} || 'd'", f"{column} || 'F'", f"'1_0' || {column}", f"{column} || 'e-1'", f"'  ' || {column} || ' '",
+        f"'1,' || {column}", "'-'", "''", f"'+' || {column}", "'abc'",
+    )
+    return tuple((19, n, column, form) for n, form in enumerate(forms, 1))
+
+
+def _whole(column: str) -> tuple:
+    forms = (
+        f"{column} || '.4999999'", f"{column} || '.5'", f"{column} || '5e-1'", "'4.9999999999e-1'", "'2.4999999999999e0'",
+        "'0x1F'", f"' ' || {column} || 'e0 '", f"'00' || {column}", f"'-' || {column} || '.50'", "'0.000000000000000000000000000015e29'",
+    )
+    return tuple((17, n, column, form) for n, form in enumerate(forms, 1))
+
+
+def _words(column: str) -> tuple:
+    forms = (f"'\u00a0 ' || upper({column}) || ' \u2003'", f"'\u3000' || lower({column})", "'\u00a0'", f"{column} || '\t'")
+    return tuple((13, n, column, form) for n, form in enumerate(forms, 1))
+
+
+MALFORMED = {
+    "orders": Rules(
+        "order_id",
+        _words("order_status")
+        + _dates("order_purchase_timestamp", 1)
+        + _dates("order_approved_at", 3)
+        + _dates("order_delivered_carrier_date", 6)
+        + _dates("order_delivered_customer_date", 9)
+        + _dates("order_estimated_delivery_date", 14),
+    ),
+    "order_items": Rules(
+        "order_id",
+        _whole("order_item_id") + _dates("shipping_limit_date", 2) + _numbers("price") + _numbers("freight_value"),
+    ),
+    "payments": Rules(
+        "order_id",
+        _whole("payment_sequential") + _words("payment_type") + _whole("payment_installments") + _numbers("payment_value"),
+    ),
+    "reviews": Rules(
+        "review_id",
+        _whole("review_score") + _dates("review_creation_date", 1) + _dates("review_answer_timestamp", 4),
+    ),
+    "customers": Rules("customer_id", _whole("customer_zip_code_prefix") + _words("customer_city") + _words("customer_state")),
+    "products": Rules(
+        "product_id",
+        _words("product_category_name")
+        + _numbers("product_weight_g")
+        + _numbers("product_length_cm")
+        + _numbers("product_height_cm")
+        + _numbers("product_width_cm"),
+    ),
+    "sellers": Rules("seller_id", _whole("seller_zip_code_prefix") + _words("seller_city") + _words("seller_state")),
+}
+
+FAULTY = {
+    "orders": Rules("order_id", ((89, 2, "order_status", "'lost'"),), ((97, 1, {}),)),
+    "order_items": Rules(
+        "order_id",
+        ((79, 4, "price", "'-' || price"), (79, 5, "freight_value", "'-1'")),
+        ((83, 3, {"order_id": "'none-' || order_id"}),),
+    ),
+    "reviews": Rules("review_id", ((73, 6, "review_score", "'0'"), (73, 7, "review_score", "'9'"))),
+}
+
+ALTERED_FACTS = "CAST(order_id AS BIGINT) % 71 = 8"
+
+
+def with_rules(raw: dict[str, DataFrame], rules: dict[str, Rules]) -> dict[str, DataFrame]:
+    """Text raw tables with the rules applied."""
+    out = dict(raw)
+    for table, own in rules.items():
+        plain = raw[table]
+        shown = {name: F.col(name) for name in plain.columns}
+        for modulus, remainder, column, value in reversed(own.changed):  # the first rule that hits applies
+            shown[column] = F.when(F.expr(own.hits(modulus, remainder)), F.expr(value)).otherwise(shown[column])
+        out[table] = plain.select(*[c.alias(name) for name, c in shown.items()])
+        for modulus, remainder, values in own.added:
+            copies = plain.where(own.hits(modulus, remainder))
+            out[table] = out[table].unionByName(copies.select(*[F.expr(values.get(c, c)).alias(c) for c in plain.columns]))
+    return out
+
+
+def altered_facts(fct: DataFrame) -> DataFrame:
+    """Order facts with the late flag set where it must be missing, and missing where it must be set, by a key rule."""
+    swapped = F.when(F.col("late_delivery").isNull(), F.lit(1))
+    flag = F.when(F.expr(ALTERED_FACTS), swapped).otherwise(F.col("late_delivery"))
+    return fct.withColumn("late_delivery", flag)
+
+
 STAR_TABLES = ("orders", "lineitem", "customer", "supplier", "part", "nation", "events")
 
 

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from parcelworks.operators import analysis as A
 from parcelworks.operators import marts as M
 from parcelworks.operators import quality as Q
-from parcelworks.oracle import _CHECK_SQL
+from tools.duckdb_oracle import check_sql
 
 SETTINGS = settings(
     max_examples=8, deadline=None, suppress_health_check=list(HealthCheck), derandomize=True
@@ -131,7 +131,7 @@ def test_marts_and_quality_match_sql(spark, orders, items, reviews):
     _same(M.fct_seller_performance(facts).collect(), con.execute(SELLER_SQL).fetchall())
 
     fused = Q.quality_counts(o, it, r, fct).first().asDict()
-    expected = {name: con.execute(sql).fetchone()[0] for name, sql in _CHECK_SQL.items()}
+    expected = {name: con.execute(sql).fetchone()[0] for name, sql in check_sql().items()}
     assert fused == expected
 
 
