@@ -1,18 +1,26 @@
 """SRC3 / SNK5: fingerprint the raw input files.
 
 One row per input file: logical table, base file name (never the local
-path), byte size and SHA-256.  Hashing runs in tasks, spread over files:
-
-* files up to ``inline_limit`` bytes are hashed in the JVM
-  (``binaryFile`` + ``sha2``); the length filter is pushed into the
-  binaryFile scan, so larger files' contents are never loaded whole;
-* larger files (if any: checked on file metadata first) are streamed
-  through hashlib in fixed-size chunks inside ``mapInPandas`` (bounded
-  memory, no 2 GB row limit).
+path), byte size and SHA-256.  Files of every size take one path: Spark's
+line reader (so the session's own filesystem and credentials) streams each
+file to one task, which feeds the bytes to the hash batch by batch.  Memory
+is bounded by a batch or the longest run of bytes without a line feed; no
+file is loaded whole and none is too large.
+
+The reader's scan settings keep a file in one task and deal small files
+together; they live in a session of their own, so the caller's stay as they
+are.  It drops the line feeds, and a byte order mark at the start of a file;
+the file's size tells which of them were there.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,32 +33,116 @@ DATASET = "Olist Brazilian E-Commerce Public Dataset"
 SOURCE_URL = "https://www.kaggle.com/datasets/olistbr/brazilian-ecommerce"
 LICENSE = "CC-BY-NC-SA-4.0"
 
+# Names that Spark's line reader would decompress; their bytes come from the binary reader.
+COMPRESSED = r"(?i)\.(gz|gzip|bz2|deflate|lz4|snappy|zst|zstd|xz)$"
+BYTE_ORDER_MARK = b"\xef\xbb\xbf"
+_BATCH_BYTES = 16 << 20
+
+
+class _FileHash:
+    """SHA-256 of a file from its lines, with and without a byte order mark before them."""
+
+    def __init__(self, size: int):
+        self.size, self.seen = size, -1
+        self.plain, self.marked = hashlib.sha256(), hashlib.sha256(BYTE_ORDER_MARK)
+
+    def add(self, lines: list[bytes]) -> None:
+        data = b"\n".join(lines)
+        if self.seen >= 0:
+            data = b"\n" + data
+        self.seen = max(self.seen, 0) + len(data)
+        self.plain.update(data)
+        self.marked.update(data)
+
+    def digest(self) -> str:
+        missing = self.size - self.seen
+        if missing not in (0, 1, 3, 4):
+            raise ValueError(f"{self.seen} bytes read of a file of {self.size}: it changed while it was read")
+        found = self.marked if missing >= 3 else self.plain
+        if missing in (1, 4):
+            found.update(b"\n")
+        return found.hexdigest()
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, sha256) of the files whose lines follow each other."""
+
+    def row(path: str, state: _FileHash) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"key": [path], "sha256": [state.digest()]})
+
+    path, state = None, None
+    for batch in batches:
+        paths = batch["key"].to_pylist()
+        lines, sizes = batch["line"].to_pylist(), batch["size"].to_pylist()
+        at = 0
+        while at < len(paths):
+            stop = at + 1
+            while stop < len(paths) and paths[stop] == paths[at]:
+                stop += 1
+            if paths[at] != path:
+                if path is not None:
+                    yield row(path, state)
+                path, state = paths[at], _FileHash(sizes[at])
+            state.add(lines[at:stop])
+            at = stop
+    if path is not None:
+        yield row(path, state)
+
+
+def _streaming_session(spark: SparkSession, paths: list[str]) -> SparkSession:
+    """A session whose scans read every file under ``paths`` in one task."""
+    largest = _listed(spark, paths).agg(F.max("length")).first()[0] or 0
+    own = spark.newSession()
+    # a file is not split when it is no larger than the split size, which the cost of opening a file bounds from below
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 62))
+    own.conf.set("spark.sql.files.openCostInBytes", str(max(largest, 4 << 20)))
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(_BATCH_BYTES))
+    return own
+
+
+def _listed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """key, filename and length of every file under ``paths``; contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    # scans leave empty files out, Spark's own listing names them
+    names = [re.sub("^file:/+", "file:/", name) for name in found.inputFiles()]
+    rows = [(name, unquote(name.rpartition("/")[2])) for name in names]
+    lengths = found.select(F.col("_metadata.file_path").alias("key"), "length")
+    listing = spark.createDataFrame(rows, "key string, filename string")
+    return listing.join(lengths, "key", "left").withColumn("length", F.coalesce("length", F.lit(0)))
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """filename, length and sha256 of every file under ``path``; ``spark`` is a streaming session."""
+    key, is_packed = F.col("_metadata.file_path").alias("key"), F.col("key").rlike(COMPRESSED)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    lines = reader.option("lineSep", "\n").text(path)
+    lines = lines.select(key, F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("line")).where(~is_packed)
+    streamed = lines.mapInArrow(_digests, "key string, sha256 string")
+    packed = reader.format("binaryFile").load(path).select(key, "content").where(is_packed)
+    known = streamed.unionByName(packed.select("key", F.sha2("content", 256).alias("sha256")))
+    # files without a line have no row
+    blank = F.when(F.col("length") == 0, F.sha2(F.lit(b""), 256)).when(F.col("length") == 3, F.sha2(F.lit(BYTE_ORDER_MARK), 256))
+    listed = _listed(spark, [path]).join(known, "key", "left")
+    return listed.select("filename", "length", F.coalesce("sha256", blank).alias("sha256"))
+
+
 def file_fingerprints(spark: SparkSession, files: dict[str, str]) -> DataFrame:
     """One row per file under each logical table's path (file or folder):
-    position, logical_table, filename, bytes, sha256.
-
-    Files of every size take one path: Spark's binary reader, through the
-    session's own filesystem and credentials, and a hash in the JVM.  That
-    reader refuses files over 2 GB; larger tables are folders of part files."""
-    scans = []
-    for position, (table, path) in enumerate(files.items()):
-        scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        scans.append(
-            scan.select(
-                F.lit(position).alias("position"), F.lit(table).alias("logical_table"),
-                "path", "length", "content",
-            )
-        )
+    position, logical_table, filename, bytes, sha256."""
+    own = _streaming_session(spark, list(files.values()))
+    scans = [
+        file_digests(own, path).select(F.lit(position).alias("position"), F.lit(table).alias("logical_table"), "*")
+        for position, (table, path) in enumerate(files.items())
+    ]
     listed = scans[0]
     for df in scans[1:]:
         listed = listed.unionByName(df)
-
     return listed.select(
         "position",
         "logical_table",
-        F.element_at(F.split(F.col("path"), "/"), -1).alias("filename"),
+        "filename",
         F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"),
+        "sha256",
     )
 
 

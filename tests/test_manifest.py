@@ -3,6 +3,8 @@
 import hashlib
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 from parcelworks.sources.manifest import (
     build_snapshot_manifest,
     file_fingerprints,
@@ -38,6 +40,47 @@ def test_names_with_spaces_percent_and_accents(spark, tmp_path):
     assert found == {k: (n + 1, hashlib.sha256(bytes([n]) * (n + 1)).hexdigest()) for n, k in enumerate(files)}
 
 
+def test_contents_of_every_shape(spark, tmp_path):
+    """Line feeds, marks, carriage returns, empty files, no line feed at all, compressed names, binary data."""
+    import gzip
+    import os
+
+    mark = b"\xef\xbb\xbf"
+    contents = [
+        b"", b"\n", b"\n\n", b"a", b"a\n", b"a\n\nb", b"a\r\nb\r\n", b"\r", mark, mark + b"\n", mark + b"a,b\n1,2", mark + mark + b"x\n",
+        b"\xff\xfe\x00\n\x80", os.urandom(300_000), b"x" * 3_000_000, b"line of text\n" * 200_000,
+    ]
+    want = {}
+    for n, data in enumerate(contents):
+        (tmp_path / f"part {n} é%41.csv").write_bytes(data)
+        want[f"part {n} é%41.csv"] = data
+    (tmp_path / "more").mkdir()
+    want["packed.csv.GZ"] = gzip.compress(b"a,b\n1,2\n")
+    (tmp_path / "more" / "packed.csv.GZ").write_bytes(want["packed.csv.GZ"])
+    found = {r.filename: (r.bytes, r.sha256) for r in file_fingerprints(spark, {"t": str(tmp_path)}).collect()}
+    assert found == {name: (len(d), hashlib.sha256(d).hexdigest()) for name, d in want.items()}
+
+
+def test_files_over_the_readers_limit(spark, tmp_path):
+    """A file larger than Spark's binary reader may load is hashed, in one task, without loading it."""
+    import pytest
+
+    big, small = tmp_path / "big.csv", tmp_path / "small.csv"
+    big.write_bytes(b"0123456789,abcdefghij\n" * 300_000)
+    small.write_bytes(b"1,2\n")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", str(1 << 20))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 19))  # the caller's splits do not matter
+    try:
+        with pytest.raises(Exception, match="maximum|exceeds|length"):
+            spark.read.format("binaryFile").load(str(big)).select(F.sha2("content", 256)).collect()
+        found = {r.filename: (r.bytes, r.sha256) for r in file_fingerprints(spark, {"t": str(tmp_path)}).collect()}
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(1 << 19)
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == {p.name: (p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in (big, small)}
+
+
 def test_snapshot_job_writes_one_line_per_file(spark, clean_dir, tmp_path):
     from parcelworks.plans.jobs import run_snapshot
 
