@@ -163,11 +163,14 @@ def _cells(rows: DataFrame, anchors: DataFrame, size: int, n_anchors: int, width
     group_rows = min(max(_CELL_VALUES // max(width, 1), 1), max(_LEAST_ROWS, -(-size // (2 * cores))))
     groups, shards = max(1, -(-size // group_rows)), max(1, -(-n_anchors // _ANCHORS))
 
-    def dealt(table: DataFrame, own: int, other: int, cell) -> DataFrame:
+    # a cell is much work for few bytes: a fixed number of tasks, not one chosen by bytes
+    tasks = min(groups * shards, 20 * cores)
+
+    def dealt(table: DataFrame, own: int, other: int, cell):
         own_number = F.pmod(F.xxhash64("row"), F.lit(own))
         every = F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("other")
         listed = table.select("*", own_number.alias("own"), every)
-        return listed.select(*table.columns, cell(F.col("own"), F.col("other")).alias("cell")).groupBy("cell")
+        return listed.select(*table.columns, cell(F.col("own"), F.col("other")).alias("cell")).repartition(tasks, "cell").groupBy("cell")
 
     left = dealt(rows, groups, shards, lambda group, shard: group * shards + shard)
     right = dealt(anchors, shards, groups, lambda shard, group: group * shards + shard)

@@ -4,7 +4,7 @@ A line is the text between line feeds, white space trimmed; blank lines are
 left alone.  Equal lines are one class (MD5 of the trimmed bytes).  Of each
 distinct line the set of distinct ``GRAM``-byte shingles (the whole line if it
 is shorter) gets a MinHash signature of BANDS * ROWS functions; two lines are
-candidates when a band agrees (recall 1 - (1 - 0.8**ROWS)**BANDS = 99.7 % at
+candidates when a band agrees (recall 1 - (1 - 0.8**ROWS)**BANDS = 99.8 % at
 Jaccard 0.8, more above).  Candidates are verified by the exact Jaccard
 similarity of their shingle sets (at least 0.8); verified links are joined into
 components by distributed union-find.  Of all occurrences of a component's
@@ -19,6 +19,7 @@ line is one line; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import own_columns, stored
-from .linking import link_components, profiles_of
+from .linking import distinct_lists, link_components, profiles_of
 
 GRAM = 10
-BANDS, ROWS = 8, 3
+BANDS, ROWS = 6, 2
 PERCENT = 80
 _BLOCK = 1 << 21  # bytes of lines hashed at once
 _RNG = np.random.default_rng(17)
@@ -71,6 +72,12 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
     return keys
 
 
+def gram_sets(lines: list[str]) -> Iterator[np.ndarray]:
+    """Of each line, the distinct hashes of its shingles."""
+    for line in lines:
+        yield np.unique(grams_of([line.encode("utf-8")])[0])
+
+
 def shingles(line: str) -> set[bytes]:
     raw = line.encode("utf-8")
     if len(raw) < GRAM:
@@ -87,7 +94,7 @@ def _lines(rows: DataFrame, *keep: str) -> DataFrame:
 
 
 def _signatures(rows: DataFrame) -> DataFrame:
-    """id, size and band keys of the distinct lines of each batch."""
+    """id and band keys of every distinct line."""
 
     def sign(batches):
         for batch in batches:
@@ -104,11 +111,11 @@ def _signatures(rows: DataFrame) -> DataFrame:
                 held += len(line)
                 if held >= _BLOCK or number == len(found):
                     keys = band_keys(part).view(np.int64)
-                    yield pd.DataFrame({"id": ids, "size": [max(len(x), GRAM) for x in part], "keys": list(keys)})
+                    yield pd.DataFrame({"id": ids, "keys": list(keys)})
                     ids, part, held = [], [], 0
 
-    signed = rows.select("text").mapInPandas(sign, "id binary, size int, keys array<long>")
-    return signed.groupBy("id").agg(F.first("size").alias("size"), F.first("keys").alias("keys"))
+    signed = rows.select("text").mapInPandas(sign, "id binary, keys array<long>")
+    return signed.groupBy("id").agg(F.first("keys").alias("keys"))
 
 
 def duplicate_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -118,18 +125,16 @@ def duplicate_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     rows = stored(rows, "numbered-rows")  # the numbers must be the same wherever they are read
     distinct = stored(_signatures(rows).select(F.monotonically_increasing_id().alias("number"), "*"), "line-signatures")
-    made = distinct.select(F.explode("keys").alias("key"), F.col("number").alias("id"), "size")
+    made = distinct.select(F.explode("keys").alias("key"), F.col("number").alias("id"))
     shared = made.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    postings = stored(made.join(shared, "key"), "line-lists")
-    involved = postings.select(F.col("id").alias("number")).distinct().join(distinct.select("number", "id"), "number")
+    listed = stored(made.join(shared, "key"), "line-lists")
+    involved = listed.select(F.col("id").alias("number")).distinct().join(distinct.select("number", "id"), "number")
     involved = stored(involved, "line-candidates")
     contents = _lines(rows).select("id", "line").join(involved, "id").groupBy("number").agg(F.first("line").alias("content"))
     contents = stored(contents.select(F.col("number").alias("id"), "content"), "line-texts")
-
-    def hashes(line: str) -> np.ndarray:
-        return np.unique(grams_of([line.encode("utf-8")])[0])
-
-    roots, _ = link_components(postings.select("key", "id"), contents, profiles_of(contents, hashes), shingles, PERCENT)
+    profiles = stored(profiles_of(contents, gram_sets), "line-profiles")
+    postings = listed.join(distinct_lists(listed), "key").join(profiles.select("id", "size"), "id")
+    roots, _ = link_components(stored(postings, "line-postings"), contents, profiles, gram_sets, shingles, PERCENT)
     named = stored(involved.join(roots, F.col("number") == F.col("node")).select("id", "root"), "line-components")
     hashed = rows.withColumn("hash", F.xxhash64("text"))
     places = _lines(hashed, "doc_id", "hash", "row").select("doc_id", "hash", "row", "line_no", "id")

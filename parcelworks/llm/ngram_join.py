@@ -14,7 +14,7 @@ shares at least c(b) = ceil(t * b) of them.
 The boundary minimises the number of postings plus expected list scans over
 the size histogram (sizes up to ``MAX_LIGHT``; larger sets are heavy).  The
 lists are then scanned by ``linking``: spanning forests first, then only members
-still in different components.  Every link is verified on the texts themselves.
+still in different components, both under exact bounds on their overlap.  Every link is verified on the texts themselves.
 
 Defined results: null and empty text, and text without words, have an empty
 set, n_shingles 0, no link, and their own doc_id as component; rows with a null
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import own_columns, stored
-from .linking import link_components, profile
+from .linking import distinct_lists, link_components, sketch
 from .shingles import mix, shingle_sets, shingles_as_tuples
 
 MAX_LIGHT = 30
@@ -61,7 +61,7 @@ def _read(docs: DataFrame, k: int) -> DataFrame:
             n, one, two, profiles, found = [], [], [], [], []
             for s in shingle_sets(batch["text"], k):
                 n.append(len(s))
-                profiles.append(profile(s))
+                profiles.append(sketch(s))
                 one.append(int(s.sum().view(np.int64)))
                 two.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum().view(np.int64)))
                 found.append(s)
@@ -167,8 +167,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     picked = classes.select("number", F.col("pick.doc_id").alias("_doc"), F.col("pick.tid").alias("_tid"))
     texts = docs.join(picked, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("tid") == F.col("_tid"))).select("number", "text")
     postings = stored(_postings(texts, _rarity(read), k, percent, boundary), "postings")
-    lists = postings.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    postings = stored(postings.join(lists.select("key"), "key"), "lists")
+    postings = stored(postings.join(distinct_lists(postings), "key").select("key", "id", "size", "members"), "lists")
     involved = postings.select(F.col("id").alias("number")).distinct()
     involved = involved.join(sized, "number")
     involved = stored(involved, "listed-classes")
@@ -176,8 +175,8 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     contents = stored(contents.select(F.col("number").alias("id"), F.col("text").alias("content")), "contents")
 
     roots, links = link_components(
-        postings, contents, involved.select(F.col("number").alias("id"), "size", "profile"),
-        lambda t: shingles_as_tuples(t, k), percent,
+        postings, contents, involved.select(F.col("number").alias("id"), "size", F.col("profile").alias("sketch")),
+        lambda texts: shingle_sets(texts, k), lambda t: shingles_as_tuples(t, k), percent,
     )
     named = classes.join(roots, F.col("number") == F.col("node"), "left")
     named = stored(named.select(*identity, "least", F.coalesce("root", "number").alias("root")), "class-components")
