@@ -190,6 +190,13 @@ def _intervals(flags: np.ndarray) -> list[list[int]]:
     return edges.reshape(-1, 2).tolist()
 
 
+def _neighbours_joined(at: np.ndarray) -> list[list[int]]:
+    """Single starts as [from, to) intervals."""
+    flags = np.zeros(int(max(at, default=-1)) + 1, bool)
+    flags[np.asarray(at, np.int64)] = True
+    return _intervals(flags)
+
+
 def match_block(contexts: list[bytes], sizes: list[int], whole: list[bool]) -> list[tuple[list, list]]:
     """Per context the matched starts and those with an earlier match, as [from, to) intervals.
 
@@ -260,13 +267,20 @@ def _by_hash(contexts: DataFrame) -> DataFrame:
     where = F.struct(*_PLACE, "at")
     counts = every.groupBy("string").agg(F.sum("members").alias("n"), F.min(where).alias("least"))
     counts = stored(counts.where("n > 1"), "hot-strings")
-    hit = every.join(counts, "string").select(
-        "anchor", "content", F.array("at", F.col("at") + 1).alias("hit"), (where > F.col("least")).alias("copy")
-    )
-    return hit.groupBy("anchor", "content").agg(
-        F.collect_list("hit").alias("hits"), F.collect_list(F.when(F.col("copy"), F.col("hit"))).alias("copies")
+    hit = every.join(counts, "string").select("anchor", "content", "at", (where > F.col("least")).alias("copy"))
+    # at most LONGEST_RUN starts of a class
+    found = hit.groupBy("anchor", "content").agg(
+        F.collect_list("at").alias("hits"), F.collect_list(F.when(F.col("copy"), F.col("at"))).alias("copies")
     )
 
+    def joined(batches):
+        for batch in batches:
+            for name in ("hits", "copies"):
+                batch[name] = [_neighbours_joined(at) for at in batch[name]]
+            yield batch
+
+    return found.mapInPandas(joined, _MATCH)
+
 
 def repeated_spans(docs: DataFrame, keep: str = "none") -> tuple[DataFrame, DataFrame]:
     """(documents: doc_id, tid, text; spans to remove: doc_id, tid, spans array<array<int>> of [from, to))."""
@@ -302,8 +316,8 @@ def repeated_spans(docs: DataFrame, keep: str = "none") -> tuple[DataFrame, Data
     else:
         hits = F.when(F.col("members") > 1, whole).otherwise(F.coalesce("hits", none))
     spans = F.transform(hits, lambda h: F.array(h[0] + F.col("start"), h[1] + F.col("start") + MIN_BYTES - 1))
-    found = placed.select("doc_id", "tid", F.explode(spans).alias("span")).groupBy("doc_id", "tid")
-    return rows, stored(found.agg(F.collect_set("span").alias("spans")), "spans")
+    found = placed.select("doc_id", "tid", spans.alias("own")).where(F.size("own") > 0).groupBy("doc_id", "tid")
+    return rows, stored(found.agg(F.flatten(F.collect_list("own")).alias("spans")), "spans")
 
 
 def _same_row():
