@@ -88,3 +88,14 @@ def ascii_lower(text: Column) -> Column:
 def own_columns(df: DataFrame, *needed: str) -> DataFrame:
     """Only the operator's input columns, so extra columns of the caller can never clash."""
     return df.select(*[F.col(f"`{c}`") for c in needed])
+
+
+def numbered(docs: DataFrame) -> tuple[list, dict[str, str]]:
+    """(every column of ``docs`` under a numbered name, caller's name -> numbered name): no name of a caller can clash."""
+    names = {name: f"_c{k}" for k, name in enumerate(docs.columns)}
+    return [F.col(f"`{name}`").alias(own) for name, own in names.items()], names
+
+
+def restored(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Only the caller's columns, under their own names."""
+    return df.select(*[F.col(own).alias(name) for name, own in names.items()])

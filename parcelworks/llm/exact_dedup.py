@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, own_columns, stored
+from .common import ascii_lower, numbered, own_columns, restored, stored
 
 FAN_IN = 16
 _BITS = 4  # log2(FAN_IN)
@@ -95,21 +95,19 @@ def drop_duplicates(docs: DataFrame, keep: str = "largest") -> DataFrame:
     Rows are found again by (doc_id, digest); where a winner is itself repeated
     (same doc_id and text), one of the repeated rows is taken.
     """
-    names = docs.columns
     winners = (
         mark(docs, keep)
         .groupBy("doc_id", "text_sha256")
         .agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
         .where("kept")
     )
-    winners = stored(winners.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "n"), "kept")
-    sha = F.sha2(ascii_lower(docs["text"]), 256)
-    found = docs.withColumn("_text_sha", sha).join(
-        winners, docs["doc_id"].eqNullSafe(winners["_id"]) & (F.col("_text_sha") == winners["_sha"])
-    )
-    once = found.where("n = 1").select(*names)
-    repeated = found.where("n > 1").dropDuplicates(["_id", "_sha"]).select(*names)
-    return once.union(repeated)
+    winners = stored(winners.select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"), "n"), "kept")
+    columns, names = numbered(docs)
+    hashed = docs.select(*columns, F.sha2(ascii_lower(F.col("text")), 256).alias("text_sha"))
+    found = hashed.join(winners, F.col(names["doc_id"]).eqNullSafe(F.col("id")) & (F.col("text_sha") == F.col("sha")))
+    once = found.where("n = 1")
+    repeated = found.where("n > 1").dropDuplicates(["id", "sha"])
+    return restored(once, names).union(restored(repeated, names))
 
 
 SQL = f"""

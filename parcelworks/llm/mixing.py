@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import numbered, stored
 
 SEED = "mix-1"
 EPOCHS = 2
@@ -84,16 +84,24 @@ def budgets(leaves: DataFrame, share: float = SHARE, epochs: int = EPOCHS) -> Da
     return level3.withColumn("quota", F.floor("share").cast("long")).select(*_LEAF, "tokens", "quota")
 
 
-def mix(docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, seed: str = SEED, tokens: Column | None = None) -> DataFrame:
-    """``docs`` rows, each once per epoch that takes it, with _mix_domain, _mix_tokens and _mix_epoch."""
-    names = docs.columns
+def mix(
+    docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, seed: str = SEED, tokens: Column | None = None, marks: bool = True
+) -> DataFrame:
+    """``docs`` rows, each once per epoch that takes it; ``marks`` adds _mix_domain, _mix_tokens and _mix_epoch."""
+    columns, names = numbered(docs)
+    doc_id = names["doc_id"]
+    # rows without an id are spread by all that they hold; those without tokens too are alike in every way that counts
+    known = F.concat(F.lit("row "), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).cast("string"))
     rows = docs.select(
-        "*",
+        *columns,
         domain_of(F.col("source")).alias(_LEAF[0]),
         F.coalesce("lang", F.lit("none")).alias(_LEAF[1]),
         F.coalesce("source", F.lit("none")).alias(_LEAF[2]),
         (tokens_of(F.col("text")) if tokens is None else tokens).alias("_mix_tokens"),
+        known.alias("_mix_known"),
     )
+    own_id = F.coalesce(F.col(doc_id).cast("string"), F.when(F.col("_mix_tokens") > 0, F.col("_mix_known")))
+    rows = rows.withColumn("_mix_id", own_id).drop("_mix_known")
     leaves = stored(rows.groupBy(*_LEAF).agg(F.sum("_mix_tokens").alias("tokens")), "leaves")
     plan = budgets(leaves, share, epochs)
     whole = F.when(F.col("tokens") > 0, F.floor(F.col("quota") / F.col("tokens"))).otherwise(0).cast("int")
@@ -101,7 +109,7 @@ def mix(docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, seed: str =
     plan = plan.withColumn("_mix_rest", F.col("quota") - F.col("_mix_whole") * F.col("tokens"))
     plan = stored(plan.select(*_LEAF, "_mix_whole", "_mix_rest"), "leaf-plan")
 
-    key = F.md5(F.concat_ws("|", F.lit(seed), F.col("_mix_whole").cast("string"), F.col("doc_id").cast("string")))
+    key = F.md5(F.concat_ws("|", F.lit(seed), F.col("_mix_whole").cast("string"), F.col("_mix_id")))
     rows = rows.join(plan, _LEAF).withColumn("_mix_key", key)
     rows = rows.withColumn("_mix_bucket", F.substring("_mix_key", 1, DIGITS))
     place = [*_LEAF, "_mix_bucket"]
@@ -113,13 +121,15 @@ def mix(docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, seed: str =
     inside = rows.where(F.col("_mix_end") <= F.col("_mix_rest")).withColumn("_mix_more", F.lit(1))
     beyond = rows.where(F.col("_mix_before") > F.col("_mix_rest")).withColumn("_mix_more", F.lit(0))
     cut = rows.where((F.col("_mix_end") > F.col("_mix_rest")) & (F.col("_mix_before") <= F.col("_mix_rest")))
-    order = Window.partitionBy(*place).orderBy("_mix_key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(*place).orderBy("_mix_key", doc_id).rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("_mix_before") + F.sum("_mix_tokens").over(order)
     cut = cut.withColumn("_mix_more", (upto <= F.col("_mix_rest")).cast("int"))
     taken = inside.union(beyond).union(cut)
     taken = taken.where(F.col("_mix_whole") + F.col("_mix_more") > 0)
     every = F.explode(F.sequence(F.lit(0), F.col("_mix_whole") + F.col("_mix_more") - 1)).alias("_mix_epoch")
-    return taken.select(*names, _LEAF[0], "_mix_tokens", every)
+    shown = [F.col(own).alias(name) for name, own in names.items()]
+    every_row = taken.select("*", every)
+    return every_row.select(*shown, *([_LEAF[0], "_mix_tokens", "_mix_epoch"] if marks else []))
 
 
 def _case(column: str, weights: dict[str, int]) -> str:

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import own_columns, stored
+from .common import numbered, own_columns, restored, stored
 from .linking import distinct_lists, link_components, sketch
 from .shingles import mix, shingle_sets, shingles_as_tuples
 
@@ -207,12 +207,12 @@ def one_per_component(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     rows = stored(found.where("n > 0").groupBy("root", "doc_id", "tid").agg(F.count("*").alias("n")), "linked-rows")
     picked = rows.groupBy("root").agg(F.min(row).alias("pick"), F.sum("n").alias("size")).where("size > 1")
     judged = rows.join(stored(picked.select("root", "pick"), "kept-rows"), "root").withColumn("kept", row == F.col("pick"))
-    judged = judged.where("not kept or n > 1").select(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid"), "kept")
+    judged = judged.where("not kept or n > 1").select(F.col("doc_id").alias("id"), F.col("tid").alias("hash"), "kept")
     judged = stored(judged, "near-copies")
 
-    names = docs.columns
-    hashed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = docs["doc_id"].eqNullSafe(judged["_id"]) & (F.col("_text_hash") == judged["_tid"])
-    once = hashed.join(judged, same, "left_anti").select(*names)
-    repeated = hashed.join(judged.where("kept"), same).dropDuplicates(["_id", "_tid"]).select(*names)
-    return once.union(repeated)
+    columns, names = numbered(docs)
+    hashed = docs.select(*columns, F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    same = F.col(names["doc_id"]).eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+    once = hashed.join(judged, same, "left_anti")
+    repeated = hashed.join(judged.where("kept"), same).dropDuplicates(["id", "hash"])
+    return restored(once, names).union(restored(repeated, names))
