@@ -17,8 +17,7 @@ from parcelworks.llm.queries import tokenizer_path
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score reaches their language's threshold go."""
     model = toxicity.fit_on(docs, table(spark, sf_dir, "labels"))
-    judged = toxicity.decide(toxicity.score(docs, model), model)
-    return judged.where("not coalesce(_rejected, false)").select(*docs.columns)
+    return toxicity.accepted(docs, model)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +32,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents, each once per epoch in which its source's budget takes it."""
-    return mixing.mix(docs).select(*docs.columns)
+    return mixing.mix(docs, marks=False)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
