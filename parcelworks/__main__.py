@@ -18,6 +18,7 @@ JOBS = {
     "quality": (("raw", "warehouse", "out"), lambda s, raw, warehouse, out: jobs.run_quality(s, warehouse, out, data_dir=raw)),
     "report": (("raw", "warehouse", "out"), lambda s, raw, warehouse, out: jobs.run_report(s, warehouse, out, data_dir=raw)),
     "snapshot": (("raw", "out"), lambda s, raw, out: jobs.run_snapshot(s, raw, out)),
+    "confirm": (("raw", "manifest", "out"), lambda s, raw, manifest, out: jobs.run_confirm(s, raw, manifest, out)),
     "manifest": (("raw", "out"), lambda s, raw, out: jobs.run_snapshot(s, raw, out, document=True)),
 }
 

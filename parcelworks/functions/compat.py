@@ -83,39 +83,48 @@ def _rounded_decimal(s: Column) -> Column:
     """Decimal text, with or without an exponent, as a whole number (BIGINT), half away from zero.
 
     The point is moved over the digits themselves, so no digit is lost to a
-    fixed precision; NULL when the text is no number or has over 18 whole digits."""
-    sign, whole, fraction, power = (F.regexp_extract(s, _DECIMAL, n) for n in (1, 2, 3, 4))
-    # without digits before the point, the first significant one may stand anywhere behind it
-    zeros = F.when(whole == "", F.length(fraction) - F.length(F.ltrim(fraction, F.lit("0")))).otherwise(0)
-    digits = F.ltrim(F.concat(whole, fraction), F.lit("0"))
-    point = F.length(whole) - zeros + F.coalesce(F.nullif(power, F.lit("")), F.lit("0")).try_cast("int")
-    kept = F.rpad(F.substring(digits, F.lit(1), F.least(point, F.lit(19))), F.least(point, F.lit(19)), "0")
-    size = F.when(point <= 0, F.lit(0)).otherwise(kept.try_cast("long"))
-    up = (point >= 0) & (F.substring(digits, point + 1, F.lit(1)) >= "5")
-    value = F.when(digits == "", F.lit(0)).when(point <= 18, size + up.cast("int"))
-    return F.when(s.rlike(_DECIMAL) & s.rlike(r"^\s*[+-]?\.?\d"), F.when(sign == "-", -value).otherwise(value))
+    fixed precision; NULL when the text is no number or has over 18 whole digits.
+    Each step is bound once (a transform of a one-element array), so that the
+    expression stays small; it runs only for text that is no plain integer."""
+
+    def placed(part: Column) -> Column:
+        whole, fraction = part["whole"], part["fraction"]
+        # without digits before the point, the first significant one may stand anywhere behind it
+        zeros = F.when(whole == "", F.length(fraction) - F.length(F.ltrim(fraction, F.lit("0")))).otherwise(0)
+        power = F.coalesce(F.nullif(part["power"], F.lit("")), F.lit("0")).try_cast("int")
+        return F.struct(
+            part["sign"].alias("sign"),
+            F.ltrim(F.concat(whole, fraction), F.lit("0")).alias("digits"),
+            (F.length(whole) - zeros + power).alias("point"),
+        )
+
+    def valued(number: Column) -> Column:
+        digits, point = number["digits"], number["point"]
+        kept = F.rpad(F.substring(digits, F.lit(1), point), point, "0")
+        up = (F.substring(digits, point + 1, F.lit(1)) >= "5").cast("long")
+        size = F.when((digits == "") | (point < 0), F.lit(0).cast("long")).when(point == 0, up).when(point <= 18, kept.try_cast("long") + up)
+        return F.when(number["sign"] == "-", -size).otherwise(size)
+
+    parts = [F.regexp_extract(s, _DECIMAL, n).alias(name) for n, name in enumerate(("sign", "whole", "fraction", "power"), 1)]
+    steps = F.transform(F.transform(F.array(F.struct(*parts)), placed), valued)
+    return F.when(s.rlike(_DECIMAL) & s.rlike(r"^\s*[+-]?\.?\d"), F.get(steps, 0))
 
 
 def strict_int(c: Column | str, name: str = "value") -> Column:
     """Text -> INT.  NULL stays NULL; decimal text rounds half away from
     zero; text that is not a number (or overflows) raises."""
     s = _without_digit_separators(_text(c))
-    whole = s.try_cast("int")
-    rounded = _rounded_decimal(s).try_cast("int")
     # unsigned hexadecimal / binary literals ("0x1F", "0b101")
     hex_digits = F.regexp_extract(s, r"^0[xX]([0-9a-fA-F]+)$", 1)
     bin_digits = F.regexp_extract(s, r"^0[bB]([01]+)$", 1)
-    radix = (
-        F.when(hex_digits != "", F.conv(hex_digits, 16, 10))
-        .when(bin_digits != "", F.conv(bin_digits, 2, 10))
-        .try_cast("int")
-    )
-    value = F.coalesce(whole, rounded, radix)
+    radix = F.coalesce(F.conv(F.nullif(hex_digits, F.lit("")), 16, 10), F.conv(F.nullif(bin_digits, F.lit("")), 2, 10))
     message = F.concat(F.lit(f"cannot cast {name} to INTEGER: '"), s, F.lit("'"))
-    return (
-        F.when(s.isNull(), F.lit(None).cast("int"))
-        .when(value.isNull(), F.raise_error(message).cast("int"))
-        .otherwise(value)
+    # the first form that reads the text; the later ones are not evaluated then
+    return F.coalesce(
+        s.try_cast("int"),
+        _rounded_decimal(s).try_cast("int"),
+        radix.try_cast("int"),
+        F.when(s.isNotNull(), F.raise_error(message).cast("int")),
     )
 
 

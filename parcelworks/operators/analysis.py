@@ -13,6 +13,7 @@ denominator.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -241,30 +242,31 @@ class AnalysisFrames:
 
     def materialize(self) -> None:
         """Compute the persisted shared inputs (three independent jobs)."""
-        from concurrent.futures import ThreadPoolExecutor
-
         with ThreadPoolExecutor(max_workers=3) as pool:
-            for f in [pool.submit(df.count) for df in (self.cube, self.states, self.seller_base)]:
-                f.result()
+            list(pool.map(DataFrame.count, (self.cube, self.states, self.seller_base)))
 
     def release(self) -> None:
         for df in (self.cube, self.states, self.seller_base):
             df.unpersist()
 
 
-def collect_analysis(
-    fct: DataFrame,
-    stg_customers: DataFrame,
-    order_seller_facts: DataFrame,
-    seller_min_orders: int = SELLER_MIN_ORDERS,
-) -> AnalysisFrames:
-    """All six frames, lazily, from three scans: the order facts once (the
-    cube), the facts again for states, the order-seller facts once.  The
-    small shared inputs (cube, states, seller base) are persisted; they are
-    recomputable from lineage if an executor is lost."""
-    cube = order_cube(fct).persist()
-    state_frame = states(fct, stg_customers).persist()
+def order_inputs(fct: DataFrame, stg_customers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The analyses' shared inputs from the order facts (cube, states), computed and kept."""
+    kept = (order_cube(fct).persist(), states(fct, stg_customers).persist())
+    for df in kept:
+        df.count()
+    return kept
+
+
+def seller_inputs(order_seller_facts: DataFrame, seller_min_orders: int = SELLER_MIN_ORDERS) -> DataFrame:
+    """The seller base, computed and kept."""
     base = seller_base(order_seller_facts, seller_min_orders).persist()
+    base.count()
+    return base
+
+
+def frames_from(cube: DataFrame, state_frame: DataFrame, base: DataFrame) -> AnalysisFrames:
+    """All six frames, lazily, from the shared inputs."""
     return AnalysisFrames(
         metrics=metrics_from_cube(cube),
         monthly=monthly_from_cube(cube),
@@ -275,3 +277,20 @@ def collect_analysis(
         seller_base=base,
         cube=cube,
     )
+
+
+def collect_analysis(
+    fct: DataFrame,
+    stg_customers: DataFrame,
+    order_seller_facts: DataFrame,
+    seller_min_orders: int = SELLER_MIN_ORDERS,
+) -> AnalysisFrames:
+    """All six frames, lazily, from three scans: the order facts once (the
+    cube), the facts again for states, the order-seller facts once.  The
+    small shared inputs (cube, states, seller base) are persisted; they are
+    recomputable from lineage if an executor is lost."""
+    return frames_from(
+        order_cube(fct).persist(),
+        states(fct, stg_customers).persist(),
+        seller_base(order_seller_facts, seller_min_orders).persist(),
+    )

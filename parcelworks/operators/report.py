@@ -23,6 +23,7 @@ from parcelworks.operators.analysis import (
     STATE_MIN_ORDERS,
     AnalysisFrames,
 )
+from parcelworks.sources.manifest import DATASET, LICENSE, SOURCE_URL
 
 TOP_STATES = 12
 
@@ -266,6 +267,18 @@ def coverage(metrics: DataFrame) -> DataFrame:
     return metrics.select("purchase_start", "purchase_end", text.alias("coverage"))
 
 
+def header(metrics: DataFrame) -> DataFrame:
+    """The line above the report: source and licence of the data, purchase coverage, time of generation."""
+    made = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm")
+    return coverage(metrics).select(
+        F.lit(DATASET).alias("dataset"),
+        F.lit(SOURCE_URL).alias("source_url"),
+        F.lit(LICENSE).alias("license"),
+        F.col("coverage").alias("purchase_coverage"),
+        F.concat(made, F.lit(" UTC")).alias("generated_at"),  # the session's zone is UTC
+    )
+
+
 def state_series(
     states: DataFrame, min_orders: int = STATE_MIN_ORDERS, top: int = TOP_STATES
 ) -> DataFrame:
@@ -312,6 +325,7 @@ def seller_finding(seller_summary: DataFrame, min_orders: int = SELLER_MIN_ORDER
 
 @dataclass(frozen=True)
 class ReportFrames:
+    header: DataFrame
     review_gap: DataFrame
     peak_month: DataFrame
     state_spread: DataFrame
@@ -336,6 +350,7 @@ def build_report_frames(
 ) -> ReportFrames:
     a = analysis
     return ReportFrames(
+        header=header(a.metrics),
         review_gap=review_gap(a.delivery_review),
         peak_month=peak_month(a.monthly, month_min_orders),
         state_spread=state_spread(a.states, state_min_orders),

@@ -1,6 +1,7 @@
 """The batch jobs, plus the warehouse's read/write layout.
 
-Warehouse layout under ``out_dir`` (a shared folder on a cluster):
+Tables of one build (a version folder of ``plans.versions`` under the
+warehouse folder, which must be shared on a cluster):
 
     stg_<table>/             7 staging tables (Parquet)
     order_seller_items/      (order_id, seller_id) rollup = the M4 bridge
@@ -9,12 +10,12 @@ Warehouse layout under ``out_dir`` (a shared folder on a cluster):
     order_seller_facts/      bridge joined once to the order facts
     fct_seller_performance/  one row per seller
 
-Every stage is written and read back, so the next stage's lineage starts at
-Parquet files: a lost executor re-runs one stage, never the whole chain.
-Writes are overwrite-per-table (no cross-table transaction), and the build
-runs before the quality gate, so a failed gate leaves new tables in place.
-Independent writes are submitted concurrently from driver threads so small
-tables do not leave the cluster idle.
+Every table is written and read back, so the next one's lineage starts at
+Parquet files: a lost executor re-runs one table, never the whole chain.  A
+table is written as soon as its inputs are stored (``plans.build``); checks and
+analyses that need only some tables start beside the rest.  The tables become
+current together when the last is stored, before the quality gate, so a failed
+gate leaves a finished build in place, a failed build the one before it.
 """
 
 from __future__ import annotations
@@ -24,19 +25,27 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql.types import StructType
 
 from parcelworks.operators import analysis as A
 from parcelworks.operators import marts as M
 from parcelworks.operators import quality as Q
 from parcelworks.operators import report as R
 from parcelworks.operators.staging import stage_all
-from parcelworks.session import configure, size_shuffles_for_input
-from parcelworks.sources.csv import read_raw_tables, register_raw_views, required_files
-from parcelworks.sources.manifest import build_snapshot_manifest, snapshot_entries, write_snapshot_manifest
+from parcelworks.plans.build import PARTITION_BYTES, Build
+from parcelworks.plans.versions import commit, current_version, new_version
+from parcelworks.session import configure
+from parcelworks.sources.csv import read_raw_tables, register_raw_views
+from parcelworks.sources.manifest import (
+    build_snapshot_manifest,
+    manifest_changes,
+    read_manifest,
+    snapshot_entries,
+    write_snapshot_manifest,
+)
 from parcelworks.sources.schemas import LOGICAL_TABLES
 
 STAGING = {name: f"stg_{name}" for name in LOGICAL_TABLES}
+QUALITY_INPUTS = (STAGING["orders"], STAGING["order_items"], STAGING["reviews"], "fct_orders")
 MARTS = ("order_seller_items", "fct_orders", "order_seller_facts", "fct_seller_performance")
 
 
@@ -44,23 +53,6 @@ def _path(root: str, name: str) -> str:
     return root.rstrip("/") + "/" + name
 
 
-def write_table(df: DataFrame, root: str, name: str) -> str:
-    """SNK2 / SNK3: replace one table (zstd Parquet: smaller files, less I/O
-    for every later scan)."""
-    path = _path(root, name)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return path
-
-
-def read_table(
-    spark: SparkSession, root: str, name: str, schema: StructType | None = None
-) -> DataFrame:
-    """Read a stored table; a known schema (the one just written) skips the
-    footer-based schema inference."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(_path(root, name))
-
-
 @dataclass
 class Warehouse:
     """Handles on the stored tables (SRC4); nothing is recomputed."""
@@ -79,11 +71,15 @@ class Warehouse:
 
 
 def open_warehouse(spark: SparkSession, out_dir: str) -> Warehouse:
-    """SRC4: reopen a built warehouse read-only."""
-    return Warehouse(
-        stg={name: read_table(spark, out_dir, table) for name, table in STAGING.items()},
-        **{name: read_table(spark, out_dir, name) for name in MARTS},
-    )
+    """SRC4: the tables of the last finished build, read-only.
+
+    They stay the same while later builds run or finish."""
+    folder = current_version(spark, out_dir)
+    return _handles(lambda name: spark.read.parquet(_path(folder, name)))
+
+
+def _handles(read: Callable[[str], DataFrame]) -> Warehouse:
+    return Warehouse(stg={name: read(table) for name, table in STAGING.items()}, **{name: read(name) for name in MARTS})
 
 
 def run_concurrently(*steps: Callable[[], object]) -> list[object]:
@@ -94,66 +90,59 @@ def run_concurrently(*steps: Callable[[], object]) -> list[object]:
         return [f.result() for f in futures]
 
 
-def build_warehouse(
+def start_build(
     spark: SparkSession,
     out_dir: str,
     data_dir: str | None = None,
     raw: Mapping[str, DataFrame] | None = None,
-) -> Warehouse:
-    """Raw -> staging -> marts, each stage written as Parquet.
+    partition_bytes: int = PARTITION_BYTES,
+) -> Build:
+    """J1, running: raw -> staging -> marts.  ``finish_build`` makes the tables current.
 
     ``raw`` lets a caller supply the seven raw tables from another source
     (for example the star-schema adapter); otherwise CSVs under ``data_dir``
-    are read.  Order of jobs (independent ones run concurrently):
-
-    1. the seven staging tables; as soon as items are staged, the
-       (order, seller) rollup is built from them;
-    2. the per-order rollup of items and reviews, then fct_orders from it
-       and the staged orders (both sides stored: AQE can split a hot id);
-    3. order_seller_facts (rollup joined to the facts), then the seller mart.
-    """
+    are read."""
     configure(spark)
     if raw is None:
         if data_dir is None:
             raise ValueError("build_warehouse needs data_dir or raw tables")
-        size_shuffles_for_input(spark, list(required_files(spark, data_dir).values()))
         raw = read_raw_tables(spark, data_dir)
     register_raw_views(raw)
-    staged = stage_all(raw)
-
-    def stage(name: str) -> None:
-        write_table(staged[name], out_dir, STAGING[name])
+    build = Build(spark, new_version(out_dir), partition_bytes)
+    for name, df in stage_all(raw).items():
+        build.source(STAGING[name], df)
+    build.table("order_seller_items", (STAGING["order_items"],), M.order_seller_items)
+    build.table("order_rollup", ("order_seller_items", STAGING["reviews"]), M.order_rollup)
+    # both sides stored: adaptive execution can split a hot id
+    build.table("fct_orders", (STAGING["orders"], "order_rollup"), M.fct_orders)
+    build.table("order_seller_facts", ("order_seller_items", "fct_orders"), M.order_seller_facts)
+    build.table("fct_seller_performance", ("order_seller_facts",), M.fct_seller_performance)
+    return build
+
+
+def finish_build(build: Build, out_dir: str) -> Warehouse:
+    """Wait for all tables and make them current together."""
+    try:
+        build.finish(*STAGING.values(), *MARTS)
+    except BaseException:
+        build.close()  # nothing goes on writing behind the caller's back
+        raise
+    commit(build.spark, out_dir, build.folder)
+    return _handles(build.read)
 
-    def items_then_pairs() -> None:
-        stage("order_items")
-        items = read_table(spark, out_dir, STAGING["order_items"], staged["order_items"].schema)
-        write_table(M.order_seller_items(items), out_dir, "order_seller_items")
 
-    run_concurrently(
-        items_then_pairs,
-        *[(lambda n=name: stage(n)) for name in LOGICAL_TABLES if name != "order_items"],
-    )
-    stg = {name: read_table(spark, out_dir, STAGING[name], df.schema) for name, df in staged.items()}
-    pairs = read_table(spark, out_dir, "order_seller_items")
-
-    rollup = M.order_rollup(pairs, stg["reviews"])
-    write_table(rollup, out_dir, "order_rollup")
-    fct = M.fct_orders(stg["orders"], read_table(spark, out_dir, "order_rollup", rollup.schema))
-    write_table(fct, out_dir, "fct_orders")
-    fct = read_table(spark, out_dir, "fct_orders", fct.schema)
-
-    facts = M.order_seller_facts(pairs, fct)
-    write_table(facts, out_dir, "order_seller_facts")
-    facts = read_table(spark, out_dir, "order_seller_facts", facts.schema)
-    perf = M.fct_seller_performance(facts)
-    write_table(perf, out_dir, "fct_seller_performance")
-    return Warehouse(
-        stg=stg,
-        order_seller_items=pairs,
-        fct_orders=fct,
-        order_seller_facts=facts,
-        fct_seller_performance=read_table(spark, out_dir, "fct_seller_performance", perf.schema),
-    )
+def build_warehouse(
+    spark: SparkSession,
+    out_dir: str,
+    data_dir: str | None = None,
+    raw: Mapping[str, DataFrame] | None = None,
+    partition_bytes: int = PARTITION_BYTES,
+) -> Warehouse:
+    """A finished build (see ``start_build``)."""
+    build = start_build(spark, out_dir, data_dir, raw, partition_bytes)
+    wh = finish_build(build, out_dir)
+    build.close()
+    return wh
 
 
 def quality_of(wh: Warehouse) -> list[Row]:
@@ -175,13 +164,16 @@ def run_quality(
     raw: Mapping[str, DataFrame] | None = None,
     echo: Callable[[str], None] = print,
 ) -> list[Row]:
-    """Build, check, write the report, print PASS/FAIL, then gate (so
-    the report exists even when the gate fails)."""
-    wh = build_warehouse(spark, out_dir, data_dir, raw)
-    results = quality_of(wh)
+    """Build, check beside the marts' writing, write the report, print a line
+    per check, then gate (so the report exists even when the gate fails)."""
+    build = start_build(spark, out_dir, data_dir, raw)
+    checks = build.then("quality", QUALITY_INPUTS, Q.run_quality_checks)
+    finish_build(build, out_dir)
+    results = checks.result()
+    build.close()
     write_quality_report(spark, results, report_path)
-    for r in results:
-        echo(f"{r.name}: {'PASS' if r.passed else 'FAIL'} ({r.failures})")
+    for place, r in enumerate(results, 1):
+        echo(f"check {place} of {len(results)}, {r.name}: " + ("no failing rows" if r.passed else f"{r.failures} failing"))
     Q.assert_quality(results)
     return results
 
@@ -225,18 +217,27 @@ def run_report(
     """Build, check, raise before any output on failure; then write the
     report datasets.  Writes no quality file.
 
-    The quality checks and the analyses' shared inputs (order cube, states,
-    seller base - cached, spilling to executor disk if large) are computed
-    concurrently; no report is written until the gate has passed."""
-    wh = build_warehouse(spark, out_dir, data_dir, raw)
-    analysis = analysis_of(wh, seller_min_orders)
+    The checks, the order cube and the states start when the order facts are
+    stored, the seller base when the seller facts are; the last three are
+    cached (spilling to executor disk if large).  No report is written until
+    the gate has passed."""
+    build = start_build(spark, out_dir, data_dir, raw)
+    checks = build.then("quality", QUALITY_INPUTS, Q.run_quality_checks)
+    by_order = build.then("order_inputs", ("fct_orders", STAGING["customers"]), A.order_inputs, sized=False)
+    by_seller = build.then("seller_inputs", ("order_seller_facts",), lambda facts: A.seller_inputs(facts, seller_min_orders), sized=False)
     try:
-        results, _ = run_concurrently(lambda: quality_of(wh), analysis.materialize)
-        Q.assert_quality(results)
+        finish_build(build, out_dir)
+        build.close()
+        Q.assert_quality(checks.result())
+        analysis = A.frames_from(*by_order.result(), by_seller.result())
         report = R.build_report_frames(analysis, month_min_orders, state_min_orders, seller_min_orders)
         return write_report_data(analysis, report, output_dir)
     finally:
-        analysis.release()
+        for done in (by_order, by_seller):
+            if done.done() and done.exception() is None:
+                found = done.result()
+                for df in found if isinstance(found, tuple) else (found,):
+                    df.unpersist()
 
 
 def run_snapshot(spark: SparkSession, data_dir: str, output: str, document: bool = False) -> str:
@@ -247,3 +248,20 @@ def run_snapshot(spark: SparkSession, data_dir: str, output: str, document: bool
     ``files`` list), for layouts with a bounded number of files."""
     build = build_snapshot_manifest if document else snapshot_entries
     return write_snapshot_manifest(build(spark, data_dir), output)
+
+
+def run_confirm(
+    spark: SparkSession, data_dir: str, manifest: str, output: str, echo: Callable[[str], None] = print
+) -> list[Row]:
+    """Compare the input files with a stored manifest of either form.
+
+    Writes one JSON line per file that is changed, missing or added, prints
+    them, and returns them; none means that the inputs are the published ones."""
+    found = manifest_changes(read_manifest(spark, manifest), snapshot_entries(spark, data_dir))
+    differing = found.where("status <> 'same'").orderBy("logical_table", "filename").persist()
+    differing.coalesce(1).write.mode("overwrite").json(output)
+    rows = differing.collect()
+    differing.unpersist()
+    for r in rows:
+        echo(f"{r.status}: {r.logical_table}/{r.filename}")
+    return rows

@@ -57,39 +57,6 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     }
 
 
-def input_bytes(spark: SparkSession, paths: list[str]) -> int | None:
-    """Total size of files under ``paths`` via each path's Hadoop
-    filesystem (None when the JVM is not reachable, e.g. Spark Connect)."""
-    try:
-        sc = spark.sparkContext
-        jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
-    except Exception:  # Spark Connect: no JVM handle on the client
-        return None
-    total = 0
-    for p in paths:
-        hpath = jvm.org.apache.hadoop.fs.Path(p)
-        total += int(hpath.getFileSystem(conf).getContentSummary(hpath).getLength())
-    return total
-
-
-def size_shuffles_for_input(spark: SparkSession, paths: list[str]) -> int | None:
-    """Raise AQE's initial shuffle partition number so that no initial
-    partition exceeds ~256 MB of input, unless the user already set it.
-    AQE coalesces small partitions afterwards, so over-provisioning is cheap
-    while the 200-partition default would be fatal at 100 TB."""
-    if spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None):
-        return None
-    size = input_bytes(spark, paths)
-    if not size:
-        return None
-    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    wanted = -(-size // (256 << 20))
-    if wanted <= current:
-        return None
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    return wanted
-
-
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     value = spark.sparkContext.getCheckpointDir()

@@ -26,7 +26,7 @@ def _join(root: str, name: str) -> str:
     return root.rstrip("/") + "/" + name
 
 
-def _names_in(spark: SparkSession, folder: str) -> set[str]:
+def names_in(spark: SparkSession, folder: str) -> set[str]:
     """Entry names of a folder, through its own Hadoop filesystem."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -37,7 +37,7 @@ def required_files(spark: SparkSession, data_dir: str) -> dict[str, str]:
     """Where each logical table lies: one listing of the folder against the expected names.
 
     Raises once, naming every table that is not there."""
-    there = _names_in(spark, data_dir)
+    there = names_in(spark, data_dir)
     absent = set(DATASET_FILES.values()) - there
     if absent:
         listed = sorted(absent, key=list(DATASET_FILES.values()).index)

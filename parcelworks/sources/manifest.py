@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelworks.sources.csv import required_files
@@ -198,3 +198,50 @@ def write_snapshot_manifest(manifest: DataFrame, out_path: str) -> str:
     a single line; the entries form is one line per file, in parallel)."""
     manifest.write.mode("overwrite").json(out_path)
     return out_path
+
+
+_FILE = "logical_table string, filename string, bytes long, sha256 string"
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """logical_table, filename, bytes, sha256 of a stored manifest, entries or document."""
+    stored = spark.read.schema(f"{_FILE}, files array<struct<{_FILE.replace(' ', ':').replace(',:', ', ')}>>").json(path)
+    lines = stored.where("files is null").drop("files")
+    return lines.unionByName(stored.select(F.inline("files")))
+
+
+def manifest_changes(published: DataFrame, found: DataFrame) -> DataFrame:
+    """logical_table, filename, status of every file of either manifest, with both sizes and digests.
+
+    status: same, changed (other bytes), missing (published only), added
+    (found only).  Files of one table that share a name (part folders) are
+    paired in the order of their digests, equal ones first."""
+
+    def counted(manifest: DataFrame, side: str) -> DataFrame:
+        rows = manifest.select(*[c.split()[0] for c in _FILE.split(", ")])
+        return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(side))
+
+    file = ["logical_table", "filename", "bytes", "sha256"]
+    both = counted(published, "before").join(counted(found, "after"), file, "full")
+    both = both.select(*file, *[F.coalesce(side, F.lit(0)).alias(side) for side in ("before", "after")])
+    same = both.select(*file, F.least("before", "after").alias("n"), F.lit("same").alias("status")).where("n > 0")
+
+    def rest(of: str, other: str) -> DataFrame:
+        left = both.withColumn("n", F.col(of) - F.col(other)).where("n > 0")
+        each = left.select(*file, F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"))
+        order = Window.partitionBy("logical_table", "filename").orderBy("sha256", "bytes", "copy")
+        return each.withColumn("place", F.row_number().over(order)).drop("copy")
+
+    key = ["logical_table", "filename", "place"]
+    gone, new = (
+        rest(of, other).withColumnsRenamed({"bytes": f"{name}_bytes", "sha256": f"{name}_sha256"})
+        for of, other, name in (("before", "after", "published"), ("after", "before", "found"))
+    )
+    status = F.when(F.col("found_sha256").isNull(), "missing").when(F.col("published_sha256").isNull(), "added").otherwise("changed")
+    differing = gone.join(new, key, "full").withColumn("status", status).drop("place")
+    kept = same.select(
+        "logical_table", "filename",
+        *[F.col(c).alias(f"{name}_{c}") for name in ("published", "found") for c in ("bytes", "sha256")],
+        F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"), "status",
+    ).drop("copy")
+    return differing.unionByName(kept)

@@ -125,4 +125,4 @@ def test_quality_job_writes_report_before_gate(spark, clean_dir, tmp_path):
     written = spark.read.json(report)
     assert written.count() == 9
     assert {r.name: r.failures for r in written.collect()} == EXPECTED_DIRTY
-    assert printed[0] == "duplicate_order_ids: FAIL (1)"
+    assert printed[0] == "check 1 of 9, duplicate_order_ids: 1 failing"

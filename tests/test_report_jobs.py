@@ -133,7 +133,7 @@ def test_report_job_writes_datasets(spark, clean_dir, tmp_path):
 
     out = run_report(spark, str(tmp_path / "wh"), str(tmp_path / "site"), data_dir=clean_dir,
                      month_min_orders=1, state_min_orders=1, seller_min_orders=1)
-    assert len(out) == 6 + 11
+    assert len(out) == 6 + 12  # six analyses, eleven report frames and the header
     metric_list = spark.read.json(out["report_metric_list"])
     assert "Orders eligible for late-delivery rate" in {r.label for r in metric_list.collect()}
     assert spark.read.json(out["report_state_table"]).count() == 2
@@ -156,12 +156,139 @@ def test_report_job_gates_before_output(spark, clean_dir, tmp_path):
 def test_reopen_reads_stored_tables(spark, built, tmp_path):
     from parcelworks.plans.jobs import open_warehouse
 
-    root = built.fct_orders.inputFiles()[0].rsplit("/fct_orders/", 1)[0]
+    root = built.fct_orders.inputFiles()[0].rsplit("/versions/", 1)[0]
     again = open_warehouse(spark, root)
     assert again.fct_orders.count() == 4
     assert again.fct_seller_performance.count() == 3
 
 
+def test_reader_keeps_its_tables_during_and_after_a_rebuild(spark, clean_dir, tmp_path):
+    from parcelworks.plans import jobs, versions
+    from parcelworks.sources.csv import read_raw_tables
+
+    out = str(tmp_path / "wh")
+    with pytest.raises(FileNotFoundError):
+        jobs.open_warehouse(spark, out)
+    jobs.build_warehouse(spark, out, data_dir=clean_dir)
+    old = jobs.open_warehouse(spark, out)
+    raw = read_raw_tables(spark, clean_dir)
+    raw["orders"] = raw["orders"].unionByName(raw["orders"].withColumn("order_id", F.concat("order_id", F.lit("-2"))))
+    build = jobs.start_build(spark, out, raw=raw)
+    build.finish("fct_orders")
+    assert build.read("fct_orders").count() == 8
+    # the new facts are stored, the build is not finished: readers still get the old tables, all of them
+    assert jobs.open_warehouse(spark, out).fct_orders.count() == 4
+    jobs.finish_build(build, out)
+    assert jobs.open_warehouse(spark, out).fct_orders.count() == 8
+    assert old.fct_orders.count() == 4 and old.fct_seller_performance.count() == 3
+    assert [r["number"] for r in versions.commits(spark, out).orderBy("number").collect()] == [1, 2]
+    gone = versions.retire_versions(spark, out, keep=1)
+    assert len(gone) == 1 and versions.retire_versions(spark, out, keep=1) == []
+    assert jobs.open_warehouse(spark, out).fct_orders.count() == 8
+
+
+def test_build_that_fails_midway_changes_nothing(spark, clean_dir, tmp_path):
+    from parcelworks.plans import jobs, versions
+    from parcelworks.sources.csv import read_raw_tables
+
+    out = str(tmp_path / "wh")
+    jobs.build_warehouse(spark, out, data_dir=clean_dir)
+    raw = read_raw_tables(spark, clean_dir)
+    raw["reviews"] = raw["reviews"].withColumn("review_score", F.lit("five"))  # a strict integer: staging stops
+    with pytest.raises(Exception, match="review_score"):
+        jobs.build_warehouse(spark, out, raw=raw)
+    again = jobs.open_warehouse(spark, out)
+    assert again.fct_orders.count() == 4 and again.stg["reviews"].count() > 0
+    assert versions.commits(spark, out).count() == 1
+
+
+def test_tables_start_when_their_inputs_are_stored(spark, clean_dir, tmp_path):
+    """The checks and the seller facts both begin after the order facts, without waiting for each other."""
+    import threading
+
+    from parcelworks.plans import jobs
+
+    build = jobs.start_build(spark, str(tmp_path / "wh"), data_dir=clean_dir)
+    both = threading.Barrier(2, timeout=120)
+    one = build.then("one", jobs.QUALITY_INPUTS, lambda *tables: both.wait())
+    two = build.then("two", ("order_seller_items", "fct_orders"), lambda *tables: both.wait())
+    assert {one.result(), two.result()} == {0, 1}  # neither could pass alone
+    jobs.finish_build(build, str(tmp_path / "wh"))
+    build.close()
+    stored = {name: end for name, (_, end) in build.times.items()}
+    began = {name: begin for name, (begin, _) in build.times.items()}
+    assert began["order_seller_items"] >= stored["stg_order_items"]
+    assert began["fct_orders"] >= max(stored["order_rollup"], stored["stg_orders"])
+    assert min(began["one"], began["order_seller_facts"]) >= stored["fct_orders"]
+
+
+def test_shuffles_are_sized_for_each_build_and_table(spark, clean_dir, tmp_path):
+    from parcelworks.plans import jobs
+    from parcelworks.sources.csv import read_raw_tables
+
+    raw = read_raw_tables(spark, clean_dir)
+    numbers = []
+    for copies in (1, 40):
+        more = {name: df for name, df in raw.items()}
+        more["order_items"] = raw["order_items"].withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
+        build = jobs.start_build(spark, str(tmp_path / f"wh{copies}"), raw=more, partition_bytes=200)
+        jobs.finish_build(build, str(tmp_path / f"wh{copies}"))
+        build.close()
+        numbers.append(build.partitions)
+        assert build.rows["stg_order_items"] == copies * raw["order_items"].count()
+    assert numbers[1]["order_seller_items"] > 10 * numbers[0]["order_seller_items"]
+    assert numbers[0]["fct_orders"] != numbers[1]["order_seller_items"]
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert spark.conf.get(key, None) is None  # the caller's session stays as it is
+
+
+def test_confirming_inputs(spark, clean_dir, tmp_path):
+    import shutil
+
+    from parcelworks.plans.jobs import run_confirm, run_snapshot
+
+    raw = tmp_path / "raw"
+    shutil.copytree(clean_dir, raw)
+    for document in (False, True):
+        kept = run_snapshot(spark, str(raw), str(tmp_path / f"kept{document}"), document=document)
+        assert run_confirm(spark, str(raw), kept, str(tmp_path / "none")) == []
+        assert spark.read.schema("status string").json(str(tmp_path / "none")).count() == 0
+    orders, items = raw / "olist_orders_dataset.csv", raw / "olist_order_items_dataset.csv"
+    orders.write_text(orders.read_text() + "\n")
+    parts = items.read_text()
+    items.unlink()
+    items.mkdir()
+    for n in (1, 2):
+        (items / f"part-{n}.csv").write_text(parts)
+    said = []
+    found = run_confirm(spark, str(raw), kept, str(tmp_path / "out"), echo=said.append)
+    assert sorted((r.status, r.filename) for r in found) == [
+        ("added", "part-1.csv"), ("added", "part-2.csv"), ("changed", orders.name), ("missing", items.name)
+    ]
+    assert len(said) == 4 and spark.read.json(str(tmp_path / "out")).count() == 4
+
+
+def test_changes_of_files_that_share_a_name(spark):
+    from parcelworks.sources.manifest import manifest_changes
+
+    files = "logical_table string, filename string, bytes long, sha256 string"
+    before = spark.createDataFrame([("t", "p", 1, "a"), ("t", "p", 1, "a"), ("t", "p", 2, "b"), ("u", "p", 1, "a")], files)
+    after = spark.createDataFrame([("t", "p", 1, "a"), ("t", "p", 3, "c"), ("t", "p", 4, "d"), ("t", "p", 5, "e"), ("u", "p", 1, "a")], files)
+    found = manifest_changes(before, after).collect()
+    assert sorted((r.logical_table, r.status) for r in found) == [
+        ("t", "added"), ("t", "changed"), ("t", "changed"), ("t", "same"), ("u", "same")
+    ]
+
+
+def test_report_header(spark, clean_dir, tmp_path):
+    from parcelworks.plans.jobs import run_report
+
+    out = run_report(spark, str(tmp_path / "wh"), str(tmp_path / "site"), data_dir=clean_dir)
+    head = spark.read.json(out["report_header"]).first()
+    assert head.purchase_coverage == "2019-03-01 to 2019-04-04" and head.license == "CC-BY-NC-SA-4.0"
+    assert head.dataset and head.source_url.startswith("https://") and head.generated_at.endswith(" UTC")
+
+
 def test_missing_files_listed_together(spark, tmp_path):
     from parcelworks.sources.csv import required_files
 

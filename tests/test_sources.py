@@ -90,20 +90,25 @@ def test_columns_bound_by_header_name(spark, clean_dir, tmp_path):
         read_raw_table(spark, "order_items", str(tmp_path / "bad.csv"))
 
 
-def test_shuffle_sizing_only_raises_and_respects_user(spark, clean_dir):
-    from parcelworks.session import input_bytes, size_shuffles_for_input
-    from parcelworks.sources.csv import required_files
+def test_shuffle_sizing_only_raises_and_respects_user(spark):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-    paths = list(required_files(spark, clean_dir).values())
-    assert 0 < input_bytes(spark, paths) < 10_000
+    from parcelworks.plans.build import Build, partitions_for, row_bytes
+
+    schema = StructType([StructField("a", IntegerType()), StructField("b", StringType())])
+    assert row_bytes(schema) == 44
+    assert partitions_for([(10, schema)], 1 << 20, least=4) == 4  # tiny input: keep the session's setting
+    assert partitions_for([(10**6, schema), (10**6, schema)], 1 << 20, least=4) == 84
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert size_shuffles_for_input(spark, paths) is None  # tiny input: keep the session's setting
+    build = Build(spark, "unused")
+    build.rows["t"], build._schemas["t"] = 10**9, schema
+    assert build._sized("x", ("t",)).conf.get(key) == str(build.partitions["x"]) and build.partitions["x"] > 300
     spark.conf.set(key, "7")
     try:
-        assert size_shuffles_for_input(spark, paths) is None
-        assert spark.conf.get(key) == "7"
+        assert build._sized("x", ("t",)).conf.get(key) == "7" and build.partitions["x"] == 7
     finally:
         spark.conf.unset(key)
+        build.close()
 
 
 def test_configure_applies_scale_settings(spark):

@@ -18,6 +18,7 @@ from parcelworks.operators import marts as M  # noqa: E402
 from parcelworks.operators import quality as Q  # noqa: E402
 from parcelworks.operators.staging import stage_all  # noqa: E402
 from parcelworks.plans import jobs  # noqa: E402
+from parcelworks.plans.versions import current_version  # noqa: E402
 from parcelworks.session import checkpoint_dir, local_session  # noqa: E402
 from parcelworks.sources.starschema import raw_tables_from_star  # noqa: E402
 
@@ -48,7 +49,7 @@ def main() -> None:
     staged = stage_all(raw)
     wh = jobs.build_warehouse(spark, out, raw=raw)
     pairs = wh.order_seller_items
-    rollup = jobs.read_table(spark, out, "order_rollup")
+    rollup = spark.read.parquet(current_version(spark, out) + "/order_rollup")
     sections = {
         "stg_orders (adapter + staging)": staged["orders"],
         "order_seller_items (M1/M4 input)": M.order_seller_items(wh.stg["order_items"]),
