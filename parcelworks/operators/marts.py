@@ -12,7 +12,8 @@ Plan shape (everything keyed on ``order_id``):
 * M3 = orders LEFT JOIN one per-order rollup (M1 and M2 together, unique per
   key).  The build stores the rollup first, so both sides of the join are
   plain exchanges and AQE can split an order id that is duplicated many
-  times; orders without an id go around the join.
+  times; as one lazy plan, hot ids are found by a sketch and spread over
+  ``SALTS`` tasks.  Orders without an id go around the join.
 * ``order_seller_facts`` joins the bridge to the order facts once; M5 (and
   the seller analyses) are then a single grouped aggregation by seller,
   combined map-side, so a seller holding a third of all orders is fine.
@@ -34,6 +35,36 @@ FCT_ORDER_COLUMNS = (
 )
 
 
+# A key with more than one in HOT_SHARE of the rows is hot, so there are at most HOT_SHARE of them.
+HOT_SHARE = 200
+SALTS = 32
+
+
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """The hot values of ``key``, from a frequent-items sketch (combined map-side): at most HOT_SHARE rows.
+
+    The sketch decides only which keys are spread, never which rows match."""
+    top = F.expr(f"approx_top_k({key}, {HOT_SHARE}, {64 * HOT_SHARE})")
+    found = df.where(F.col(key).isNotNull()).agg(top.alias("top"), F.count(F.lit(1)).alias("rows"))
+    often = found.select("rows", F.inline("top")).where(F.col("count") * HOT_SHARE > F.col("rows"))
+    return often.select(F.col("item").alias(key))
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` on ``key``; the left rows of a hot key are dealt to SALTS
+    tasks, and each of these has the right rows of that key.  Without ``hot`` a plain join.
+    A column ``salt`` of ``left`` (any long) decides the task, else a hash of the whole row."""
+    if hot is None:
+        return left.join(right, key, how)
+    marked = F.broadcast(hot.withColumn("salts", F.lit(SALTS)))  # at most HOT_SHARE rows
+    salts = F.coalesce("salts", F.lit(1))
+    one = left if "salt" in left.columns else left.withColumn("salt", F.xxhash64(*left.columns))
+    one = one.join(marked, key, "left").withColumn("salt", F.pmod("salt", salts).cast("int")).drop("salts")
+    two = right.join(marked, key, "left")
+    two = two.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    return one.join(two, [key, "salt"], how).drop("salt")
+
+
 def order_seller_items(stg_items: DataFrame) -> DataFrame:
     """One row per distinct (order_id, seller_id) with its item count and
     item + freight value.  A NULL seller is its own row."""
@@ -98,13 +129,13 @@ def order_rollup(pairs: DataFrame, stg_reviews: DataFrame) -> DataFrame:
     )
 
 
-def fct_orders(stg_orders: DataFrame, rollup: DataFrame) -> DataFrame:
+def fct_orders(stg_orders: DataFrame, rollup: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """M3: one row per source order row (duplicates are kept, only checked).
 
-    ``rollup`` is the per-order rollup.  Orders without an id match nothing;
-    they go around the join, so that they never meet in one task (the IS NULL
-    scan skips every row group that has none)."""
-    keyed = stg_orders.where(F.col("order_id").isNotNull()).join(rollup, "order_id", "left")
+    ``rollup`` is the per-order rollup, ``hot`` the order ids to spread.  Orders
+    without an id match nothing; they go around the join, so that they never
+    meet in one task (the IS NULL scan skips every row group that has none)."""
+    keyed = spread_join(stg_orders.where(F.col("order_id").isNotNull()), rollup, "order_id", hot, "left")
     unkeyed = stg_orders.where(F.col("order_id").isNull())
     joined = keyed.unionByName(unkeyed, allowMissingColumns=True)
     delivered = F.col("order_delivered_customer_date")
@@ -129,13 +160,17 @@ def fct_orders(stg_orders: DataFrame, rollup: DataFrame) -> DataFrame:
     )
 
 
-def order_seller_facts(pairs: DataFrame, fct: DataFrame) -> DataFrame:
+def order_seller_facts(pairs: DataFrame, fct: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Bridge joined once to the order facts: one row per (order, seller)
     pair and matching fact row, with the columns seller analyses need."""
     f = fct.select(
         "order_id", "order_value", "seller_count", "late_delivery", "avg_review_score"
     )
-    return pairs.select("order_id", "seller_id").join(f, "order_id", "inner")
+    if hot is None:
+        return pairs.select("order_id", "seller_id").join(f, "order_id", "inner")
+    # the five columns of an order's rows may be alike; the whole rows are not
+    salted = fct.select(*f.columns, F.xxhash64(*fct.columns).alias("salt"))
+    return spread_join(salted, pairs.select("order_id", "seller_id"), "order_id", hot).select("order_id", "seller_id", *f.columns[1:])
 
 
 def allocated_value() -> Column:
@@ -157,10 +192,12 @@ def fct_seller_performance(facts: DataFrame) -> DataFrame:
 
 def build_marts(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Lazy marts from staging tables (no writes; see ``plans.jobs`` for the
-    materialised build)."""
+    materialised build).  Adaptive execution cannot split a hot order id between
+    an aggregate and a join, so the plan spreads it by itself."""
+    hot = hot_keys(stg["orders"], "order_id")
     pairs = order_seller_items(stg["order_items"])
-    fct = fct_orders(stg["orders"], order_rollup(pairs, stg["reviews"]))
-    facts = order_seller_facts(pairs, fct)
+    fct = fct_orders(stg["orders"], order_rollup(pairs, stg["reviews"]), hot)
+    facts = order_seller_facts(pairs, fct, hot)
     return {
         "order_seller_items": pairs,
         "order_seller_bridge": order_seller_bridge(pairs),

@@ -1,24 +1,26 @@
-"""Exact, distributed quantiles of a bounded column (``quantile_cont``).
-
-The built-in exact ``percentile`` merges every distinct value into one
-task's buffer.  Here no task ever holds more than a bucket of distinct
-values or the fixed-size bucket table:
-
-1. distinct values with multiplicities: ``groupBy(value).count()``
-   (shuffled, combined map-side, so a value shared by a third of all rows
-   is one row per task);
-2. values fall into ``buckets`` equal-width buckets of the known range
-   [lo, hi]; per-bucket counts and their running total form a table of at
-   most ``buckets`` rows (a constant), which locates the bucket of every
-   target rank;
-3. only those buckets' distinct values are ranked (a window partitioned by
-   bucket), and the value at each rank is picked out;
-4. ``lo + (hi - lo) * frac`` interpolation between the values at ranks
-   floor((n-1)p) and ceil((n-1)p), as SQL ``quantile_cont`` does.
-
-Everything stays a lazy DataFrame with no cross join and no driver round
-trip; the result is one row with one column per requested quantile (NULL
-when the input has no non-NULL value).
+"""Exact, distributed quantiles of any double column (``quantile_cont``).
+
+The built-in exact ``percentile`` merges every distinct value into one task's
+buffer.  Here no task holds more than a bucket of distinct values or a table of
+fixed size:
+
+1. distinct values with multiplicities: ``groupBy(value).count()`` (shuffled,
+   combined map-side, so a value shared by a third of all rows is one row per
+   task);
+2. a sketch of the distinct values gives ``splitters`` of about equal depth,
+   whatever the range and however the values crowd together (equal-width
+   buckets would put a crowd into one); values fall between them, per-bucket
+   counts and their running total locate the bucket of every target rank;
+3. those buckets alone are split once more, by a sketch of their own, so that a
+   bucket of ``splitters`` squared holds what is ranked in the end, also where
+   the first sketch is off by a little;
+4. the values at the ranks floor((n-1)p) and ceil((n-1)p) are picked out and
+   interpolated, as SQL ``quantile_cont`` does.
+
+Sketches only place the splitters; counts and ranks are exact.  Everything
+stays a lazy DataFrame without a cross join; the result is one row with one
+column per requested quantile (NULL when the input has no non-NULL value).  NaN
+counts as greater than any other value.
 """
 
 from __future__ import annotations
@@ -28,73 +30,70 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+SPLITTERS = 256
+LEVELS = 2
+_TARGET = ("name", "which", "frac")
+
+
+def _split(values: DataFrame, splitters: int) -> DataFrame:
+    """``values`` (g, v, c) with the bucket b that v falls into within its group."""
+    places = [k / splitters for k in range(1, splitters)]
+    # at most ``splitters`` numbers per group, and a group per target rank
+    marks = values.groupBy("g").agg(F.percentile_approx("v", places, 20 * splitters).alias("marks"))
+    below = F.filter("marks", lambda mark: mark < F.col("v"))
+    return values.join(F.broadcast(marks), "g").select("g", "v", "c", F.size(below).alias("b"))
+
+
+def _counted(bucketed: DataFrame) -> DataFrame:
+    """(g, b, bc, before): values in each bucket and before it within its group."""
+    per_bucket = bucketed.groupBy("g", "b").agg(F.sum("c").alias("bc"))
+    earlier = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    return per_bucket.withColumn("before", F.coalesce(F.sum("bc").over(earlier), F.lit(0)))
+
+
+def _located(counts: DataFrame, targets: DataFrame, splitters: int) -> DataFrame:
+    """The targets moved into the bucket that holds them, ranked within it."""
+    found = counts.join(targets, "g").where((F.col("before") <= F.col("r")) & (F.col("r") < F.col("before") + F.col("bc")))
+    return found.select("b", (F.col("g") * splitters + F.col("b")).alias("deeper"), (F.col("r") - F.col("before")).alias("r"), "g", *_TARGET)
+
 
 def exact_quantiles(
-    df: DataFrame,
-    column: str,
-    probabilities: Mapping[str, float],
-    lo: float = 0.0,
-    hi: float = 1.0,
-    buckets: int = 1 << 16,
+    df: DataFrame, column: str, probabilities: Mapping[str, float], splitters: int = SPLITTERS
 ) -> DataFrame:
-    """One row: ``{name: quantile_cont(column, p)}`` for each name -> p.
-    A value outside [lo, hi] raises: all of them would meet in an edge bucket."""
-    v = F.col("v")
+    """One row: ``{name: quantile_cont(column, p)}`` for each name -> p."""
     values = (
         df.select(F.col(column).cast("double").alias("v"))
-        .where(v.isNotNull())
+        .where(F.col("v").isNotNull())
         .groupBy("v")
         .agg(F.count(F.lit(1)).alias("c"))
-    )
-    scaled = F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(buckets))
-    outside = F.raise_error(F.concat(F.lit(f"{column} outside [{lo}, {hi}]: "), v.cast("string"))).cast("int")
-    inside = F.least(scaled, F.lit(buckets - 1)).cast("int")
-    values = values.withColumn("b", F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), inside).otherwise(outside))
-
-    per_bucket = values.groupBy("b").agg(F.sum("c").alias("bc"))
-    ordered = Window.orderBy("b")
-    per_bucket = per_bucket.select(
-        "b",
-        "bc",
-        F.coalesce(
-            F.sum("bc").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("before"),
-        F.sum("bc").over(Window.partitionBy()).alias("n"),
+        .withColumn("g", F.lit(0).cast("long"))
     )
 
-    # Target ranks (0-based): floor and ceil of (n - 1) * p, per quantile.
-    targets = []
+    ranks = []
     for name, p in probabilities.items():
         h = (F.col("n") - 1).cast("double") * F.lit(float(p))
-        frac = h - F.floor(h)
         for which, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
-            targets.append(
-                F.struct(
-                    F.lit(name).alias("name"),
-                    F.lit(which).alias("which"),
-                    rank.cast("long").alias("r"),
-                    frac.alias("frac"),
-                )
+            ranks.append(
+                F.struct(F.lit(name).alias("name"), F.lit(which).alias("which"), rank.cast("long").alias("r"), (h - F.floor(h)).alias("frac"))
             )
-    located = (
-        per_bucket.select("b", "bc", "before", F.inline(F.array(*targets)))
-        .where((F.col("before") <= F.col("r")) & (F.col("r") < F.col("before") + F.col("bc")))
-        .select("b", "before", "name", "which", "r", "frac")
-    )
 
-    in_bucket = Window.partitionBy("b", "name", "which").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    ranked = located.join(values, "b").select(
-        "name",
-        "which",
-        "r",
-        "frac",
-        "v",
-        "c",
-        (F.col("before") + F.coalesce(F.sum("c").over(in_bucket), F.lit(0))).alias("start"),
-    )
-    picked = ranked.where((F.col("start") <= F.col("r")) & (F.col("r") < F.col("start") + F.col("c")))
+    targets = None
+    for _ in range(LEVELS):
+        bucketed = _split(values, splitters)
+        counts = _counted(bucketed)
+        if targets is None:
+            total = counts.groupBy("g").agg(F.sum("bc").alias("n"))
+            targets = total.select("g", F.inline(F.array(*ranks)))
+        found = _located(counts, targets, splitters)
+        # a target rank names at most one bucket
+        wanted = F.broadcast(found.select("g", "b", "deeper").distinct())
+        values = bucketed.join(wanted, ["g", "b"]).select(F.col("deeper").alias("g"), "v", "c")
+        targets = found.select(F.col("deeper").alias("g"), "r", *_TARGET)
+
+    smaller = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = values.withColumn("start", F.coalesce(F.sum("c").over(smaller), F.lit(0)))
+    picked = ranked.join(F.broadcast(targets), "g")
+    picked = picked.where((F.col("start") <= F.col("r")) & (F.col("r") < F.col("start") + F.col("c")))
 
     out = []
     for name in probabilities:
@@ -102,5 +101,7 @@ def exact_quantiles(
             return F.max(F.when((F.col("name") == name) & (F.col("which") == which), F.col(field)))
 
         low, high, frac = pick("lo"), pick("hi"), pick("lo", "frac")
-        out.append((low + (high - low) * frac).alias(name))
+        # equal ends need no step between them, which infinite ones could not take
+        between = F.when((low == high) | (frac == 0), low).otherwise(low + (high - low) * frac)
+        out.append(between.alias(name))
     return picked.agg(*out)

@@ -117,3 +117,39 @@ def test_hot_and_missing_order_ids_are_split(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_lazy_marts_spread_a_hot_order(spark):
+    """Half of all orders under one id: no task of the registered plan's join holds a large share of the facts."""
+    from pyspark.sql import functions as F
+
+    from parcelworks.operators.staging import stage_all
+    from parcelworks.sources.starschema import raw_tables_from_frames, read_star_tables
+
+    star = read_star_tables(spark, SF)
+    n = star["orders"].count()
+    key = F.col("o_orderkey")
+    star["orders"] = star["orders"].withColumn("o_orderkey", F.when(key % 2 == 0, F.lit(4).cast("long")).otherwise(key))
+    stg = stage_all(raw_tables_from_frames(star))
+    settings = {
+        "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        marts = M.build_marts(stg)
+        assert [r.order_id for r in M.hot_keys(stg["orders"], "order_id").collect()] == ["4"]
+        pairs = M.order_seller_items(stg["order_items"])
+        plain = M.fct_orders(stg["orders"], M.order_rollup(pairs, stg["reviews"]))
+        for name, straight in (("fct_orders", plain), ("order_seller_facts", M.order_seller_facts(pairs, plain))):
+            largest = []
+            for df in (straight, marts[name]):
+                parts = df.groupBy(F.spark_partition_id()).count().collect()
+                largest.append(max(r["count"] for r in parts) / sum(r["count"] for r in parts))
+            assert largest[0] > 0.4 and largest[1] < 0.25, (name, largest)
+            assert sorted(map(str, straight.collect())) == sorted(map(str, marts[name].select(straight.columns).collect()))
+        assert marts["fct_orders"].count() == n
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
