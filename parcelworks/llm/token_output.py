@@ -29,6 +29,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -118,18 +119,42 @@ def read_shard(data: bytes, start: int = 0, stop: int | None = None) -> np.ndarr
     return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
 
-def _put(folder: str, name: str, data: bytes) -> None:
+# Schemes of the shared folder -> how tasks open it (s3a and s3n are names that only Hadoop uses).
+_STORES = {"": "local", "file": "local", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "abfs": "uri", "abfss": "uri"}
+_S3 = {"access.key": "access_key", "secret.key": "secret_key", "session.token": "session_token", "endpoint": "endpoint_override", "endpoint.region": "region"}
+
+
+def store_of(folder: str, settings: dict[str, str]) -> tuple[str, str, dict[str, str]]:
+    """(kind, path, options) with which a task opens the shared folder; ``settings`` are the session's.
+
+    Object stores take their keys from the session's ``spark.hadoop.fs.s3a.*``, where it has them.
+    An unknown scheme raises here, before any work is done."""
+    parts = urlsplit(folder)
+    kind = _STORES.get(parts.scheme)
+    if kind is None:
+        raise ValueError(f"token files cannot be written to {parts.scheme}://, only to {', '.join(filter(None, _STORES))}")
+    if kind == "local":
+        return kind, re.sub("^file:(//)?", "", folder), {}
+    if kind == "s3":
+        held = {name: settings.get(f"spark.hadoop.fs.s3a.{key}") for key, name in _S3.items()}
+        return kind, f"{parts.netloc}{parts.path}", {k: v for k, v in held.items() if v}
+    if kind == "hdfs":
+        return kind, parts.path, {"host": parts.hostname or "default", "port": parts.port or 0}
+    return kind, f"{parts.netloc}{parts.path}" if kind == "gs" else folder, {}
+
+
+def _put(store: tuple[str, str, dict[str, str]], name: str, data: bytes) -> None:
     """Write a file to the shared folder from a task."""
     from pyarrow import fs
 
-    parts = urlsplit(folder)
-    if parts.scheme in ("", "file"):
-        store, path = fs.LocalFileSystem(), folder.removeprefix("file://") if parts.scheme else folder
-        path = path.removeprefix("file:")
+    kind, path, options = store
+    if kind == "uri":
+        opened, path = fs.FileSystem.from_uri(path)
     else:
-        store, path = fs.FileSystem.from_uri(folder)
-    store.create_dir(path, recursive=True)
-    with store.open_output_stream(f"{path}/{name}") as out:
+        made = {"local": "LocalFileSystem", "s3": "S3FileSystem", "gs": "GcsFileSystem", "hdfs": "HadoopFileSystem"}[kind]
+        opened = getattr(fs, made)(**options)
+    opened.create_dir(path, recursive=True)
+    with opened.open_output_stream(f"{path}/{name}") as out:
         out.write(data)
 
 
@@ -142,6 +167,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 1, shard_ids: in
     """
     spark = docs.sparkSession
     folder = new_folder(spark, "tokens")
+    store = store_of(folder, dict(spark.sparkContext.getConf().getAll()))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ordered = (
         own_columns(docs, "doc_id", "text")
@@ -158,7 +184,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 1, shard_ids: in
 
         def flush():
             name = f"{part:06d}-{shard:06d}-{run}.bpl"
-            _put(folder, name, write_shard(np.frombuffer(b"".join(ids), "<u4"), rows))
+            _put(store, name, write_shard(np.frombuffer(b"".join(ids), "<u4"), rows))
             return pd.DataFrame({"part": [part], "shard": [shard], "name": [name], "n_ids": [held]})
 
         for batch in batches:

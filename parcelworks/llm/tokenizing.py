@@ -3,9 +3,10 @@
 Both public tokenizers cut a text at white space before merging, so the ids of
 a text are the concatenated ids of its pieces.  Each worker keeps the ids of
 the pieces it has met (as little-endian 32-bit bytes); only new pieces reach
-the tokenizers library, in one batch.  For byte-level tokenizers, new pieces
-that begin with white space go there ``JOINED`` at a time as one text; a
-token's bytes say which piece it belongs to.  Texts in which non-ASCII white
+the tokenizers library, in one batch, ``JOINED`` at a time as one text.  For
+byte-level tokenizers these are the pieces that begin with white space, and a
+token's bytes say which piece it belongs to; for tokenizers that drop white
+space a token's offsets do.  Texts in which non-ASCII white
 space could join two pieces are encoded whole.
 """
 
@@ -87,6 +88,26 @@ def _encode_joined(path: str, pieces: list[bytes], cache: dict[bytes, bytes]) ->
     return alone
 
 
+def _encode_words(path: str, words: list[bytes], cache: dict[bytes, bytes]) -> list[bytes]:
+    """Cache the ids of words, ``JOINED`` at a time as one text; returns the words that need a call each."""
+    alone = []
+    groups = [[w.decode("utf-8") for w in words[lo : lo + JOINED]] for lo in range(0, len(words), JOINED)]
+    done = _library(path).encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+    for group, item in zip(groups, done, strict=True):
+        ids, places = np.array(item.ids, "<u4"), np.array(item.offsets, np.int64).reshape(-1, 2)
+        size = np.array([len(w) for w in group])
+        first = np.cumsum(size + 1) - size - 1
+        own = np.searchsorted(first, places[:, 0], "right") - 1
+        if (places[:, 1] > (first + size)[own]).any() or (np.diff(own) < 0).any():  # a token over two words
+            alone += [w.encode("utf-8") for w in group]
+            continue
+        raw, at = ids.tobytes(), 0
+        for word, stop in zip(group, (4 * np.searchsorted(own, np.arange(len(group)), "right")).tolist(), strict=True):
+            cache[word.encode("utf-8")] = raw[at:stop]
+            at = stop
+    return alone
+
+
 def _encode(
     path: str, texts: Iterable[str | None], split: Callable[[bytes], list[bytes]], joined: bool = False
 ) -> list[bytes]:
@@ -104,8 +125,7 @@ def _encode(
     if len(cache) > _CACHE_LIMIT:
         cache.clear()
     todo = list(new.difference(cache))
-    if joined:
-        todo = _encode_joined(path, todo, cache)
+    todo = _encode_joined(path, todo, cache) if joined else _encode_words(path, todo, cache)
     for lo in range(0, len(todo), 20_000):
         part = todo[lo : lo + 20_000]
         done = library.encode_batch_fast([p.decode("utf-8") for p in part], add_special_tokens=False)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from parcelworks.llm import tokenizing
@@ -28,3 +29,29 @@ def test_same_ids_as_whole_texts(name, encoder):
         found = encode(texts[lo:])
         for text, blob in zip(texts[lo:], found, strict=True):
             assert np.frombuffer(blob, "<u4").tolist() == own.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
+def test_shared_folders_of_every_scheme():
+    from parcelworks.llm.token_output import store_of
+
+    keys = {"spark.hadoop.fs.s3a.access.key": "a", "spark.hadoop.fs.s3a.endpoint": "http://store:9000", "spark.other": "x"}
+    assert store_of("s3a://bucket/x/tokens", keys) == ("s3", "bucket/x/tokens", {"access_key": "a", "endpoint_override": "http://store:9000"})
+    assert store_of("file:/tmp/x", {}) == store_of("file:///tmp/x", {}) == store_of("/tmp/x", {}) == ("local", "/tmp/x", {})
+    assert store_of("hdfs://node:8020/x", {}) == ("hdfs", "/x", {"host": "node", "port": 8020})
+    assert store_of("gs://bucket/x", {})[:2] == ("gs", "bucket/x") and store_of("abfss://c@account/x", {})[:2] == ("uri", "abfss://c@account/x")
+    with pytest.raises(ValueError, match="ftp"):
+        store_of("ftp://host/x", {})
+
+
+def test_words_joined_or_alone_give_the_same_ids():
+    from tokenizers import Tokenizer
+
+    from parcelworks.llm.tokenizing import word_encoder
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    texts = ["don't I'LL \u0130stanbul \ufb01 \u00df x\x00y <|endoftext|> a<|endoftext|>b \u65e5\u672c\u8a9e \U0001f642", "\u200b \ufeff \u0391\u03a3 's 's", "", "\x1c a\x1fb", "a" * 300]
+    texts += [" ".join(f"w{k * 7919 % 3001}x{k}" for k in range(1200))]
+    for text, packed in zip(texts, word_encoder(path)(texts), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
