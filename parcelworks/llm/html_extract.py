@@ -30,8 +30,11 @@ from __future__ import annotations
 import html
 import re
 import zlib
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -66,27 +69,83 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+_NAMED = re.compile(r"</?([a-zA-Z][^\s/<>\"']*)")
+_SPECIAL = re.compile(r"[>\"']")
 _END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in (*RAW, "iframe")}
 _MARK = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 
 
-def _shown(page: str) -> list[re.Match]:
+class Token(NamedTuple):
+    """A tag (with ``tag`` in lower case), text, or neither (a comment or declaration)."""
+
+    text: str | None = None
+    tag: str | None = None
+    end: bool = False
+    attrs: str = ""
+
+
+class _TagEnds:
+    """Where a tag that is read from a place on ends: its first > outside of quotes.  One pass over the page."""
+
+    def __init__(self, page: str):
+        found = [(m.start(), m.group()) for m in _SPECIAL.finditer(page)]
+        self.places = [at for at, _ in found]
+        # for each special character met outside of quotes: the end of the tag, or -1
+        self.ends = [-1] * (len(found) + 1)
+        later = {'"': len(found), "'": len(found)}  # the next quote of each kind
+        for k in range(len(found) - 1, -1, -1):
+            at, char = found[k]
+            if char == ">":
+                self.ends[k] = at
+            else:
+                closing = later[char]
+                self.ends[k] = self.ends[closing + 1] if closing < len(found) else -1
+                later[char] = k
+
+    def after(self, at: int) -> int:
+        return self.ends[bisect_left(self.places, at)]
+
+
+class _Tokens:
+    """The page's tokens from any place on, in time that grows with the page alone."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.ends = page, page.rfind(">"), None
+
+    def read(self, at: int) -> tuple[Token, int]:
+        """The token at a place and where it ends."""
+        if self.page[at] == "<" and not self._closes(at):
+            return Token("<"), at + 1
+        found = _TOKEN.match(self.page, at)
+        end, tag, attrs, text = found.groups()
+        if text == "<" and self.ends is None and _NAMED.match(self.page, at):
+            self.ends = _TagEnds(self.page)  # a tag without an end was read to the end of the page; once is enough
+        return Token(text, tag and tag.lower(), end == "/", attrs or ""), found.end()
+
+    def _closes(self, at: int) -> bool:
+        """Whether what begins with < may have an end."""
+        if at > self.last:
+            return self.page.startswith("<!--", at)
+        named = self.ends and _NAMED.match(self.page, at)
+        return not named or self.ends.after(named.end()) >= 0
+
+
+def _shown(page: str) -> list[Token]:
     """The page's tokens without the elements that show no text."""
-    tokens: list[re.Match] = []
+    tokens: list[Token] = []
     after: dict[int, int] = {}  # token that opens a hidden element: first token behind the element
     open_: list[tuple[str, int]] = []
     depth: Counter = Counter()
     endless = set()
-    at = 0
+    reader, at = _Tokens(page), 0
     while at < len(page):
-        token = _TOKEN.match(page, at)
-        at, number = token.end(), len(tokens)
+        token, at = reader.read(at)
+        number, tag = len(tokens), token.tag
         tokens.append(token)
-        if token["tag"] is None:
+        if tag is None:
             continue
-        tag = token["tag"].lower()
-        if token["end"]:
+        if token.end:
             while depth[tag]:
                 name, first = open_.pop()
                 depth[name] -= 1
@@ -101,7 +160,7 @@ def _shown(page: str) -> list[re.Match]:
             after[first] = number
         if tag in VOID:
             continue
-        if token["attrs"].rstrip().endswith("/") and (tag in FOREIGN or any(depth[name] for name in FOREIGN)):
+        if token.attrs.rstrip().endswith("/") and (tag in FOREIGN or any(depth[name] for name in FOREIGN)):
             after[number] = number + 1
         elif tag in _END:
             end = None if tag in endless else _END[tag].search(page, at)
@@ -123,10 +182,62 @@ def _shown(page: str) -> list[re.Match]:
     return shown
 
 
-def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
+class Path:
+    """The tags and marks from the page down to an element, and their vector; shares its ancestors' part."""
+
+    def __init__(self, above: Path | None = None, names: tuple[str, ...] = (), fresh: Iterable[str] = ()):
+        self.above, self.names = above, names
+        self.size = (above.size if above else 0) + len(names)
+        self.vector = above.vector.copy() if above else np.zeros(PATH_DIM, np.float32)
+        for name in fresh:  # a name counts once, wherever in the path
+            at, sign = _slot(name, PATH_DIM)
+            self.vector[at] += sign
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __iter__(self) -> Iterator[str]:
+        parts, here = [], self
+        while here:
+            parts.append(here.names)
+            here = here.above
+        return (name for names in reversed(parts) for name in names)
+
+    def __bool__(self) -> bool:
+        return True
+
+
+class _OpenElements:
+    """The stack of open elements; each step costs what it opens or closes, however deep the stack."""
+
+    def __init__(self):
+        self.paths = [Path()]
+        self.tags: list[str] = []
+        self.at: dict[str, list[int]] = defaultdict(list)  # places of each open tag
+        self.held: Counter = Counter()  # names in the path
+
+    def nearest(self, tags: Iterable[str]) -> int:
+        return max((self.at[tag][-1] for tag in tags if self.at[tag]), default=-1)
+
+    def close(self, place: int) -> None:
+        """Everything from a place on."""
+        while len(self.tags) > place:
+            self.at[self.tags.pop()].pop()
+            self.held.subtract(self.paths.pop().names)
+
+    def open(self, tag: str, marks: Iterable[str]) -> None:
+        names = (tag, *marks)
+        fresh = [name for name in dict.fromkeys(names) if not self.held[name]]
+        self.paths.append(Path(self.paths[-1], names, fresh))
+        self.at[tag].append(len(self.tags))
+        self.tags.append(tag)
+        self.held.update(names)
+
+
+def blocks(page: str | None) -> list[tuple[str, Path, float]]:
     """(text, path of tags and marks, share of characters inside links) per non-empty leaf block."""
-    out: list[tuple[str, tuple[str, ...], float]] = []
-    path: list[tuple[str, tuple[str, ...]]] = []
+    out: list[tuple[str, Path, float]] = []
+    stack = _OpenElements()
     parts: list[str] = []
     linked, links = 0, 0
 
@@ -134,49 +245,42 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            marks = tuple(m for tag, own in path for m in (tag, *own))
-            out.append((text, marks, min(1.0, linked / len(text))))
+            out.append((text, stack.paths[-1], min(1.0, linked / len(text))))
         parts.clear()
         linked = 0
 
     for token in _shown(page or ""):
-        text = token["text"]
-        if text is not None:
-            text = html.unescape(text)
+        if token.text is not None:
+            text = html.unescape(token.text)
             parts.append(text)
             if links:
                 linked += len(text)
             continue
-        tag = token["tag"]
+        tag = token.tag
         if tag is None:
             continue
-        tag = tag.lower()
         if tag in INLINE:
             if tag == "a":
-                links = max(0, links + (-1 if token["end"] else 1))
+                links = max(0, links + (-1 if token.end else 1))
             elif tag == "br":
                 parts.append(" ")
             continue
         flush()
         if tag in VOID:
             continue
-        if token["end"]:
-            at = next((i for i in range(len(path) - 1, -1, -1) if path[i][0] == tag), None)
-            if at is not None:
-                del path[at:]
+        if token.end:
+            if stack.at[tag]:
+                stack.close(stack.at[tag][-1])
             links = 0
             continue
-        if path and path[-1][0] == "p":
-            path.pop()
-        for i in range(len(path) - 1, -1, -1):
-            if path[i][0] in CLOSES.get(tag, ()):
-                del path[i:]
-                break
-            if path[i][0] in ("ul", "ol", "dl", "table"):
-                break
-        values = [v for m in _MARK.finditer(token["attrs"]) for v in m.groups() if v]
-        names = tuple(dict.fromkeys(n for v in values for n in _NAME.findall(v.lower())))
-        path.append((tag, tuple("." + n for n in names)))
+        if stack.tags and stack.tags[-1] == "p":
+            stack.close(len(stack.tags) - 1)
+        if tag in CLOSES:
+            place = stack.nearest(CLOSES[tag])
+            if place > stack.nearest(("ul", "ol", "dl", "table")):
+                stack.close(place)
+        values = [v for m in _MARK.finditer(token.attrs) for v in m.groups() if v]
+        stack.open(tag, ["." + n for n in dict.fromkeys(n for v in values for n in _NAME.findall(v.lower()))])
     flush()
     return out
 
@@ -187,13 +291,11 @@ def _slot(name: str, dim: int) -> tuple[int, float]:
     return h % dim, 1.0 if h >> 31 else -1.0
 
 
-def vectors(found: list[tuple[str, tuple[str, ...], float]]) -> np.ndarray:
+def vectors(found: list[tuple[str, Path, float]]) -> np.ndarray:
     out = np.zeros((len(found), INPUT), np.float32)
     for i, (text, path, linked) in enumerate(found):
         row = out[i]
-        for name in dict.fromkeys(path):
-            at, sign = _slot(name, PATH_DIM)
-            row[at] += sign
+        row[:PATH_DIM] = path.vector
         words = text.split(" ")
         scale = max(8.0, len(words) / 8)
         for word in words:
