@@ -203,6 +203,9 @@ class Path:
             here = here.above
         return (name for names in reversed(parts) for name in names)
 
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Iterable) and tuple(self) == tuple(other)
+
     def __bool__(self) -> bool:
         return True
 
