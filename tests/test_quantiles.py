@@ -21,9 +21,9 @@ def _duck(values):
     return con.execute(f"SELECT {cols} FROM t").fetchone()
 
 
-def _check(spark, values, splitters):
+def _check(spark, values, splitters, levels=1):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = exact_quantiles(df, "x", PROBS, splitters).first()
+    got = exact_quantiles(df, "x", PROBS, splitters, levels).first()
     want = _duck([v for v in values if v is not None])
     for name, w in zip(PROBS, want):
         g = got[name]
@@ -64,10 +64,11 @@ def test_random_inputs(spark, values, buckets):
             st.sampled_from([-1e300, 0.0, 1e-300, 5e8]),
         ),
         max_size=60,
-    )
+    ),
+    levels=st.sampled_from([1, 2]),
 )
-def test_any_range_and_crowds(spark, values):
-    _check(spark, values, 4)
+def test_any_range_and_crowds(spark, values, levels):
+    _check(spark, values, 4, levels)
 
 
 def test_no_task_ranks_more_than_a_small_share(spark):
@@ -79,10 +80,10 @@ def test_no_task_ranks_more_than_a_small_share(spark):
     n = 200_000
     crowd = F.when(F.col("id") % 1000 == 0, F.col("id") * F.lit(1e12)).otherwise(F.lit(1.0) + F.col("id") * F.lit(1e-13))
     df = spark.range(n).select(crowd.alias("x"))
-    values = df.groupBy(F.col("x").alias("v")).agg(F.count("*").alias("c")).withColumn("g", F.lit(0).cast("long"))
-    largest = quantiles._split(values, 64).groupBy("b").count().agg(F.max("count")).first()[0]
+    values = df.groupBy(F.col("x").alias("v")).agg(F.count("*").alias("c"))
+    largest = quantiles._placed(values, 64).groupBy("g").count().agg(F.max("count")).first()[0]
     assert largest <= 3 * n / 64
-    got = quantiles.exact_quantiles(df, "x", PROBS, 64).first()
+    got = quantiles.exact_quantiles(df, "x", PROBS, 64, levels=2).first()
     want = sorted(r.x for r in df.collect())
     for name, p in PROBS.items():
         at = (n - 1) * p
