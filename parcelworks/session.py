@@ -57,6 +57,21 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     }
 
 
+def input_bytes(spark: SparkSession, paths: list[str]) -> int | None:
+    """Total size of files under ``paths`` via each path's Hadoop
+    filesystem (None when the JVM is not reachable, e.g. Spark Connect)."""
+    try:
+        sc = spark.sparkContext
+        jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    except Exception:  # Spark Connect: no JVM handle on the client
+        return None
+    total = 0
+    for p in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(p)
+        total += int(hpath.getFileSystem(conf).getContentSummary(hpath).getLength())
+    return total
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     value = spark.sparkContext.getCheckpointDir()

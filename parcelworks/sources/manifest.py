@@ -39,54 +39,55 @@ BYTE_ORDER_MARK = b"\xef\xbb\xbf"
 _BATCH_BYTES = 16 << 20
 
 
-class _FileHash:
-    """SHA-256 of a file from its lines, with and without a byte order mark before them."""
-
-    def __init__(self, size: int):
-        self.size, self.seen = size, -1
-        self.plain, self.marked = hashlib.sha256(), hashlib.sha256(BYTE_ORDER_MARK)
-
-    def add(self, lines: list[bytes]) -> None:
-        data = b"\n".join(lines)
-        if self.seen >= 0:
-            data = b"\n" + data
-        self.seen = max(self.seen, 0) + len(data)
-        self.plain.update(data)
-        self.marked.update(data)
-
-    def digest(self) -> str:
-        missing = self.size - self.seen
-        if missing not in (0, 1, 3, 4):
-            raise ValueError(f"{self.seen} bytes read of a file of {self.size}: it changed while it was read")
-        found = self.marked if missing >= 3 else self.plain
-        if missing in (1, 4):
-            found.update(b"\n")
-        return found.hexdigest()
-
-
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, sha256) of the files whose lines follow each other."""
-
-    def row(path: str, state: _FileHash) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"key": [path], "sha256": [state.digest()]})
-
-    path, state = None, None
-    for batch in batches:
-        paths = batch["key"].to_pylist()
-        lines, sizes = batch["line"].to_pylist(), batch["size"].to_pylist()
-        at = 0
-        while at < len(paths):
-            stop = at + 1
-            while stop < len(paths) and paths[stop] == paths[at]:
-                stop += 1
-            if paths[at] != path:
-                if path is not None:
-                    yield row(path, state)
-                path, state = paths[at], _FileHash(sizes[at])
-            state.add(lines[at:stop])
-            at = stop
-    if path is not None:
-        yield row(path, state)
+def _digester():
+    """The task's function: (key, sha256) of the files whose lines follow each other.
+
+    Nothing in it refers to this package, which the executors need not have."""
+    mark = BYTE_ORDER_MARK
+
+    class FileHash:
+        """SHA-256 of a file from its lines, with and without a byte order mark before them."""
+
+        def __init__(self, key: str, size: int):
+            self.key, self.size, self.seen = key, size, -1
+            self.plain, self.marked = hashlib.sha256(), hashlib.sha256(mark)
+
+        def add(self, lines: list[bytes]) -> None:
+            data = b"\n".join(lines)
+            if self.seen >= 0:
+                data = b"\n" + data
+            self.seen = max(self.seen, 0) + len(data)
+            self.plain.update(data)
+            self.marked.update(data)
+
+        def row(self) -> pa.RecordBatch:
+            missing = self.size - self.seen
+            if missing not in (0, 1, 3, 4):
+                raise ValueError(f"{self.seen} bytes read of a file of {self.size}: it changed while it was read")
+            found = self.marked if missing >= 3 else self.plain
+            if missing in (1, 4):
+                found.update(b"\n")
+            return pa.RecordBatch.from_pydict({"key": [self.key], "sha256": [found.hexdigest()]})
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            keys, sizes, lines = (batch[name].to_pylist() for name in ("key", "size", "line"))
+            at = 0
+            while at < len(keys):
+                stop = at + 1
+                while stop < len(keys) and keys[stop] == keys[at]:
+                    stop += 1
+                if held is None or held.key != keys[at]:
+                    if held is not None:
+                        yield held.row()
+                    held = FileHash(keys[at], sizes[at])
+                held.add(lines[at:stop])
+                at = stop
+        if held is not None:
+            yield held.row()
+
+    return digests
 
 
 def _streaming_session(spark: SparkSession, paths: list[str]) -> SparkSession:
@@ -117,7 +118,7 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", "true")
     lines = reader.option("lineSep", "\n").text(path)
     lines = lines.select(key, F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("line")).where(~is_packed)
-    streamed = lines.mapInArrow(_digests, "key string, sha256 string")
+    streamed = lines.mapInArrow(_digester(), "key string, sha256 string")
     packed = reader.format("binaryFile").load(path).select(key, "content").where(is_packed)
     known = streamed.unionByName(packed.select("key", F.sha2("content", 256).alias("sha256")))
     # files without a line have no row
