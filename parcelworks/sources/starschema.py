@@ -69,8 +69,9 @@ def _dates(column: str, first: int) -> tuple:
 
 
 def _numbers(column: str) -> tuple:
+    # the digit separator stands before few digits: DuckDB reads one before 17 digits or more as the end of the number
     forms = (
-        f"{column} || 'd'", f"{column} || 'F'", f"'1_0' || {column}", f"{column} || 'e-1'", f"'  ' || {column} || ' '",
+        f"{column} || 'd'", f"{column} || 'F'", f"'1_0' || substr({column}, 1, 8)", f"{column} || 'e-1'", f"'  ' || {column} || ' '",
         f"'1,' || {column}", "'-'", "''", f"'+' || {column}", "'abc'",
     )
     return tuple((19, n, column, form) for n, form in enumerate(forms, 1))
