@@ -417,6 +417,36 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score(empty, model).count() == 0
 
 
+def test_toxicity_learns_from_every_label(spark):
+    rng = random.Random(5)
+    marked = {1: range(0, 9000, 2), 0: range(1, 9000, 2)}
+    # the word of the texts that come last in a hash order of their ids
+    last = set(sorted(marked[1], key=lambda i: hashlib.md5(str(i).encode()).hexdigest())[4000:])
+    word = {i: "late" if i in last else "early" for i in marked[1]}
+    rows = [(i, " ".join([*(f"w{rng.randint(0, 50)}" for _ in range(4)), word.get(i, "calm")]), "en") for i in range(9000)]
+    frame = spark.createDataFrame([*rows, (10**6, "w1 w2 late", "en"), (10**6 + 1, "w1 w2 calm", "en")], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, y) for y, ids in marked.items() for i in ids], "doc_id long, toxic int")
+    blocks, share = toxicity.training_blocks(frame, marks, ~toxicity.held_out())
+    used = blocks.selectExpr("inline(arrays_zip(labels, lengths))").groupBy("labels").count().collect()
+    allowed = {y: sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in ids) for y, ids in marked.items()}
+    assert {r["labels"]: r["count"] for r in used} == allowed and min(allowed.values()) > 3000
+    scores = {r.doc_id: r._score for r in toxicity.score(frame.where("doc_id >= 1000000"), toxicity.fit_on(frame, marks)).collect()}
+    assert scores[10**6] >= 0.3 > scores[10**6 + 1]
+
+
+def test_toxicity_does_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK_WORDS", 300)
+    rng = random.Random(6)
+    rows = [(i, " ".join([*(f"w{rng.randint(0, 50)}" for _ in range(9)), "vile" if i % 3 == 0 else "fine"]), "en") for i in range(300)]
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    scores = []
+    for n in (1, 7):
+        frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(n)
+        assert toxicity.training_blocks(frame, marks, ~toxicity.held_out())[0].count() > 4
+        scores.append({r.doc_id: r._score for r in toxicity.score(frame, toxicity.fit_on(frame, marks)).collect()})
+    assert scores[0] == pytest.approx(scores[1], abs=1e-6)  # texts scored in other batches round otherwise
+
+
 def test_html_extraction(spark):
     pages = [
         (1, "u", '<html><body><nav><ul><li><a href="/a">Menu</a></li></ul></nav><article><h1>Title &amp; more</h1>'
