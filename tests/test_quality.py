@@ -1,10 +1,12 @@
 """Quality checks: clean input passes; each dirty row trips its check."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from parcelworks.operators import quality as Q
 from parcelworks.operators.marts import build_marts
 from parcelworks.operators.staging import stage_all
+from parcelworks.session import configure
 from parcelworks.sources.csv import read_raw_tables
 
 
@@ -126,3 +128,13 @@ def test_quality_job_writes_report_before_gate(spark, clean_dir, tmp_path):
     assert written.count() == 9
     assert {r.name: r.failures for r in written.collect()} == EXPECTED_DIRTY
     assert printed[0] == "check 1 of 9, duplicate_order_ids: 1 failing"
+
+
+def test_a_small_shuffle_is_spread_over_the_cores(spark):
+    own = spark.newSession()
+    configure(own)
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    own.conf.set("spark.sql.shuffle.partitions", "32")
+    keys = own.range(2_000_000).selectExpr("md5(cast(id as string)) AS order_id").groupBy("order_id").count()
+    used = keys.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert used >= min(4, own.sparkContext.defaultParallelism)
