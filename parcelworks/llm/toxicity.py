@@ -128,10 +128,10 @@ class Model:
     def pooled(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The maxima of all filters (before the bias) per text."""
         n = len(ids) - max(WIDTHS)
-        found, vectors = [], _vectors(self.embed, ids)
+        found, vectors = [], _vectors(self.embed, ids).astype(float)
         for width in WIDTHS:
             weight = self.filters[width].reshape(width, DIM, FILTERS)
-            value = np.zeros((n, FILTERS), np.float32)
+            value = np.zeros((n, FILTERS))
             for j in range(width):
                 value += vectors[j : j + n] @ weight[j]
             value[_crossing(starts, width)] = -np.inf
@@ -151,7 +151,8 @@ class Model:
             hidden = np.maximum(self.pooled(*_join(texts[lo:hi])) + bias, 0)
             out.append(hidden @ self.out + self.out_bias)
             lo = hi
-        return np.concatenate(out).astype(float) if out else np.zeros(0)
+        # rounded, so that a text's score does not depend on the texts scored with it
+        return np.round(np.concatenate(out), 9) if out else np.zeros(0)
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
         if self.constant is not None:
