@@ -11,19 +11,23 @@ components by distributed union-find.  Of all occurrences of a component's
 lines the first (least doc_id, null last, then text hash and line number) is kept.
 
 Defined results: null text counts as empty; a document without lines keeps
-none and loses none; blank lines stay; repeated rows (equal doc_id and text)
-are told apart by a stored row number, and one of them keeps the line; a very long
-line is one line; an empty table gives no rows; extra columns are ignored.
+none and loses none; blank lines stay; of repeated rows (equal doc_id and text)
+one keeps the lines; a very long line is one line; an empty table gives no rows;
+extra columns are ignored.
+
+No copy of the texts is stored: places of lines carry their document's id and
+text hash, and the texts are read again for the candidates and for the result.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import own_columns, stored
@@ -32,10 +36,17 @@ from .linking import distinct_lists, link_components, profiles_of
 GRAM = 10
 BANDS, ROWS = 8, 3
 PERCENT = 80
-_BLOCK = 1 << 21  # bytes of lines hashed at once
+_BLOCK = 1 << 16  # bytes of lines hashed at once, few enough for a core's cache
+_BLANK = b" \t\x0b\f\r"
+_BLANKS = _BLANK.decode()
+_PLACES = 1 << 16  # lines a batch returns at once
+_DOCUMENT = ["none", "doc", "tid"]
+_ID = ["high", "low"]
+_KEYS = [f"key_{band}" for band in range(BANDS)]
 _RNG = np.random.default_rng(17)
 _ODD = _RNG.integers(1, 1 << 62, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_SQUARE, _FOURTH = (np.uint64(pow(int(_BASE), n, 1 << 64)) for n in (2, 4))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -47,11 +58,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def grams_of(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of all lines, and where each line's begin."""
     size = np.array([max(len(x), GRAM) for x in lines])
-    data = np.frombuffer(b"".join(x if len(x) >= GRAM else x.ljust(GRAM, b"\0") for x in lines), np.uint8)
-    value = np.zeros(len(data) - GRAM + 1, np.uint64)
-    for j in range(GRAM):
-        value *= _BASE
-        value += data[j : len(data) - GRAM + 1 + j]
+    data = np.frombuffer(b"".join(x if len(x) >= GRAM else x.ljust(GRAM, b"\0") for x in lines), np.uint8).astype(np.uint64)
+    # the polynomial of GRAM = 10 bytes from those of 2, 4 and 8
+    two = data[:-1] * _BASE + data[1:]
+    four = two[:-2] * _SQUARE + two[2:]
+    eight = four[:-4] * _FOURTH + four[4:]
+    value = eight[: len(data) - GRAM + 1] * _SQUARE + two[8:]
     ends = np.cumsum(size)
     inside = np.ones(len(data), bool)
     for j in range(1, GRAM):
@@ -64,9 +76,11 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
     """(lines, BANDS) keys; equal keys of a band mean equal MinHash values in its rows."""
     grams, starts = grams_of(lines)
     keys = np.zeros((len(lines), BANDS), np.uint64)
+    made = np.empty_like(grams)
     for band in range(BANDS):
         for row in range(ROWS):
-            least = np.minimum.reduceat(grams * _ODD[band * ROWS + row] >> np.uint64(16), starts)
+            np.multiply(grams, _ODD[band * ROWS + row], out=made)
+            least = np.minimum.reduceat(made, starts) >> np.uint64(16)
             keys[:, band] = _mix(keys[:, band] * _BASE + least)
         keys[:, band] = _mix(keys[:, band] + np.uint64(band + 1))
     return keys
@@ -86,79 +100,109 @@ def shingles(line: str) -> set[bytes]:
     return {raw[j : j + GRAM] for j in range(len(raw) - GRAM + 1)}
 
 
-def _lines(rows: DataFrame, *keep: str) -> DataFrame:
-    """Non-blank lines of ``rows`` (with text): line_no, line, id."""
-    exploded = rows.select(*keep, F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    line = F.btrim("raw", F.lit(" \t\x0b\f\r"))
-    lines = exploded.select(*keep, "line_no", line.alias("line")).where("line <> ''")
-    return lines.withColumn("id", F.unhex(F.md5("line")))
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with what tells them apart, free of nulls: none (no doc_id), doc, tid; and text."""
+    rows = own_columns(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    doc = F.coalesce("doc_id", F.lit("0").cast(rows.schema["doc_id"].dataType))
+    return rows.select(F.col("doc_id").isNull().alias("none"), doc.alias("doc"), F.xxhash64("text").alias("tid"), "text")
+
 
+def _places(rows: DataFrame) -> DataFrame:
+    """Every line that is not blank: its document and number, MD5 (in two halves) and band keys."""
 
-def _signatures(rows: DataFrame) -> DataFrame:
-    """id and band keys of every distinct line."""
+    def signed(lines: list[bytes]) -> np.ndarray:
+        made, part, held = [np.zeros((0, BANDS), np.uint64)], [], 0
+        for number, line in enumerate(lines, 1):
+            part.append(line)
+            held += len(line)
+            if held >= _BLOCK or number == len(lines):
+                made.append(band_keys(part))
+                part, held = [], 0
+        return np.concatenate(made).view(np.int64)
+
+    def lines_of(texts):
+        for at, text in enumerate(texts):
+            for number, raw in enumerate(text.as_py().split(b"\n")):
+                line = raw.strip(_BLANK)
+                if line:
+                    yield at, number, line
 
     def sign(batches):
         for batch in batches:
-            found: dict[bytes, bytes] = {}
-            for text in batch["text"]:
-                for raw in text.encode("utf-8").split(b"\n"):
-                    line = raw.strip(b" \t\x0b\f\r")
-                    if line:
-                        found.setdefault(hashlib.md5(line).digest(), line)
-            ids, part, held = [], [], 0
-            for number, (key, line) in enumerate(found.items(), 1):
-                ids.append(key)
-                part.append(line)
-                held += len(line)
-                if held >= _BLOCK or number == len(found):
-                    keys = band_keys(part).view(np.int64)
-                    yield pd.DataFrame({"id": ids, "keys": list(keys)})
-                    ids, part, held = [], [], 0
-
-    signed = rows.select("text").mapInPandas(sign, "id binary, keys array<long>")
-    return signed.groupBy("id").agg(F.first("keys").alias("keys"))
+            rest = lines_of(batch["text"])
+            while part := list(islice(rest, _PLACES)):
+                owner, numbers, lines = zip(*part, strict=True)
+                found: dict[bytes, int] = {}
+                which = np.array([found.setdefault(line, len(found)) for line in lines])
+                halves = np.frombuffer(b"".join(hashlib.md5(line).digest() for line in found), np.int64).reshape(-1, 2)
+                keys = signed(list(found))
+                own = batch.select(_DOCUMENT).take(pa.array(owner, pa.int32()))
+                longs = [pa.array(np.ascontiguousarray(c[which])) for c in (*halves.T, *keys.T)]
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(numbers, pa.int32()), *longs], names=names)
+
+    names = [*_DOCUMENT, "line_no", *_ID, *_KEYS]
+    kind = rows.schema["doc"].dataType.simpleString()
+    longs = ", ".join(f"{name} long" for name in (*_ID, *_KEYS))
+    schema = f"none boolean, doc {kind}, tid long, line_no int, {longs}"
+    return rows.select(*_DOCUMENT, F.col("text").cast("binary").alias("text")).mapInArrow(sign, schema)
+
+
+def _contents(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """(id, content): the text of each line of ``lines`` (number and one of its places)."""
+    wanted = lines.groupBy(*_DOCUMENT).agg(F.collect_list(F.struct("line_no", "number")).alias("wanted"))
+    found = rows.join(stored(wanted, "wanted-lines"), _DOCUMENT)
+    parts = F.split("text", "\n")
+    taken = F.transform("wanted", lambda w: F.struct(w["number"].alias("id"), F.btrim(F.get(parts, w["line_no"]), F.lit(_BLANKS)).alias("content")))
+    # rows that repeat doc_id and text give equal contents
+    return found.select(F.inline(taken)).groupBy("id").agg(F.first("content").alias("content"))
 
 
 def duplicate_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents with a row number: row, doc_id, text; lines to remove: row, line_no)."""
-    rows = own_columns(docs, "doc_id", "text").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row")
-    )
-    rows = stored(rows, "numbered-rows")  # the numbers must be the same wherever they are read
-    distinct = stored(_signatures(rows).select(F.monotonically_increasing_id().alias("number"), "*"), "line-signatures")
-    made = distinct.select(F.explode("keys").alias("key"), F.col("number").alias("id"))
-    shared = made.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    listed = stored(made.join(shared, "key"), "line-lists")
-    involved = listed.select(F.col("id").alias("number")).distinct().join(distinct.select("number", "id"), "number")
-    involved = stored(involved, "line-candidates")
-    contents = _lines(rows).select("id", "line").join(involved, "id").groupBy("number").agg(F.first("line").alias("content"))
-    contents = stored(contents.select(F.col("number").alias("id"), "content"), "line-texts")
+    """(documents: none, doc, tid, text; lines to remove: none, doc, tid, gone).
+
+    Rows that repeat doc_id and text share their ``gone``; it is that of the one which keeps the lines."""
+    rows = _numbered(docs)
+    places = stored(_places(rows), "line-places")
+    lines = places.groupBy(*_ID).agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in (*_DOCUMENT, "line_no", *_KEYS)])
+    lines = stored(lines.select(F.monotonically_increasing_id().alias("number"), "*"), "lines")
+    made = lines.select(F.explode(F.array(*_KEYS)).alias("key"), F.col("number").alias("id"))
+    counted = made.withColumn("n", F.count("*").over(Window.partitionBy("key")))
+    listed = stored(counted.where("n > 1").select("key", "id"), "line-lists")
+    involved = listed.select(F.col("id").alias("number")).distinct()
+    contents = stored(_contents(rows, lines.drop(*_KEYS).join(involved, "number")), "line-texts")
     profiles = stored(profiles_of(contents, gram_sets), "line-profiles")
     postings = listed.join(distinct_lists(listed), "key").join(profiles.select("id", "size"), "id")
     roots, _ = link_components(stored(postings, "line-postings"), contents, profiles, gram_sets, shingles, PERCENT)
-    named = stored(involved.join(roots, F.col("number") == F.col("node")).select("id", "root"), "line-components")
-    hashed = rows.withColumn("hash", F.xxhash64("text"))
-    places = _lines(hashed, "doc_id", "hash", "row").select("doc_id", "hash", "row", "line_no", "id")
-    places = stored(places, "line-places")
-    grouped = places.join(named, "id", "left").withColumn("group", F.coalesce(F.col("root").cast("string"), F.hex("id")))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row", "line_no")
-    firsts = grouped.groupBy("group").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    firsts = stored(firsts.select("group", "first"), "line-firsts")
-    removed = grouped.join(firsts, "group").where(place != F.col("first")).select("row", "line_no")
-    return rows, stored(removed.distinct(), "lines-removed")
+    # only lines that occur again or have a link can lose an occurrence
+    grouped = lines.select("number", *_ID, "n").join(roots, F.col("number") == F.col("node"), "left")
+    grouped = grouped.where("n > 1 or root is not null").select(*_ID, F.coalesce("root", "number").alias("group"))
+    grouped = places.select(*_DOCUMENT, "line_no", *_ID).join(stored(grouped, "line-groups"), _ID).drop(*_ID)
+    grouped = stored(grouped, "grouped-places")
+    place = F.struct(*_DOCUMENT, "line_no")
+    firsts = stored(grouped.groupBy("group").agg(F.min(place).alias("first")), "line-firsts")
+    removed = grouped.join(firsts, "group").where(place != F.col("first"))
+    return rows, stored(removed.groupBy(*_DOCUMENT).agg(F.collect_set("line_no").alias("gone")), "lines-removed")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_lines (not blank), n_removed, text (what is left)."""
     rows, removed = duplicate_lines(docs)
-    per_row = removed.groupBy("row").agg(F.collect_set("line_no").alias("gone"))
-    found = rows.join(stored(per_row, "removed-by-row"), "row", "left")
+    # of rows that repeat doc_id and text, the second and later ones keep no line
+    copy = F.row_number().over(Window.partitionBy(*_DOCUMENT).orderBy("tid"))
+    found = rows.join(removed, _DOCUMENT, "left").withColumn("copy", copy)
     parts = F.split("text", "\n")
-    kept = F.filter(parts, lambda line, at: ~F.array_contains("gone", at))
-    blank = F.filter(parts, lambda line: F.btrim(line, F.lit(" \t\x0b\f\r")) != "")
+
+    def written(line):
+        return F.btrim(line, F.lit(_BLANKS)) != ""
+
+    rest = F.filter(parts, lambda line, at: ~F.array_contains("gone", at))
+    blank = F.filter(parts, lambda line: ~written(line))
+    n_lines = F.size(F.filter(parts, written)).cast("long")
+    n_removed = F.coalesce(F.size("gone"), F.lit(0)).cast("long")
+    left = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
     return found.select(
-        "doc_id",
-        F.size(blank).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        F.when(~F.col("none"), F.col("doc")).alias("doc_id"),
+        n_lines.alias("n_lines"),
+        F.when(F.col("copy") > 1, n_lines).otherwise(n_removed).alias("n_removed"),
+        F.when(F.col("copy") > 1, F.array_join(blank, "\n")).otherwise(left).alias("text"),
     )

@@ -372,6 +372,16 @@ def test_line_dedup_counts(spark):
     assert want == collections.Counter(tuple(r) for r in line_dedup.dedup_lines(frame).collect())
 
 
+def test_line_dedup_stores_no_texts(spark, tmp_path, monkeypatch):
+    """What is stored grows with the number of lines, not with the texts."""
+    rng = random.Random(22)
+    texts = ["\n".join(rng.randbytes(2000).hex() for _ in range(5)) for _ in range(100)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    monkeypatch.setattr("parcelworks.llm.common.shared_dir", lambda _: str(tmp_path))
+    assert line_dedup.dedup_lines(frame).where("n_lines = 5 and n_removed = 0").count() == len(texts)
+    assert 0 < sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < 0.3 * sum(map(len, texts))
+
+
 def test_mixing(docs, empty):
     taken = mixing.mix(docs, share=0.5, epochs=2)
     assert taken.columns[: len(docs.columns)] == docs.columns
