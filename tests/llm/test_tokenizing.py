@@ -55,3 +55,33 @@ def test_words_joined_or_alone_give_the_same_ids():
     texts += [" ".join(f"w{k * 7919 % 3001}x{k}" for k in range(1200))]
     for text, packed in zip(texts, word_encoder(path)(texts), strict=True):
         assert np.frombuffer(packed, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize(("name", "joined"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_a_known_piece_is_looked_up_once(name, joined, monkeypatch):
+    from tokenizers import Tokenizer
+
+    hashed = []
+
+    class Piece(bytes):
+        def __hash__(self):
+            hashed.append(self)
+            return bytes.__hash__(self)
+
+        __eq__ = bytes.__eq__
+
+    path = public_tokenizers.path(name)
+    split = tokenizing._PIECE.findall if joined else bytes.split
+    texts = [" ".join(f"q{k * 31 % 97}z" for k in range(n)) for n in (300, 0, 200)]
+
+    def encode(part):
+        return tokenizing._encode(path, part, lambda raw: [Piece(p) for p in split(raw)], joined)
+
+    first = encode(texts)
+    hashed.clear()
+    assert encode(texts) == first and len(hashed) == sum(len(split(t.encode())) for t in texts)
+    plain = Tokenizer.from_file(path)
+    assert [np.frombuffer(x, "<u4").tolist() for x in first] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(tokenizing, "_PIECE_LIMIT", 10)  # what was kept is forgotten and met again
+    for _ in range(2):
+        assert encode(texts + ["other words"])[:3] == first
