@@ -57,31 +57,40 @@ _BLOCK_WORDS = 100_000
 _UNIT = 1 << 24  # changes of the model are summed in this fraction
 _BINS = 64  # calibration logits are counted in this fraction
 _CACHE_LIMIT = 300_000
+_CELLS = 1 << 27  # at most so many bits tell the labelled doc_ids from the others before the texts are shuffled
 
 
 PARTS = 1 + len(PREFIXES)
 
 
 class Vocabulary(dict):
-    """Word -> row of ``rows``, which holds the buckets of the word and its prefixes."""
+    """Word -> row of ``table``, which holds the buckets of the word and its prefixes."""
 
     def __init__(self):
-        self.rows = [np.zeros(PARTS, np.int32)]  # row 0 is padding
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.table = np.zeros((1 << 12, PARTS), np.int32)  # row 0 is padding; room for more words behind the last one
+        self.fresh: list[int] = []  # buckets of the words that are not in the table yet
 
     def __missing__(self, word: bytes) -> int:
-        at = self[word] = len(self.rows)
-        parts = [word, *(b"^" + word[:n] for n in PREFIXES)]
-        self.rows.append(np.array([1 + zlib.crc32(p) % (BUCKETS - 1) for p in parts], np.int32))
+        at = self[word] = len(self) + 1
+        self.fresh += [1 + zlib.crc32(p) % (BUCKETS - 1) for p in (word, *(b"^" + word[:n] for n in PREFIXES))]
         return at
 
     def read(self, texts) -> list[np.ndarray]:
         if len(self) > _CACHE_LIMIT:  # between batches, so rows in use never change
-            self.clear()
-            del self.rows[1:]
+            self.forget()
         words = [(t or "").encode("utf-8").lower().translate(None, _PUNCT).split() for t in texts]
         found = [np.fromiter(map(self.__getitem__, w), np.int64, len(w)) for w in words]
-        table = np.stack(self.rows)
-        return [table[f] for f in found]
+        end = len(self) + 1
+        if end > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros((end, PARTS), np.int32)])
+        made = np.array(self.fresh, np.int32).reshape(-1, PARTS)
+        self.table[end - len(made) : end] = made
+        self.fresh = []
+        return [self.table[f] for f in found]
 
 
 _WORDS = Vocabulary()
@@ -298,6 +307,28 @@ def _best_cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> fl
     return float(np.median(where))
 
 
+def _labelled(docs: DataFrame, marks: DataFrame, n: int) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is one of the ``n`` in ``marks``, and a few others (those that share a bit with one)."""
+    if docs.schema["doc_id"].dataType != marks.schema["doc_id"].dataType:
+        return docs
+    cells = min(_CELLS, max(1 << 15, 1 << (16 * n).bit_length()))
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(cells))
+    # numbered from 1; cells of a bucket meet before they are combined, so a task makes no bitmap that another makes too
+    places = marks.select((cell + 1).alias("cell")).select("cell", F.bitmap_bucket_number("cell").alias("bucket")).repartition("bucket")
+    found = places.groupBy("bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits")).toArrow()
+    table = np.zeros((cells >> 15, 1 << 12), np.uint8)
+    for bucket, bits in zip(found["bucket"].to_pylist(), found["bits"].to_pylist(), strict=True):
+        table[bucket - 1] = np.frombuffer(bits, np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(table.ravel())  # 16 MB at most
+
+    @F.pandas_udf("boolean")
+    def marked(cells: pd.Series) -> pd.Series:
+        at = cells.to_numpy()
+        return pd.Series(shared.value[at >> 3] >> (at & 7) & 1 == 1)
+
+    return docs.where(marked(cell))
+
+
 def training_blocks(docs: DataFrame, labels: DataFrame, allowed: Column) -> tuple[DataFrame | None, float]:
     """Every labelled text where ``allowed`` holds, in blocks (held, slice, words, codes, lengths, labels, langs), and the
     share of label 1 among the labels.
@@ -314,7 +345,8 @@ def training_blocks(docs: DataFrame, labels: DataFrame, allowed: Column) -> tupl
     # about six bytes a word, and as many labelled texts as labels
     sizes = docs.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
     blocks = 1 + (sizes["bytes"] or 0) * min(sum(totals.values()), sizes["rows"]) // (max(sizes["rows"], 1) * 6 * BLOCK_WORDS)
-    # of texts that share a doc_id the one with the least hash, found before the join: one row a doc_id and task is shuffled
+    # of texts that share a doc_id the one with the least hash, found before the join: one row a labelled doc_id and task is shuffled
+    docs = _labelled(docs, marks, sum(totals.values()))
     found = docs.groupBy("doc_id").agg(F.min_by(F.struct("text", "lang"), F.struct(F.xxhash64("text"), "lang")).alias("one"))
     found = found.select("doc_id", "one.*").join(marks, "doc_id")
     dealt = found.select(

@@ -444,6 +444,50 @@ def test_toxicity_learns_from_every_label(spark):
     assert scores[10**6] >= 0.3 > scores[10**6 + 1]
 
 
+def _shuffled_rows(plan) -> list[int]:
+    """Rows written by each shuffle of a plan that has run."""
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return _shuffled_rows(plan.executedPlan())
+    if plan.getClass().getSimpleName().endswith("QueryStageExec"):
+        return _shuffled_rows(plan.plan())
+    own = [plan.metrics().apply("shuffleRecordsWritten").value()] if plan.getClass().getSimpleName() == "ShuffleExchangeExec" else []
+    return own + [n for k in range(plan.children().size()) for n in _shuffled_rows(plan.children().apply(k))]
+
+
+def test_toxicity_shuffles_labelled_texts_only(spark, monkeypatch):
+    rows = [(i, f"w{i} w{i % 7}", "en") for i in range(4000)]
+    # a doc_id may have several texts
+    frame = spark.createDataFrame([*rows, *[(i, f"other{i}", "de") for i in range(0, 400, 2)]], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, i // 20 % 2) for i in range(0, 4000, 20)], "doc_id long, toxic int")
+    seen, keep = {}, toxicity.stored
+
+    def watched(df, name):
+        df.collect()
+        seen[name] = _shuffled_rows(df._jdf.queryExecution().executedPlan())
+        return keep(df, name)
+
+    monkeypatch.setattr(toxicity, "stored", watched)
+    blocks, _ = toxicity.training_blocks(frame.repartition(2), marks, ~toxicity.held_out())
+    allowed = [i for i in range(0, 4000, 20) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert blocks.selectExpr("inline(arrays_zip(labels, lengths))").count() == len(allowed)
+    assert seen["training-blocks"] and max(seen["training-blocks"]) < 4 * len(allowed)
+
+
+def test_toxicity_vocabulary(monkeypatch):
+    """Batches that add words, add none or start anew give the buckets of every word; known words are not gathered again."""
+    monkeypatch.setattr(toxicity, "_CACHE_LIMIT", 9000)
+    words, rng = toxicity.Vocabulary(), random.Random(8)
+    for step in range(12):
+        texts = [" ".join(f"Wo.rd{rng.randint(0, 1000 * step)}" for _ in range(rng.randint(0, 1500))) for _ in range(4)] * (step % 3)
+        for text, found in zip([*texts, None, ""], words.read([*texts, None, ""]), strict=True):
+            parts = [[w, *("^" + w[:n] for n in (4, 5, 6))] for w in (text or "").lower().replace(".", "").split()]
+            want = [[1 + zlib.crc32(p.encode()) % (toxicity.BUCKETS - 1) for p in word] for word in parts]
+            assert found.shape == (len(want), 4) and found.tolist() == want
+    table = words.table
+    words.read([texts[0]])
+    assert words.table is table
+
+
 def test_toxicity_does_not_depend_on_partitions(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "BLOCK_WORDS", 300)
     rng = random.Random(6)
