@@ -90,14 +90,19 @@ def gram_sets(lines: list[str]) -> Iterator[np.ndarray]:
     """Of each line, the distinct hashes of its shingles."""
     if len(lines):
         grams, starts = grams_of([line.encode("utf-8") for line in lines])
-        yield from map(np.unique, np.split(grams, starts[1:]))
+        for found in np.split(grams, starts[1:]):
+            found.sort()
+            new = np.ones(len(found), bool)
+            np.not_equal(found[1:], found[:-1], out=new[1:])
+            yield found[new]
 
 
 def shingles(line: str) -> set[bytes]:
     raw = line.encode("utf-8")
     if len(raw) < GRAM:
         raw = raw.ljust(GRAM, b"\0")
-    return {raw[j : j + GRAM] for j in range(len(raw) - GRAM + 1)}
+    # all shingles are GRAM bytes long, so the zero bytes that numpy leaves out at an end tell none from another
+    return set(np.ndarray(len(raw) - GRAM + 1, f"S{GRAM}", raw, strides=1).tolist())
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -151,10 +156,13 @@ def _contents(rows: DataFrame, lines: DataFrame) -> DataFrame:
     """(id, content): the text of each line of ``lines`` (number and one of its places)."""
     wanted = lines.groupBy(*_DOCUMENT).agg(F.collect_list(F.struct("line_no", "number")).alias("wanted"))
     found = rows.join(stored(wanted, "wanted-lines"), _DOCUMENT)
-    parts = F.split("text", "\n")
-    taken = F.transform("wanted", lambda w: F.struct(w["number"].alias("id"), F.btrim(F.get(parts, w["line_no"]), F.lit(_BLANKS)).alias("content")))
-    # rows that repeat doc_id and text give equal contents
-    return found.select(F.inline(taken)).groupBy("id").agg(F.first("content").alias("content"))
+
+    def taken(parts):
+        return F.transform("wanted", lambda w: F.struct(w["number"].alias("id"), F.btrim(F.get(parts, w["line_no"]), F.lit(_BLANKS)).alias("content")))
+
+    # the array around the parts has each text split once, not once a line; rows that repeat doc_id and text give equal contents
+    each = F.flatten(F.transform(F.array(F.split("text", "\n")), taken))
+    return found.select(F.inline(each)).groupBy("id").agg(F.first("content").alias("content"))
 
 
 def duplicate_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -162,9 +170,9 @@ def duplicate_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Rows that repeat doc_id and text share their ``gone``; it is that of the one which keeps the lines."""
     rows = _numbered(docs)
-    places = stored(_places(rows), "line-places")
+    places = stored(_places(rows), "line-places", hashes=[*_ID, *_KEYS])
     lines = places.groupBy(*_ID).agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in (*_DOCUMENT, "line_no", *_KEYS)])
-    lines = stored(lines.select(F.monotonically_increasing_id().alias("number"), "*"), "lines")
+    lines = stored(lines.select(F.monotonically_increasing_id().alias("number"), "*"), "lines", hashes=["number", *_ID, *_KEYS])
     made = lines.select(F.explode(F.array(*_KEYS)).alias("key"), F.col("number").alias("id"))
     counted = made.withColumn("n", F.count("*").over(Window.partitionBy("key")))
     listed = stored(counted.where("n > 1").select("key", "id"), "line-lists")
@@ -193,7 +201,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     parts = F.split("text", "\n")
 
     def written(line):
-        return F.btrim(line, F.lit(_BLANKS)) != ""
+        return F.ltrim(line, F.lit(_BLANKS)) != ""
 
     rest = F.filter(parts, lambda line, at: ~F.array_contains("gone", at))
     blank = F.filter(parts, lambda line: ~written(line))

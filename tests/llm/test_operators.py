@@ -372,6 +372,24 @@ def test_line_dedup_counts(spark):
     assert want == collections.Counter(tuple(r) for r in line_dedup.dedup_lines(frame).collect())
 
 
+def test_line_dedup_sets_are_exact_and_cheap(monkeypatch):
+    """The sets of many short lines, zero bytes included, against slices; one sort a line, without numpy's set functions."""
+    rng = random.Random(23)
+    lines = ["".join(rng.choice("ab\0é") for _ in range(rng.randint(1, 60))) for _ in range(400)] + ["ab", "ab\0", "\0" * 25]
+    calls, unique = [], np.unique
+    monkeypatch.setattr(np, "unique", lambda *a, **k: calls.append(1) or unique(*a, **k))
+    hashed = list(line_dedup.gram_sets(lines))
+    assert not calls
+    sets = []
+    for line in lines:
+        raw = line.encode().ljust(10, b"\0")
+        sets.append({raw[j : j + 10] for j in range(len(raw) - 9)})
+    assert [len(h) for h in hashed] == [len(s) for s in sets] and all((np.diff(h.astype(object)) > 0).all() for h in hashed)
+    for a, b in zip(range(len(lines)), rng.sample(range(len(lines)), len(lines)), strict=True):
+        x, y = line_dedup.shingles(lines[a]), line_dedup.shingles(lines[b])
+        assert (len(x), len(y), len(x & y)) == (len(sets[a]), len(sets[b]), len(sets[a] & sets[b]))
+
+
 def test_line_dedup_stores_no_texts(spark, tmp_path, monkeypatch):
     """What is stored grows with the number of lines, not with the texts."""
     rng = random.Random(22)
