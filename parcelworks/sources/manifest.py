@@ -1,16 +1,20 @@
 """SRC3 / SNK5: fingerprint the raw input files.
 
 One row per input file: logical table, base file name (never the local
-path), byte size and SHA-256.  Files of every size take one path: Spark's
-line reader (so the session's own filesystem and credentials) streams each
-file to one task, which feeds the bytes to the hash batch by batch.  Memory
-is bounded by a batch or the longest run of bytes without a line feed; no
-file is loaded whole and none is too large.
-
-The reader's scan settings keep a file in one task and deal small files
-together; they live in a session of their own, so the caller's stay as they
-are.  It drops the line feeds, and a byte order mark at the start of a file;
-the file's size tells which of them were there.
+path), byte size and SHA-256.  Spark's line reader (so the session's own
+filesystem and credentials) streams the bytes into the hash batch by batch.
+A file of up to ``PIECE`` bytes is read by one task, which may read several.
+A larger one is cut into Spark's own splits, one task each: SHA-256 takes its
+bytes in order, so a file's tasks follow one another and hand the state of the
+hash on, while those of other files run beside them; a pass before that finds
+the splits, so these files are read twice.  Memory is bounded by a
+batch or the longest run of bytes without a line feed; no file is loaded whole
+and none is too large.
+
+The reader's scan settings keep small files whole and deal them together;
+they live in sessions of their own, so the caller's stay as they are.  It
+drops the line feeds, and a byte order mark at the start of a file; the file's
+size tells which of them were there.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -37,20 +42,51 @@ LICENSE = "CC-BY-NC-SA-4.0"
 COMPRESSED = r"(?i)\.(gz|gzip|bz2|deflate|lz4|snappy|zst|zstd|xz)$"
 BYTE_ORDER_MARK = b"\xef\xbb\xbf"
 _BATCH_BYTES = 16 << 20
+PIECE = 128 << 20  # bytes one task reads, Spark's default split
+_FILES_AT_ONCE = 1000  # files whose pieces one job takes
 
 
-def _digester():
-    """The task's function: (key, sha256) of the files whose lines follow each other.
+def _hashing():
+    """The classes Resumable and FileHash.
 
-    Nothing in it refers to this package, which the executors need not have."""
+    Nothing in them refers to this package, which the executors need not have."""
     mark = BYTE_ORDER_MARK
 
+    class Resumable:
+        """SHA-256 whose state is bytes that another task can go on from.
+
+        hashlib keeps its state to itself, so its library (libcrypto) is called: SHA256_CTX is a plain structure."""
+
+        def __init__(self, state: bytes | None = None):
+            import _hashlib
+            import ctypes
+
+            self.library = ctypes.CDLL(_hashlib.__file__)
+            self.library.SHA256_Update.argtypes = [ctypes.c_void_p, ctypes.c_char_p, ctypes.c_size_t]
+            self.own = ctypes.create_string_buffer(state or bytes(112), 112)
+            if state is None:
+                self.library.SHA256_Init(self.own)
+
+        def update(self, data: bytes) -> None:
+            self.library.SHA256_Update(self.own, data, len(data))
+
+        def state(self) -> bytes:
+            return self.own.raw
+
+        def hexdigest(self) -> str:
+            import ctypes
+
+            digest, last = ctypes.create_string_buffer(32), ctypes.create_string_buffer(self.own.raw, 112)
+            self.library.SHA256_Final(digest, last)
+            return digest.raw.hex()
+
     class FileHash:
         """SHA-256 of a file from its lines, with and without a byte order mark before them."""
 
-        def __init__(self, key: str, size: int):
+        def __init__(self, key: str, size: int, made=hashlib.sha256):
             self.key, self.size, self.seen = key, size, -1
-            self.plain, self.marked = hashlib.sha256(), hashlib.sha256(mark)
+            self.plain, self.marked = made(), made()
+            self.marked.update(mark)
 
         def add(self, lines: list[bytes]) -> None:
             data = b"\n".join(lines)
@@ -60,14 +96,30 @@ def _digester():
             self.plain.update(data)
             self.marked.update(data)
 
-        def row(self) -> pa.RecordBatch:
+        def hexdigest(self) -> str:
             missing = self.size - self.seen
             if missing not in (0, 1, 3, 4):
                 raise ValueError(f"{self.seen} bytes read of a file of {self.size}: it changed while it was read")
             found = self.marked if missing >= 3 else self.plain
             if missing in (1, 4):
                 found.update(b"\n")
-            return pa.RecordBatch.from_pydict({"key": [self.key], "sha256": [found.hexdigest()]})
+            return found.hexdigest()
+
+        def row(self) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"key": [self.key], "sha256": [self.hexdigest()]})
+
+        def state(self) -> tuple[int, bytes, bytes]:
+            return self.seen, self.plain.state(), self.marked.state()
+
+        def resume(self, seen: int, plain: bytes, marked: bytes) -> None:
+            self.seen, self.plain, self.marked = seen, Resumable(plain), Resumable(marked)
+
+    return Resumable, FileHash
+
+
+def _digester():
+    """The task's function: (key, sha256) of the files whose lines follow each other."""
+    _, FileHash = _hashing()
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -90,12 +142,103 @@ def _digester():
     return digests
 
 
-def _streaming_session(spark: SparkSession, paths: list[str]) -> SparkSession:
-    """A session whose scans read every file under ``paths`` in one task."""
-    largest = _listed(spark, paths).agg(F.max("length")).first()[0] or 0
+def _link(held: dict[str, tuple]):
+    """The task's function: the lines of one piece added to its file's hash.
+
+    ``held``: key -> (size, start of the last piece, state of the hash after it)."""
+    Resumable, FileHash = _hashing()
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = place = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, starts = (batch[name].unique().to_pylist() for name in ("key", "start"))
+            if found is None:
+                place = keys, starts
+                size, last, state = held[keys[0]]
+                found = FileHash(keys[0], size, Resumable)
+                if state is not None:
+                    found.resume(*state)
+            if (keys, starts) != place or len(keys) > 1 or len(starts) > 1 or starts[0] <= last:
+                raise ValueError(f"the pieces of {keys} are not read in their order")
+            found.add(batch["line"].to_pylist())
+        if found is not None:
+            seen, plain, marked = found.state()
+            yield pa.RecordBatch.from_pydict(
+                {"key": [found.key], "start": place[1], "seen": [seen], "plain": [plain], "marked": [marked]}
+            )
+
+    return link
+
+
+def _can_resume() -> bool:
+    """Whether Python's hashlib rests on a library whose SHA-256 gives out its state."""
+    try:
+        Resumable, _ = _hashing()
+        first = Resumable()
+        first.update(BYTE_ORDER_MARK)
+        second = Resumable(first.state())
+        second.update(b"\n" * 100)
+        return second.hexdigest() == hashlib.sha256(BYTE_ORDER_MARK + b"\n" * 100).hexdigest()
+    except (ImportError, OSError, AttributeError):
+        return False
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """key, size, start of the split, and bytes of every line of the files under ``path``."""
+    lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    return lines.select(
+        F.col("_metadata.file_path").alias("key"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.col("value").cast("binary").alias("line"),
+    ).where(~F.col("key").rlike(COMPRESSED))
+
+
+def _large_lines(spark: SparkSession, paths: list[str], piece: int) -> DataFrame:
+    """The lines of the files over ``piece`` bytes: a partition is one piece of one file."""
+    own = spark.newSession()
+    # with an opening cost of a whole split, no two splits share a task
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(piece))
+    own.conf.set("spark.sql.files.openCostInBytes", str(piece))
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(_BATCH_BYTES))
+    scans = [_lines(own, path).where(F.col("size") > piece) for path in dict.fromkeys(paths)]
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _chained_digests(spark: SparkSession, paths: list[str], piece: int) -> list[tuple[str, str]]:
+    """(key, sha256) of every file over ``piece`` bytes: the n-th pieces of all files are one job."""
+    lines, context = _large_lines(spark, paths, piece), spark.sparkContext
+
+    # which task has which piece is Spark's matter: a pass over the line starts tells; a piece without one adds nothing
+    places = lines.select("key", "start", "size", F.spark_partition_id().alias("partition")).distinct().collect()
+    pieces: dict[str, list] = {}
+    for key, _, size, partition in sorted(places):
+        pieces.setdefault(key, []).append((size, partition))
+    Resumable, FileHash = _hashing()
+    done, names = [], list(pieces)
+    for at in range(0, len(names), _FILES_AT_ONCE):
+        group = names[at : at + _FILES_AT_ONCE]
+        held = {key: (pieces[key][0][0], -1, None) for key in group}
+        for step in range(max(len(pieces[key]) for key in group)):
+            now = [key for key in group if step < len(pieces[key])]
+            link = _link({key: held[key] for key in now})
+            linked = lines.mapInArrow(link, "key string, start long, seen long, plain binary, marked binary").rdd
+            for r in context.runJob(linked, list, [pieces[key][step][1] for key in now]):
+                held[r.key] = held[r.key][0], r.start, (r.seen, bytes(r.plain), bytes(r.marked))
+        for key, (size, _, state) in held.items():
+            whole = FileHash(key, size, Resumable)
+            whole.resume(*state)
+            done.append((key, whole.hexdigest()))
+    return done
+
+
+def _streaming_session(spark: SparkSession, largest: int, piece: int) -> SparkSession:
+    """A session whose scans read every file of up to ``largest`` bytes in one task, and no task over ``piece``."""
     own = spark.newSession()
     # a file is not split when it is no larger than the split size, which the cost of opening a file bounds from below
-    own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 62))
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(piece))
     own.conf.set("spark.sql.files.openCostInBytes", str(max(largest, 4 << 20)))
     own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(_BATCH_BYTES))
     return own
@@ -112,27 +255,34 @@ def _listed(spark: SparkSession, paths: list[str]) -> DataFrame:
     return listing.join(lengths, "key", "left").withColumn("length", F.coalesce("length", F.lit(0)))
 
 
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """filename, length and sha256 of every file under ``path``; ``spark`` is a streaming session."""
-    key, is_packed = F.col("_metadata.file_path").alias("key"), F.col("key").rlike(COMPRESSED)
-    reader = spark.read.option("recursiveFileLookup", "true")
-    lines = reader.option("lineSep", "\n").text(path)
-    lines = lines.select(key, F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("line")).where(~is_packed)
-    streamed = lines.mapInArrow(_digester(), "key string, sha256 string")
-    packed = reader.format("binaryFile").load(path).select(key, "content").where(is_packed)
-    known = streamed.unionByName(packed.select("key", F.sha2("content", 256).alias("sha256")))
+def file_digests(spark: SparkSession, path: str, piece: int, chained: DataFrame) -> DataFrame:
+    """filename, length and sha256 of every file under ``path``; ``spark`` is a streaming session,
+    ``chained`` has the digests of the files over ``piece`` bytes."""
+    is_packed = F.col("key").rlike(COMPRESSED)
+    streamed = _lines(spark, path).where(F.col("size") <= piece).drop("start").mapInArrow(_digester(), "key string, sha256 string")
+    packed = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(path)
+    packed = packed.select(F.col("_metadata.file_path").alias("key"), "content").where(is_packed)
+    known = streamed.unionByName(packed.select("key", F.sha2("content", 256).alias("sha256"))).unionByName(chained)
     # files without a line have no row
     blank = F.when(F.col("length") == 0, F.sha2(F.lit(b""), 256)).when(F.col("length") == 3, F.sha2(F.lit(BYTE_ORDER_MARK), 256))
     listed = _listed(spark, [path]).join(known, "key", "left")
     return listed.select("filename", "length", F.coalesce("sha256", blank).alias("sha256"))
 
 
-def file_fingerprints(spark: SparkSession, files: dict[str, str]) -> DataFrame:
+def file_fingerprints(spark: SparkSession, files: dict[str, str], piece: int = PIECE) -> DataFrame:
     """One row per file under each logical table's path (file or folder):
-    position, logical_table, filename, bytes, sha256."""
-    own = _streaming_session(spark, list(files.values()))
+    position, logical_table, filename, bytes, sha256.
+
+    Files over ``piece`` bytes are hashed here, the others when the rows are asked for.  Where the hash library
+    keeps its state to itself, a file of any size is one task's."""
+    paths = list(files.values())
+    piece = piece if _can_resume() else 1 << 62
+    lines = F.when(~F.col("key").rlike(COMPRESSED), F.col("length"))
+    largest, over = _listed(spark, paths).agg(F.max(F.when(lines <= piece, lines)), F.max(lines) > piece).first()
+    own = _streaming_session(spark, largest or 0, piece)
+    chained = own.createDataFrame(_chained_digests(spark, paths, piece) if over else [], "key string, sha256 string")
     scans = [
-        file_digests(own, path).select(F.lit(position).alias("position"), F.lit(table).alias("logical_table"), "*")
+        file_digests(own, path, piece, chained).select(F.lit(position).alias("position"), F.lit(table).alias("logical_table"), "*")
         for position, (table, path) in enumerate(files.items())
     ]
     listed = scans[0]

@@ -91,3 +91,27 @@ def test_snapshot_job_writes_one_line_per_file(spark, clean_dir, tmp_path):
     assert all(len(r.sha256) == 64 and r.schema_version == 1 for r in rows)
     text = "".join(p.read_text() for p in Path(out).glob("part-*"))
     assert clean_dir not in text
+
+
+def test_large_files_are_read_in_pieces(spark, tmp_path):
+    """A file over the piece size is hashed by several tasks, each of which reads one piece of it."""
+    import os
+
+    from parcelworks.sources.manifest import _large_lines
+
+    piece, mark = 1 << 16, b"\xef\xbb\xbf"
+    contents = [
+        b"0123456789,abcdefghij\n" * 40_000, b"0123456789,abcdefghij\n" * 20_000 + b"end", b"\n" * 200_000, os.urandom(500_000),
+        b"x" * 300_000, mark + b"a,b\r\n" * 60_000, mark + b"y" * 200_000 + b"\n" * 3, b"x" * piece, b"x" * (piece - 1) + b"\n\n",
+        (b"z" * (piece - 1) + b"\n") * 4, b"1,2\n", b"", mark,
+    ]
+    for n, data in enumerate(contents):
+        (tmp_path / f"part {n} [é]%41*.csv").write_bytes(data)
+    (tmp_path / "packed.csv.gz").write_bytes(os.urandom(200_000))
+    want = {p.name: (p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in tmp_path.iterdir()}
+    one = tmp_path / "part 0 [é]%41*.csv"
+    found = [(r.filename, r.bytes, r.sha256) for r in file_fingerprints(spark, {"t": str(tmp_path)}, piece).collect()]
+    assert sorted(found) == sorted((name, *rest) for name, rest in want.items())
+    held = _large_lines(spark, [str(tmp_path)], piece).where(F.col("key").contains("part%200"))
+    sizes = held.select(F.length("line").alias("n")).rdd.mapPartitions(lambda rows: [sum(r.n + 1 for r in rows)]).collect()
+    assert sum(sizes) == one.stat().st_size and max(sizes) <= piece + 22
